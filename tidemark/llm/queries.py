@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op08_packing
+from tidemark.llm import op02_simhash, op08_packing
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
 
@@ -16,10 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = op02_simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_a_shingle=4, max_distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op8_packing,)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op8_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
