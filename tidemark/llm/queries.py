@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op02_simhash, op07_bpe, op08_packing
+from tidemark.llm import op02_simhash, op05_quality, op07_bpe, op08_packing
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
 
@@ -21,6 +21,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = op05_quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return op05_quality.score(docs, model).select(
+        "doc_id", op05_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op07_bpe.round_trip(_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, digests=True)
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
@@ -30,6 +38,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op7_bpe, op8_packing)}
+QUERIES = {f.__name__: f for f in (op2_simhash, op5_quality, op7_bpe, op8_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
