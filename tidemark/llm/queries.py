@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op02_simhash, op05_quality, op07_bpe, op08_packing
+from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op05_quality, op07_bpe, op08_packing
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
 
@@ -16,6 +16,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op01_sharding.shard(_table(spark, sf_dir, "documents"), 16)
+
+
+def op3_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op03_exact.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op02_simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_a_shingle=4, max_distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -38,6 +46,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op5_quality, op7_bpe, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op5_quality, op7_bpe, op8_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op3_exact"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
