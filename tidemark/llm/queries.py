@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op05_quality, op07_bpe, op08_packing
+from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op07_bpe, op08_packing
+from tidemark.llm import op10_lines as line_dedup
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
 
+PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,6 +32,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op04_tokens.count_tokens(_table(spark, sf_dir, "documents"), PIECE_VOCABULARY)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = op05_quality.fit(docs, _table(spark, sf_dir, "labels"))
@@ -46,7 +53,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op5_quality, op7_bpe, op8_packing)}
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), dropped="n_dropped")
+    return cleaned.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op7_bpe, op8_packing, op10_lines)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -55,3 +67,18 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+ORACLE_SQL["op10_lines"] = """
+WITH split AS (SELECT doc_id, text, coalesce(source, '') AS host, string_split(text, chr(10)) AS lines FROM documents),
+totals AS (SELECT host, count(*) AS pages FROM split GROUP BY host),
+counted AS (SELECT host, unnest(list_distinct(list_filter(lines, lambda x: trim(x) <> ''))) AS line FROM split),
+frequent AS (
+    SELECT host, line FROM counted JOIN totals USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1::DOUBLE * pages
+),
+frames AS (SELECT host, list(line) AS frame FROM frequent GROUP BY host),
+cut AS (SELECT doc_id, text, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(frame, x), false)) AS rest FROM split LEFT JOIN frames USING (host)),
+acted AS (SELECT *, len(list_filter(rest, lambda x: trim(x) <> '')) > 0 AS acts FROM cut)
+SELECT doc_id, CASE WHEN acts THEN len(lines) - len(rest) ELSE 0 END AS n_dropped,
+       sha256(coalesce(CASE WHEN acts THEN array_to_string(rest, chr(10)) ELSE text END, '')) AS text_sha256
+FROM acted
+"""
