@@ -1,14 +1,15 @@
 """Byte-level BPE with a distinct-word table (operator 7).
 
 1. Scan tasks split whole texts at white space into words and write, for each block of documents, the list of its distinct
-   words and each document as the places of its words in that list.  A block is one row of a table bucketed by block.
-2. The words of all blocks are grouped: the distinct-word table has a row for each word with its places in blocks.  Each
-   is encoded once.
-3. Ids go back to (block, place); blocks meet their ids by a join to whose bucketed side nothing has to be moved, and each
-   document's ids are put together by position.
+   words, dealt by their hash into ``parts``, and each document as the places of its words in that list.  A block is one
+   row of a table bucketed by block.
+2. The lists of all blocks meet by part: equal words of all blocks meet there, and each distinct word is encoded once.
+3. Ids go back to their block, in the order of its list; blocks meet their ids by a join to whose bucketed side nothing has
+   to be moved, and each document's ids are put together by position.
 4. Decoding joins ids to the pieces of the vocabulary, a table as long as the vocabulary, and joins the bytes.
 
-Texts are shuffled nowhere; what is shuffled is each block's distinct words and their ids.
+Texts are shuffled nowhere; what is shuffled is each block's distinct words and their ids, compressed.  A task that encodes
+words forgets those it has seen beyond ``REMEMBERED``, and would encode one again that comes later.
 
 A word here is a run without white space, with the space before it, or a run of white space: the vocabulary's own pattern
 never matches across such borders, so a word's ids do not depend on its neighbours.  The special tokens' strings are words
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,8 +40,9 @@ from tidemark.llm.word_tokens import LETTERS, ODD, lettered, quiet
 
 #: Fixed value: the pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+REMEMBERED = 2_000_000
 _WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-BLOCKS = "block long, docs array<struct<doc_id: long, n: long>>, places binary, words binary"
+BLOCKS = "block long, docs array<struct<doc_id: long, n: long>>, places binary, words array<binary>"
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
@@ -66,17 +69,12 @@ class _Splitter:
         return [w for k, part in enumerate(self.names.split(text)) for w in ([part] if k % 2 else self._plain(part) if part else [])]
 
 
-def _packed(words: Iterable[str]) -> bytes:
+def _packed(words: Iterable[bytes]) -> bytes:
     """Words as one compressed value; no UTF-8 text has the byte that separates them."""
-    return zstandard.compress(b"\xff".join(w.encode() for w in words), 3)
+    return zstandard.compress(b"\xff".join(words), 3)
 
 
-def _unpacked(value: bytes) -> list[bytes]:
-    raw = zstandard.decompress(value)
-    return raw.split(b"\xff") if raw else []
-
-
-def _blocks(path: str, block_chars: int):
+def _blocks(path: str, block_chars: int, parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, number = _Splitter(path), TaskContext.get().partitionId() << 31
         seen: dict[str, int] = {}
@@ -86,8 +84,15 @@ def _blocks(path: str, block_chars: int):
 
         def block() -> pa.RecordBatch:
             nonlocal number, chars
-            at = np.concatenate([np.zeros(0, np.uint32), *places])
-            columns = [[number], [docs], [zstandard.compress(at.tobytes(), 3)], [_packed(seen)]]
+            words = [w.encode() for w in seen]
+            part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % parts
+            order = np.argsort(part, kind="stable")
+            rank = np.empty(len(words), np.uint32)
+            rank[order] = np.arange(len(words), dtype=np.uint32)
+            cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+            lists = [_packed(words[i] for i in order[a:b].tolist()) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
+            at = rank[np.concatenate([np.zeros(0, np.uint32), *places])]
+            columns = [[number], [docs], [zstandard.compress(at.tobytes(), 3)], [lists]]
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _BLOCK_TYPES, strict=True)], names=["block", "docs", "places", "words"])
             number, chars = number + 1, 0
             seen.clear()
@@ -113,61 +118,44 @@ def _blocks(path: str, block_chars: int):
     return run
 
 
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())])), pa.binary(), pa.binary()]
-
-
-def _words_of_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = _unpacked(words.as_py())
-            for at in range(0, len(found), 50_000):
-                part = found[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(len(part), block)), pa.array(np.arange(at, at + len(part), dtype=np.int32))], names=["word", "block", "place"])
+_BLOCK_TYPES = [pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())])), pa.binary(), pa.list_(pa.binary())]
 
 
 def _encode_words(path: str):
+    """For each list of words, the numbers of their ids and then the ids, compressed."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, pattern, names = quiet(path).model, regex.compile(PATTERN), _special(path)
+        table: dict[bytes, bytes] = {}
+
+        def encode(word: bytes) -> bytes:
+            if len(table) >= REMEMBERED:
+                table.clear()
+            text = word.decode()
+            ids = [names[text]] if text in names else [t.id for part in pattern.findall(text) for t in model.tokenize(lettered(part))]
+            found = table[word] = np.array(ids, "<u4").tobytes()
+            return found
+
         for batch in batches:
             out = []
-            for word in batch.column(0).to_pylist():
-                text = word.decode()
-                ids = [names[text]] if text in names else [t.id for part in pattern.findall(text) for t in model.tokenize(lettered(part))]
-                out.append(np.array(ids, "<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], names=["ids", "places"])
+            for words in batch.column(2):
+                ids = [table.get(word) or encode(word) for word in zstandard.decompress(words.as_py()).split(b"\xff")]
+                lengths = np.fromiter(map(len, ids), "<u4", len(ids)) // 4
+                out.append(zstandard.compress(np.uint32(len(ids)).tobytes() + lengths.tobytes() + b"".join(ids), 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "part", "ids"])
 
     return run
 
 
-def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of a block's words in order of their places; reads rows sorted by (block, place)."""
-    ids: list[bytes] = []
-    now = None
-
-    def done() -> pa.RecordBatch:
-        lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([zstandard.compress(lengths.astype("<u4").tobytes() + b"".join(ids), 3)], pa.binary())], names=["block", "ids"])
-
-    for batch in batches:
-        for block, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if block != now and ids:
-                yield done()
-                ids.clear()
-            now = block
-            ids.append(value)
-    if ids:
-        yield done()
-
-
 def _documents(path: str, digests: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(path)
         for batch in batches:
             for docs, places, packed in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
                 at = np.frombuffer(zstandard.decompress(places.as_py()), np.uint32)
-                raw = np.frombuffer(zstandard.decompress(packed.as_py()), "<u4") if packed.is_valid else np.zeros(0, "<u4")
-                words = int(at.max()) + 1 if len(at) else 0
-                lengths, ids = raw[:words].astype(np.int64), raw[words:]
+                lists = [np.frombuffer(zstandard.decompress(x["ids"]), "<u4") for x in packed.as_py() or ()]
+                lengths = np.concatenate([np.zeros(0, np.int64), *(x[1 : 1 + x[0]].astype(np.int64) for x in lists)])
+                ids = np.concatenate([np.zeros(0, "<u4"), *(x[1 + x[0] :] for x in lists)])
                 starts = np.cumsum(lengths) - lengths
                 rows, first = [], 0
                 for doc in docs.as_py():
@@ -212,15 +200,13 @@ def round_trip(docs: DataFrame, path: str, *, block_chars: int = 16_000_000, dig
     spark = ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table, where = f"tidemark_blocks_{uuid.uuid4().hex}", place(spark, "blocks")
-    made = source.mapInArrow(_blocks(path, block_chars), BLOCKS)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    made.write.bucketBy(buckets, "block").option("path", where).option("compression", "none").saveAsTable(table)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    made = source.mapInArrow(_blocks(path, block_chars, parts), BLOCKS)
+    made.write.bucketBy(parts, "block").option("path", where).option("compression", "none").saveAsTable(table)
     blocks = spark.table(table)
-    places = blocks.select("block", "words").mapInArrow(_words_of_blocks, "word binary, block long, place int")
-    distinct = places.groupBy("word").agg(F.collect_list(F.struct("block", "place")).alias("places"))
-    encoded = distinct.mapInArrow(_encode_words(path), "ids binary, places array<struct<block: long, place: int>>")
-    back = encoded.select("ids", F.explode("places").alias("p")).select(F.col("p.block").alias("block"), F.col("p.place").alias("place"), "ids")
-    gathered = back.repartition(buckets, "block").sortWithinPartitions("block", "place").select("block", "ids").mapInArrow(_gathered, "block long, ids binary")
+    lists = blocks.select("block", F.posexplode("words").alias("part", "words")).filter("words is not null")
+    encoded = lists.repartition(parts, "part").mapInArrow(_encode_words(path), "block long, part int, ids binary")
+    gathered = encoded.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("ids"))
     kinds = ENCODED.replace("ids binary", "ids string") if digests else ENCODED
     result = blocks.select("block", "docs", "places").join(gathered, "block", "left").select("docs", "places", "ids").mapInArrow(_documents(path, digests), kinds)
     out, _ = keep_once(result, "encoded")

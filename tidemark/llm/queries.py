@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op07_bpe, op08_packing
+from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing
 from tidemark.llm import op10_lines as line_dedup
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
@@ -44,6 +44,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op06_licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op07_bpe.round_trip(_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, digests=True)
     return found.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
@@ -58,7 +62,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op7_bpe, op8_packing, op10_lines)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op10_lines)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -82,3 +86,5 @@ SELECT doc_id, CASE WHEN acts THEN len(lines) - len(rest) ELSE 0 END AS n_droppe
        sha256(coalesce(CASE WHEN acts THEN array_to_string(rest, chr(10)) ELSE text END, '')) AS text_sha256
 FROM acted
 """
+
+ORACLE_SQL["op6_licenses"] = op06_licenses.reference_sql()
