@@ -60,16 +60,25 @@ def hashes_of(words: Column) -> Column:
     return F.when(F.size(words) >= WORDS_A_SHINGLE, F.transform(places, lambda i: F.xxhash64(*[F.get(words, i - 1 + k) for k in range(WORDS_A_SHINGLE)])))
 
 
+def _valued(band: int):
+    """A hash's value in a band.  (A second parameter would be taken for the place in the list.)"""
+    return lambda h: F.xxhash64(h, F.lit(band))
+
+
+def _ranked(band: int):
+    return lambda h: F.struct(_valued(band)(h).alias("value"), h.alias("hash"))
+
+
 def signature(hashes: Column) -> Column:
     """MinHash values of a list of hashes, one for each band."""
-    return F.array(*[F.array_min(F.transform(hashes, lambda h, band=band: F.xxhash64(h, F.lit(band)))) for band in range(BANDS)])
+    return F.array(*[F.array_min(F.transform(hashes, _valued(band))) for band in range(BANDS)])
 
 
 def _template_rows(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(templates)], "template int, license string, notice string")
     worded = rows.withColumn("words", words_of(F.col("notice")))
     hashed = worded.select("template", "license", F.array_distinct(shingles_of(F.col("words"))).alias("wanted"), F.array_distinct(hashes_of(F.col("words"))).alias("hashes"))
-    least = F.array(*[F.array_min(F.transform("hashes", lambda h, band=band: F.struct(F.xxhash64(h, F.lit(band)).alias("value"), h.alias("hash"))))["hash"] for band in range(BANDS)])
+    least = F.array(*[F.array_min(F.transform("hashes", _ranked(band)))["hash"] for band in range(BANDS)])
     return hashed.filter(F.size("hashes") > 0).select("template", "license", "wanted", F.size("hashes").alias("size"), signature(F.col("hashes")).alias("bands"), least.alias("least"))
 
 
