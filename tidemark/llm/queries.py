@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing
+from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing, op09_media
 from tidemark.llm import op10_lines as line_dedup
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
@@ -57,12 +57,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op08_packing.pack(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of each text are its recording: the tables have no audio of their own."""
+    return op09_media.search(_table(spark, sf_dir, "documents"), F.col("doc_id"), F.encode("text", "UTF-8"), F.col("id") % 100 == 0)
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"), dropped="n_dropped")
     return cleaned.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op10_lines)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op9_media, op10_lines)}
 
 ORACLE_SQL: dict[str, str] = {}
 
