@@ -11,7 +11,7 @@ holds a contiguous range of keys.
 
 Chains: the texts of keys that occur more than once are grouped by key and bytes, which compares the bytes; a key with
 several texts (a collision) is a chain of several links, and its rows find their link by bytes too.  Texts of keys that
-occur once are never moved.
+occur once are never moved unless there are too many repeated keys to send along.
 
 Cases: a null text counts as empty.  Of equal texts the row with the largest doc_id stays; a null doc_id is smaller than
 any other.  Of rows that tie on doc_id and text one has kept true.  An empty
@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import keep
+from tidemark.llm.scratch import keep, sized
 
 #: The directory has at most 2 ** MAX_DEPTH addresses; beyond, a bucket holds more than its capacity.
 MAX_DEPTH = 18
@@ -68,7 +68,7 @@ def deduplicate(docs: DataFrame, *, normalise=None, capacity: int = 65_536) -> D
     sha = F.unhex(F.sha2("text", 256))
     entries = keep(source.select("doc_id", F.xxhash64("text").alias("h"), sha.alias("sha"), F.monotonically_increasing_id().alias("row")), "entries")
     pages = index(entries, capacity)
-    repeated = pages.filter("n > 1").select("h")
+    repeated = sized(keep(pages.filter("n > 1").select("h"), "repeated"))
     # grouping by key and bytes: the chain of each key, one link for each different text
     held = source.withColumn("h", F.xxhash64("text")).join(repeated, "h", "left_semi")
     links = held.groupBy("h", "text").agg(F.count("*").alias("size")).select("h", sha.alias("sha"), "size")

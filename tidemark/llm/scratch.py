@@ -46,6 +46,15 @@ def keep_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+#: Keys that are sent to every task: 8 bytes each, about 32 MB as a hash table.
+BROADCAST_KEYS = 1_000_000
+
+
+def sized(keys: DataFrame) -> DataFrame:
+    """A kept table of one column of keys, marked for a broadcast if it has at most BROADCAST_KEYS rows, for a merge else."""
+    return keys.hint("broadcast" if keys.count() <= BROADCAST_KEYS else "merge")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table that nothing will read again."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
