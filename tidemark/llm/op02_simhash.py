@@ -1,26 +1,33 @@
 """SimHash near-duplicates with pigeonring filtering (operator 2).
 
-Fingerprints: each word shingle's XXH64, bit by bit; a bit is set if it is set in over half of the shingles.
+Fingerprints: each feature's XXH64, bit by bit; a bit is set if it is set in over half of the features.  Features are word
+shingles with their repeats, or a text's distinct words.  A fingerprint has one or more words of 64 bits, one for each seed.
 
-Links: fingerprints are cut into ``max_distance + 1`` segments on a ring (three at least).  If two differ in at most ``max_distance``
-bits, then from some segment on, each chain of consecutive segments differs in at most its proportional share: nothing in
-the first segment, one bit at most in the first two, two in the first three, and so on (the pigeonring principle).  The
-first two conditions are an equi-join: a row's key is the first segment and the second one; rows also go under the keys
-whose second segment lacks one of their set bits, for of two segments that differ in one bit exactly one has it.  Longer
-chains prune what meets there, before the full Hamming distance.
+Links: fingerprints are cut into m segments on a ring.  If two differ in at most ``max_distance`` bits, then from some
+segment on, each chain of consecutive segments differs in at most its proportional share (the pigeonring principle).  With
+m > max_distance that is: nothing in the first segment, one bit at most in the first two, and so on.  The first two
+conditions are an equi-join: a row's key is the first segment and the second one; rows also go under the keys whose second
+segment lacks one of their set bits, for of two segments that differ in one bit exactly one has it.  Longer chains prune
+what meets there, before the full Hamming distance.
+
+near_duplicates() has m > max_distance, so it finds every link.  near_copies() looks for texts whose sets of five-word
+shingles are similar; SimHash cannot bound that, so it takes wide fingerprints of the distinct words as candidates, with a
+distance that nearly all such texts keep, the same keys (then stricter than the guarantee asks) and the exact similarity.
 
 Only distinct fingerprints take part, and a bucket gives edges that connect what it links, not all of its pairs; copies
 therefore cost nothing and a large group of near copies costs about its size.  No bucket is capped.
 
-Cases: a null or empty text has no shingle and the fingerprint zero; it is linked like any other.  Repeated rows and ties
-keep one row each.  A row without doc_id links nothing; it gets
-the component of its fingerprint if a row with a doc_id has the same one, else null.  An empty table gives no rows;
-other columns are ignored, whatever their names.
+Cases: a null or empty text has no feature and the fingerprint zero; it is linked like any other (near_copies: to those with
+the same words).  Repeated rows and ties keep one row each.  A row without doc_id links nothing; it gets the component of its
+fingerprint if a row with a doc_id has the same one, else null (near_copies: null).  An empty table gives no rows; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,25 +36,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.scratch import keep, ship
+from tidemark.llm.scratch import keep, ship, sized
 
 BITS = 64
 #: Rows of a bucket that are compared by shifted columns; larger buckets go through _large_bucket().
 SMALL = 8
 
 
-def fingerprint(text: str | None, words_a_shingle: int) -> int:
-    """The SimHash of a whole text."""
+def shingles(text: str | None, words_a_shingle: int) -> list[bytes]:
+    """A text's shingles, repeats included; the whole sequence of its words if there are fewer than a shingle has."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     k = min(words_a_shingle, len(words))
     starts = np.concatenate(([0], ends[: len(words) - k] + 1)).tolist()
+    return [joined[s:e] for s, e in zip(starts, ends[k - 1 :].tolist(), strict=True)]
+
+
+def hashed(features: Iterable[bytes], seed: int = 42) -> np.ndarray:
+    """The XXH64 of each feature, as eight bytes, the highest first."""
     digest = xxhash.xxh64_digest
-    raw = b"".join([digest(joined[s:e], 42) for s, e in zip(starts, ends[k - 1 :].tolist(), strict=True)])
-    hashes = np.frombuffer(raw, np.uint8).reshape(-1, 8)
+    return np.frombuffer(b"".join([digest(x, seed) for x in features]), np.uint8).reshape(-1, 8)
+
+
+def fingerprint(text: str | None, words_a_shingle: int, seed: int = 42, *, distinct: bool = False) -> int:
+    """The SimHash of a whole text."""
+    features = shingles(text, words_a_shingle)
+    if not features:
+        return 0
+    hashes = hashed(set(features) if distinct else features, seed)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
@@ -58,104 +77,132 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def _fingerprints(words_a_shingle: int):
+def _columns(width: int) -> list[str]:
+    return [f"fp{i}" for i in range(width)]
+
+
+def _fingerprints(words_a_shingle: int, width: int, distinct: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_signed(fingerprint(text.as_py(), words_a_shingle)) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+            texts = batch.column(1).to_pylist()
+            found = [pa.array([_signed(fingerprint(text, words_a_shingle, 42 + i, distinct=distinct)) for text in texts], pa.int64()) for i in range(width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", *_columns(width)])
 
     return run
 
 
-def fingerprints(docs: DataFrame, words_a_shingle: int) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, words_a_shingle: int, *, width: int = 1, distinct: bool = False) -> DataFrame:
+    """(doc_id, fp0, fp1, ...): the words of the fingerprint as signed longs; seeds from 42 on."""
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_fingerprints(words_a_shingle), "doc_id long, fp long")
+    kinds = ", ".join(f"{c} long" for c in ["doc_id", *_columns(width)])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_fingerprints(words_a_shingle, width, distinct), kinds)
+
+
+@dataclass(frozen=True)
+class Ring:
+    """Segments (word, start, bits) of fingerprints of ``width`` words."""
 
+    width: int
+    max_distance: int
+    parts: tuple[tuple[int, int, int], ...]
 
-def segments(max_distance: int) -> list[tuple[int, int]]:
-    """Start and width of each segment; segment i starts at the i-th place of the ring."""
-    m = max(3, max_distance + 1)
-    cuts = [BITS * i // m for i in range(m + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    @classmethod
+    def of(cls, width: int, a_word: int, max_distance: int) -> Ring:
+        cuts = [BITS * i // a_word for i in range(a_word + 1)]
+        return cls(width, max_distance, tuple((word, a, b - a) for word in range(width) for a, b in zip(cuts, cuts[1:], strict=False)))
+
+    def masks(self) -> np.ndarray:
+        """[segment, chain, word]: the bits of the chain + 1 segments from that segment on."""
+        m = len(self.parts)
+        out = np.zeros((m, m, self.width), np.uint64)
+        for i in range(m):
+            for chain in range(m):
+                for j in range(chain + 1):
+                    word, a, bits = self.parts[(i + j) % m]
+                    out[i, chain, word] |= np.uint64(((1 << bits) - 1) << a)
+        return out
 
+    def budget(self, chain: int) -> int:
+        """The proportional share of the first chain + 1 segments."""
+        return (chain + 1) * self.max_distance // len(self.parts)
 
-def _keys(max_distance: int):
+
+def _keys(ring: Ring):
     """The rows that each fingerprint sends to the buckets; home: its second segment is the key's own."""
-    parts = segments(max_distance)
+    m = len(ring.parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, node = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-            for i in range(len(parts)):
-                (a, wa), (b, wb) = parts[i], parts[(i + 1) % len(parts)]
-                first = (fp >> np.uint64(a)) & np.uint64((1 << wa) - 1)
-                second = (fp >> np.uint64(b)) & np.uint64((1 << wb) - 1)
-                chosen = [np.arange(len(fp))] + [np.flatnonzero((second >> np.uint64(k)) & np.uint64(1)) for k in range(wb)]
+            words = [batch.column(1 + i).to_numpy().view(np.uint64) for i in range(ring.width)]
+            node, n = batch.column(0).to_numpy(), batch.num_rows
+            for i in range(m):
+                (x, a, wa), (y, b, wb) = ring.parts[i], ring.parts[(i + 1) % m]
+                first = (words[x] >> np.uint64(a)) & np.uint64((1 << wa) - 1)
+                second = (words[y] >> np.uint64(b)) & np.uint64((1 << wb) - 1)
+                chosen = [np.arange(n)] + [np.flatnonzero((second >> np.uint64(k)) & np.uint64(1)) for k in range(wb)]
                 keys = [second] + [second[rows] ^ np.uint64(1 << k) for k, rows in enumerate(chosen[1:])]
                 rows = np.concatenate(chosen)
                 key = ((np.uint64(i) << np.uint64(wa)) | first[rows]) << np.uint64(wb) | np.concatenate(keys)
-                home = np.arange(len(rows)) < len(fp)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(home), pa.array(fp[rows].view(np.int64)), pa.array(node[rows])], names=["key", "home", "fp", "node"])
+                columns = [pa.array(key.astype(np.int64)), pa.array(np.arange(len(rows)) < n), pa.array(node[rows]), *(pa.array(w[rows].view(np.int64)) for w in words)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "home", "node", *_columns(ring.width)])
 
     return run
 
 
-def _linked(x: np.ndarray, segment: np.ndarray | int, masks: np.ndarray, max_distance: int) -> np.ndarray:
-    """Which differences x pass the chains that start at their segment, and then the whole distance."""
-    ok = np.ones(len(x), bool)
-    for chain in range(masks.shape[1]):
-        at = np.flatnonzero(ok)
+def _linked(x: np.ndarray, segment: np.ndarray | int, masks: np.ndarray, ring: Ring) -> np.ndarray:
+    """Which differences x [row, word] pass the chains that start at their segment, and then the whole distance."""
+    at = np.arange(len(x))
+    for chain in range(2, masks.shape[1]):  # the key has seen to the first two
         start = segment[at] if isinstance(segment, np.ndarray) else segment
-        ok[at] = np.bitwise_count(x[at] & masks[start, chain]) <= (chain + 1) * max_distance // len(masks)
-    ok[ok] = np.bitwise_count(x[ok]) <= max_distance
+        at = at[np.bitwise_count(x[at] & masks[start, chain]).sum(axis=1) <= max(1, ring.budget(chain))]
+    ok = np.zeros(len(x), bool)
+    ok[at[np.bitwise_count(x[at]).sum(axis=1) <= ring.max_distance]] = True
     return ok
 
 
-def _large_bucket(fp: np.ndarray, node: np.ndarray, homes: int, segment: int, masks: np.ndarray, max_distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Edges that connect what a bucket links: each home row is held against the rows that aren't yet in its class."""
+def _large_bucket(fp: np.ndarray, node: np.ndarray, homes: int, segment: int, masks: np.ndarray, ring: Ring, spare: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Edges that connect what a bucket links: each home row is held against the rows that aren't yet in its class.
+
+    spare: edges will be verified, so each row that is reached gets one, and one to its neighbour among them.
+    """
     label = np.arange(len(fp))
     edges = []
     for i in range(homes):
         rest = np.flatnonzero(label != label[i])
         if not len(rest):
             break
-        hits = rest[_linked(fp[rest] ^ fp[i], segment, masks, max_distance)]
+        hits = rest[_linked(fp[rest] ^ fp[i], segment, masks, ring)]
         if len(hits):
             classes, first = np.unique(label[hits], return_index=True)
-            edges.append((np.full(len(classes), node[i]), node[hits[first]]))
+            ends = hits if spare else hits[first]
+            edges.append((np.full(len(ends), node[i]), node[ends]))
+            if spare:
+                edges.append((node[hits[:-1]], node[hits[1:]]))
             label[np.isin(label, classes)] = label[i]
     return edges
 
 
-def _edges(max_distance: int):
+def _edges(ring: Ring, spare: bool):
     """Reads rows sorted by key, home rows first; gives edges between nodes."""
-    parts = segments(max_distance)
-    m = len(parts)
-    masks = np.zeros((m, m), np.uint64)
-    for i in range(m):
-        for chain in range(m):
-            for j in range(chain + 1):
-                a, w = parts[(i + j) % m]
-                masks[i, chain] |= np.uint64(((1 << w) - 1) << a)
-
-    def buckets(key, home, fp, node) -> pa.RecordBatch:
+    masks, m = ring.masks(), len(ring.parts)
+
+    def buckets(key, home, node, *words) -> pa.RecordBatch:
+        fp = np.stack([w.view(np.uint64) for w in words], axis=1)
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         sizes = np.diff(np.append(starts, len(key)))
         segment = np.zeros(len(key), np.int64)
         for i in range(m):
-            width = parts[i][1] + parts[(i + 1) % m][1]
-            segment[(key >> width) == i] = i
+            segment[(key >> (ring.parts[i][2] + ring.parts[(i + 1) % m][2])) == i] = i
         left, right = [], []
         small = np.repeat(sizes <= SMALL, sizes)
-        for step in range(1, SMALL):
-            at = np.flatnonzero(home[:-step] & small[:-step] & (key[:-step] == key[step:])) if len(key) > step else np.zeros(0, np.int64)
-            at = at[_linked(fp[at] ^ fp[at + step], segment[at], masks, max_distance)]
+        for step in range(1, min(SMALL, len(key))):
+            at = np.flatnonzero(home[:-step] & small[:-step] & (key[:-step] == key[step:]))
+            at = at[_linked(fp[at] ^ fp[at + step], segment[at], masks, ring)]
             left.append(node[at])
             right.append(node[at + step])
         for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
             homes = int(home[s : s + n].sum())
-            for a, b in _large_bucket(fp[s : s + n], node[s : s + n], homes, int(segment[s]), masks, max_distance):
+            for a, b in _large_bucket(fp[s : s + n], node[s : s + n], homes, int(segment[s]), masks, ring, spare):
                 left.append(a)
                 right.append(b)
         pairs = np.stack([np.concatenate(left), np.concatenate(right)], axis=1) if left else np.zeros((0, 2), np.int64)
@@ -167,26 +214,79 @@ def _edges(max_distance: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, home, fp, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            now = (key, home, fp.view(np.uint64), node)
+            now = tuple(column.to_numpy(zero_copy_only=False) for column in batch.columns)
+            key = now[0]
             if key[-1] == (held[0][0][0] if held else key[0]):  # one bucket so far
                 held.append(now)
                 continue
             cut = int(np.searchsorted(key, key[-1]))
-            yield buckets(*(np.concatenate([*(h[i] for h in held), now[i][:cut]]) for i in range(4)))
+            yield buckets(*(np.concatenate([*(h[i] for h in held), now[i][:cut]]) for i in range(len(now))))
             held = [tuple(column[cut:] for column in now)]
         if held:
-            yield buckets(*(np.concatenate([h[i] for h in held]) for i in range(4)))
+            yield buckets(*(np.concatenate([h[i] for h in held]) for i in range(len(held[0]))))
 
     return run
 
 
+def links(classes: DataFrame, ring: Ring, *, spare: bool = False) -> DataFrame:
+    """Edges (a, b) between the classes (node, fp0, ...) of distinct fingerprints."""
+    names = _columns(ring.width)
+    kinds = ", ".join(["key long", "home boolean", "node long", *(f"{c} long" for c in names)])
+    keys = classes.select("node", *names).mapInArrow(_keys(ring), kinds)
+    return keys.repartition("key").sortWithinPartitions("key", F.desc("home"), "node").mapInArrow(_edges(ring, spare), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, words_a_shingle: int = 4, max_distance: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs (doc_id, text)."""
+    """(doc_id, fp0, component_id) for every row of docs (doc_id, text)."""
     prints = keep(fingerprints(docs, words_a_shingle), "fingerprints")
     # a class of equal fingerprints is named by its least doc_id
-    classes = keep(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
-    keys = classes.select("fp", "node").mapInArrow(_keys(max_distance), "key long, home boolean, fp long, node long")
-    edges = keys.repartition("key").sortWithinPartitions("key", F.desc("home"), "node").mapInArrow(_edges(max_distance), "a long, b long").distinct()
-    named = classes.join(components(edges), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    classes = keep(prints.filter("doc_id is not null").groupBy("fp0").agg(F.min("doc_id").alias("node")), "classes")
+    edges = links(classes, Ring.of(1, max(3, max_distance + 1), max_distance))
+    named = classes.join(components(edges), "node", "left").select("fp0", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, "fp0", "left").select("doc_id", "fp0", "component_id")
+
+
+def _worded(width: int):
+    """A digest of a text's words in order, and the fingerprint of its distinct words."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            sequences = [hashlib.sha256(b" ".join((text or "").encode().lower().split())).digest() for text in texts]
+            found = [pa.array([_signed(fingerprint(text, 1, 42 + i, distinct=True)) for text in texts], pa.int64()) for i in range(width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequences, pa.binary()), *found], names=["doc_id", "sequence", *_columns(width)])
+
+    return run
+
+
+def _shingle_sets(words_a_shingle: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [np.unique(hashed(shingles(text.as_py(), words_a_shingle)).reshape(-1).view(">i8")).astype(np.int64) for text in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "own"])
+
+    return run
+
+
+def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: int = 5, width: int = 2, max_distance: int = 24) -> DataFrame:
+    """(doc_id, component_id) for every doc_id of docs (doc_id, text): documents whose sets of shingles have at least that
+    Jaccard similarity are linked.
+
+    Texts with the same words in the same order are one class.  Candidates come from fingerprints of the distinct words;
+    each candidate pair is decided by the shingles of both texts.
+    """
+    ship(docs.sparkSession)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    names = _columns(width)
+    prints = keep(source.mapInArrow(_worded(width), ", ".join(["doc_id long", "sequence binary", *(f"{c} long" for c in names)])), "fingerprints")
+    classes = keep(prints.groupBy("sequence").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in names)), "classes")
+    candidates = keep(links(classes, Ring.of(width, 5, max_distance), spare=True), "candidates")
+    wanted = sized(keep(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "wanted"))
+    sets = keep(source.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(words_a_shingle), "node long, own array<long>"), "shingles")
+    both = candidates.join(sets.select(F.col("node").alias("a"), F.col("own").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("of_b")), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    alike = both.filter(shared >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+    named = classes.join(components(alike), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, "sequence").select("doc_id", "component_id")

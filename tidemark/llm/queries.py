@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import public_tokenizers
 
 from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing, op09_media
@@ -29,7 +30,7 @@ def op3_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = op02_simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_a_shingle=4, max_distance=4)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +68,11 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op9_media, op10_lines)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op9_media, op10_lines, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {}
 
