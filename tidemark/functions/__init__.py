@@ -1 +1 @@
-"""functions of the engine."""
+"""Column functions: rules, identities, months, salting."""

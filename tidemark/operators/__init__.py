@@ -1 +1 @@
-"""operators of the engine."""
+"""Frame operators: dedup, reference data, silver, tables."""

@@ -1 +1 @@
-"""plans of the engine."""
+"""Marts, gates, run state and the query catalogue."""

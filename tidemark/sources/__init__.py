@@ -1 +1 @@
-"""sources of the engine."""
+"""Sources: landing, paginated pages, rescue reads."""

@@ -1 +1 @@
-"""streaming of the engine."""
+"""Incremental streams."""
