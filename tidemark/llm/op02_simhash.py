@@ -39,6 +39,8 @@ from tidemark.llm.graph import components
 from tidemark.llm.scratch import keep, ship, sized
 
 BITS = 64
+#: In a bucket's key, the place on the ring stands above so many bits; no two segments have more.
+RING_BITS = 48
 #: Rows of a bucket that are compared by shifted columns; larger buckets go through _large_bucket().
 SMALL = 8
 
@@ -142,7 +144,7 @@ def _keys(ring: Ring):
                 chosen = [np.arange(n)] + [np.flatnonzero((second >> np.uint64(k)) & np.uint64(1)) for k in range(wb)]
                 keys = [second] + [second[rows] ^ np.uint64(1 << k) for k, rows in enumerate(chosen[1:])]
                 rows = np.concatenate(chosen)
-                key = ((np.uint64(i) << np.uint64(wa)) | first[rows]) << np.uint64(wb) | np.concatenate(keys)
+                key = np.uint64(i << RING_BITS) | first[rows] << np.uint64(wb) | np.concatenate(keys)
                 columns = [pa.array(key.astype(np.int64)), pa.array(np.arange(len(rows)) < n), pa.array(node[rows]), *(pa.array(w[rows].view(np.int64)) for w in words)]
                 yield pa.RecordBatch.from_arrays(columns, names=["key", "home", "node", *_columns(ring.width)])
 
@@ -184,15 +186,13 @@ def _large_bucket(fp: np.ndarray, node: np.ndarray, homes: int, segment: int, ma
 
 def _edges(ring: Ring, spare: bool):
     """Reads rows sorted by key, home rows first; gives edges between nodes."""
-    masks, m = ring.masks(), len(ring.parts)
+    masks = ring.masks()
 
     def buckets(key, home, node, *words) -> pa.RecordBatch:
         fp = np.stack([w.view(np.uint64) for w in words], axis=1)
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         sizes = np.diff(np.append(starts, len(key)))
-        segment = np.zeros(len(key), np.int64)
-        for i in range(m):
-            segment[(key >> (ring.parts[i][2] + ring.parts[(i + 1) % m][2])) == i] = i
+        segment = key >> RING_BITS
         left, right = [], []
         small = np.repeat(sizes <= SMALL, sizes)
         for step in range(1, min(SMALL, len(key))):
