@@ -35,8 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id."""
     found = op02_simhash.near_copies(docs)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(sized(keep(gone, "gone")), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = sized(keep(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")), "gone"))
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
