@@ -59,7 +59,7 @@ def jump_hash(key: Column, shards: int) -> Column:
 def shard(docs: DataFrame, shards: int = 16, *, lanes: int = 1024) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, text_shard) for docs (doc_id, text).
 
-    text_shard: the shard by the hash of the text in place of doc_id, where equal texts stand together.
+    text_shard: the shard by the checksum of the text in place of doc_id, where equal texts stand together.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.col("doc_id").cast("long")
@@ -71,9 +71,41 @@ def shard(docs: DataFrame, shards: int = 16, *, lanes: int = 1024) -> DataFrame:
     starts = counts.select("shard", "lane", before.alias("first"))
     sized = docs.select(
         key.alias("doc_id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"),
-        F.lit("key").alias("law"), jump_hash(key, shards).alias("jump"), lane.alias("lane"), jump_hash(F.xxhash64(text), shards)["shard"].alias("text_shard"),
+        F.lit("key").alias("law"), jump_hash(key, shards).alias("jump"), lane.alias("lane"), jump_hash(F.crc32(text), shards)["shard"].alias("text_shard"),
     )
     flat = sized.select("doc_id", "size", "text_crc32", "law", F.col("jump.shard").alias("shard"), F.col("jump.grown").alias("grown_shard"), "lane", "text_shard")
     place = F.row_number().over(Window.partitionBy("shard", "lane").orderBy("doc_id", "size", "text_crc32"))
     numbered = flat.withColumn("place", place).join(starts, ["shard", "lane"])
     return numbered.select("doc_id", "size", "text_crc32", "law", "shard", (F.col("first") + F.col("place") - 1).cast("long").alias("slot"), "grown_shard", "text_shard")
+
+
+def checksum_table() -> list[int]:
+    """What CRC-32 does to each byte, by its rule: eight shifts, with the polynomial where a one falls out."""
+    out = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        out.append(value)
+    return out
+
+
+def reference_sql(shards: int = 16, lanes: int = 1024) -> str:
+    """The same for DuckDB: checksums byte by byte, and a recursive query whose steps are the jumps."""
+    table = f"[{', '.join(map(str, checksum_table()))}]::BIGINT[]"
+    every = 4294967295
+    return f"""
+WITH RECURSIVE bytes AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+           list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM documents),
+summed AS (
+    SELECT doc_id, size, xor(list_reduce(list_prepend({every}::BIGINT, b), lambda c, x: xor(c >> 8, ({table})[xor(c & 255, x) + 1])), {every}) AS crc FROM bytes),
+jumps(doc_id, kind, key, here, following) AS (
+    SELECT doc_id, kind, (CASE WHEN kind = 0 THEN doc_id ELSE crc END)::UHUGEINT, 0::BIGINT, 0::BIGINT FROM summed, (VALUES (0), (1)) AS kinds(kind)
+    UNION ALL
+    SELECT doc_id, kind, drawn, following, floor((following + 1)::DOUBLE * ({1 << RANDOM_BITS}::DOUBLE / ((drawn >> 33) + 1)::DOUBLE))::BIGINT
+    FROM (SELECT *, (key * {(MULTIPLIER_HIGH << 32) + MULTIPLIER_LOW}::UHUGEINT + 1::UHUGEINT) % 18446744073709551616::UHUGEINT AS drawn FROM jumps WHERE following < {shards})),
+landed AS (SELECT doc_id, kind, here AS shard, CASE WHEN following = {shards} THEN {shards} ELSE here END AS grown FROM jumps WHERE following >= {shards})
+SELECT s.doc_id, s.size::BIGINT AS size, s.crc AS text_crc32, 'key' AS law, a.shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY a.shard ORDER BY s.doc_id % {lanes}, s.doc_id) - 1 AS slot, a.grown::INTEGER AS grown_shard, b.shard::INTEGER AS text_shard
+FROM summed s JOIN landed a ON s.doc_id = a.doc_id AND a.kind = 0 JOIN landed b ON s.doc_id = b.doc_id AND b.kind = 1
+"""

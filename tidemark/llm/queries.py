@@ -76,6 +76,8 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tok
 
 ORACLE_SQL: dict[str, str] = {}
 
+ORACLE_SQL["op1_sharding"] = op01_sharding.reference_sql()
+
 ORACLE_SQL["op3_exact"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
        sha256(coalesce(text, '')) AS text_sha256
