@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +18,18 @@ SENTINEL_ZONES = [264, 265]
 MOST_AGE_DAYS = 90
 
 
+def bounded(spark: SparkSession, rows: Sequence[tuple], **kinds: pa.DataType) -> DataFrame:
+    """A few rows as a local relation, whose size the planner knows, so that it broadcasts it."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return spark.createDataFrame(pa.table({name: pa.array(values, kind) for (name, kind), values in zip(kinds.items(), columns, strict=True)}))
+
+
 def rate_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_CODES, "rate_code_id int, rate_code_name string, is_flat_fare boolean")
+    return bounded(spark, RATE_CODES, rate_code_id=pa.int32(), rate_code_name=pa.string(), is_flat_fare=pa.bool_())
 
 
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, "payment_type_id int, payment_type_name string, tip_is_recorded boolean")
+    return bounded(spark, PAYMENT_TYPES, payment_type_id=pa.int32(), payment_type_name=pa.string(), tip_is_recorded=pa.bool_())
 
 
 def zones(spark: SparkSession, csv: str) -> DataFrame:

@@ -56,9 +56,11 @@ def touched_months(silver: DataFrame) -> DataFrame:
 
 def metrics(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Row counts of a classified batch in one pass: what came in, stays, is quarantined, and was a repetition."""
-    good = F.col("reason_code").isNull()
-    facts = checked.groupBy(*by).agg(
-        F.count("*").alias("rows_in"), F.countDistinct(F.when(good, F.col("trip_id"))).alias("rows_out"),
-        F.countDistinct(F.when(~good, F.concat_ws("|", "trip_id", "reason_code"))).alias("rows_quarantined"), F.count_if(~good).alias("raw_rows_quarantined"),
+    good, n = F.col("reason_code").isNull(), F.col("__n")
+    # each row once, with how often it came: one shuffle, where two distinct counts would multiply the rows first
+    once = checked.groupBy(*by, "trip_id", "reason_code").agg(F.count("*").alias("__n"))
+    facts = once.groupBy(*by).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("rows_in"), F.count_if(good).alias("rows_out"), F.count_if(~good).alias("rows_quarantined"),
+        F.coalesce(F.sum(F.when(~good, n)), F.lit(0)).alias("raw_rows_quarantined"),
     )
     return facts.withColumn("rows_deduplicated", F.col("rows_in") - F.col("rows_out") - F.col("rows_quarantined"))

@@ -110,7 +110,7 @@ FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN (SELECT * FR
 LEFT JOIN {_RATES_SQL} ON l_linenumber = rate GROUP BY 1
 """)
 def fk_classify(spark, sf_dir):
-    rates = spark.createDataFrame([(k,) for k in range(1, 7)], "rate int")
+    rates = reference.rate_codes(spark).select(F.col("rate_code_id").alias("rate"))
     zones = _read(spark, sf_dir, "nation").filter("n_nationkey <> 23").withColumn("is_sentinel", F.col("n_nationkey") == 24)
     facts = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     rules = RuleSet([Rule("HIGH_DISCOUNT", F.col("l_discount") >= 0.10), Rule("SMALL_QUANTITY", F.col("l_quantity") < 2)])
