@@ -1,0 +1,63 @@
+"""A snapshot's whole way, a failure in between, a correction, and a day without news."""
+
+import datetime as dt
+import io
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from tests.test_rules import GOOD
+from tidemark.functions.trips import BRONZE_COLUMNS
+from tidemark.operators.tables import Table
+from tidemark.plans import config, daily, publish, state
+from tidemark.sources.landing import Response
+
+KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "ntz": pa.timestamp("us")}
+
+
+def file_of(*changes) -> bytes:
+    rows = [GOOD | change for change in changes]
+    out = io.BytesIO()
+    pq.write_table(pa.table({name: pa.array([r[name] for r in rows], KINDS[kind]) for name, kind in BRONZE_COLUMNS}), out)
+    return out.getvalue()
+
+
+def test_daily(spark, tmp_path, monkeypatch):
+    csv = tmp_path / "zones.csv"
+    csv.write_text("LocationID,Borough,Zone,service_zone\n4,M,Z,Y\n264,U,U,N\n265,U,O,N\n")
+    early = GOOD["tpep_pickup_datetime"] - dt.timedelta(hours=1)
+    content = {"2024-01": file_of({}, {"tpep_pickup_datetime": early}, {"tpep_pickup_datetime": None})}
+
+    def lake(run_id):
+        settings = config.DEFAULTS | {"environment": "dev", "processing_date": "2024-03-15", "late_arrival_months": 1, "quarantine_threshold": 0.4, "pipeline_run_id": run_id}
+        settings["monitoring"] = {"max_no_data_runs": 2, "max_source_age_days": 100, "min_snapshot_rows": 1}
+        return daily.Lakehouse(spark, f"{tmp_path}/lake", settings)
+
+    def fetch(month):
+        return Response(200, None, content[month]) if month in content else Response(404, None, b"")
+
+    def rows(name):
+        return Table(spark, f"{tmp_path}/lake/{name}").read()
+
+    def run(run_id):
+        return daily.daily(lake(run_id), fetch, lambda month: month)
+
+    lake("r0").seed(str(csv))
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(daily, "aggregate_gold", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        run("r1")
+    assert run("r1")["status"] == "SUCCESS"
+    assert rows("silver/trips_clean").count() == 2 and rows("silver/trips_quarantine").count() == 1
+    served = publish.serving(spark, f"{tmp_path}/lake/serving", "revenue_by_zone_hour")
+    assert sorted((r["pickup_hour"], str(r["total_revenue"])) for r in served.collect()) == [(7, "15.30"), (8, "15.30")]
+
+    assert run("r2")["status"] == "NO_DATA"
+    content["2024-01"] = file_of({"fare_amount": 20.0, "total_amount": 22.0})
+    assert run("r3")["status"] == "SUCCESS"
+    assert rows("silver/trips_clean").count() == 1 and rows("silver/trips_quarantine").count() == 0
+    assert [str(r["total_revenue"]) for r in publish.serving(spark, f"{tmp_path}/lake/serving", "revenue_by_zone_hour").collect()] == ["22.00"]
+    assert rows("bronze").count() == 4 and rows("reference/ingestion_manifest").count() == 2
+    log = Table(spark, f"{tmp_path}/lake/reference/pipeline_run_state").read()
+    assert state.published(log).count() == 1 and state.dirty_months(log).count() == 0
+    assert {r["status"] for r in log.filter("pipeline_run_id = 'r3'").collect()} == {"SUCCESS"}

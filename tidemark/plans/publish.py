@@ -113,3 +113,18 @@ def pointer(folder: str) -> str | None:
 
 def serving(spark: SparkSession, folder: str, mart: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{pointer(folder)}/{mart}").drop("__month")
+
+
+def reconcile(spark: SparkSession, given: Mapping, folder: str) -> None:
+    """Raises unless serving shows what a handoff announced and has one receipt for its run."""
+    receipts = [name for name in os.listdir(f"{folder}/receipts") if name == f"{given['pipeline_run_id']}.json"]
+    if len(receipts) != 1:
+        raise ValueError(f"{len(receipts)} receipts of run {given['pipeline_run_id']}")
+    for mart in sorted({m["mart"] for m in given["metrics"]}):
+        announced = {m["month"]: (m["rows"], m["trips"]) for m in given["metrics"] if m["mart"] == mart}
+        table = spark.read.parquet(f"{folder}/{pointer(folder)}/{mart}")
+        month = F.col("__month").cast("string")
+        found = table.filter(month.isin(*announced)).groupBy(month.alias("month")).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"))
+        served = {r["month"]: (r["n"], r["trips"]) for r in found.collect()}  # as many rows as the handoff has months
+        if served != {m: v for m, v in announced.items() if v[0]}:
+            raise ValueError(f"{mart}: serving has {served}, {announced} were announced")

@@ -195,3 +195,24 @@ def compare_runs(first: dict, second: dict) -> None:
     for part in ("metrics", "snapshots"):
         if sorted(map(repr, first[part])) != sorted(map(repr, second[part])):
             raise ValueError(f"the runs differ in {part}")
+
+
+# -- the manifest of landed snapshots ---------------------------------------------------------------------------------
+
+MANIFEST_SCHEMA = (
+    "pipeline_run_id string, source_month string, snapshot_id string, uri string, checksum string, rows_received bigint, "
+    "bytes_received bigint, source_url string, source_version string, idempotency_key string, landed_at timestamp"
+)
+
+
+def write_manifest(table: Table, run_id: str, snapshots: Sequence[dict], dataset: str = "trips", system: str = "source") -> None:
+    """One row for each run, snapshot and checksum; landing again changes it in place."""
+    from tidemark.functions.identity import object_key
+
+    rows = [
+        (run_id, s["source_month"], s["snapshot_id"], s["uri"], s["checksum"], s["rows_received"], s["bytes_received"], s["source_url"], s["source_version"],
+         object_key(system, dataset, s["snapshot_id"], s["uri"], s["checksum"]), dt.datetime.now())
+        for s in snapshots
+    ]
+    if rows:
+        table.upsert(table.spark.createDataFrame(rows, MANIFEST_SCHEMA), ["pipeline_run_id", "snapshot_id", "checksum"])
