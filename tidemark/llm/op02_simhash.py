@@ -26,7 +26,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,9 +66,14 @@ def hashed(features: Iterable[bytes], seed: int = 42) -> np.ndarray:
 def fingerprint(text: str | None, words_a_shingle: int, seed: int = 42, *, distinct: bool = False) -> int:
     """The SimHash of a whole text."""
     features = shingles(text, words_a_shingle)
+    return simhash({*features} if distinct else features, seed)
+
+
+def simhash(features: Collection[bytes], seed: int = 42) -> int:
+    """A bit is set if it is set in the hashes of over half of the features; zero for none."""
     if not features:
         return 0
-    hashes = hashed(set(features) if distinct else features, seed)
+    hashes = hashed(features, seed)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
@@ -86,8 +91,8 @@ def _columns(width: int) -> list[str]:
 def _fingerprints(words_a_shingle: int, width: int, distinct: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [pa.array([_signed(fingerprint(text, words_a_shingle, 42 + i, distinct=distinct)) for text in texts], pa.int64()) for i in range(width)]
+            prints = [[_signed(fingerprint(text.as_py(), words_a_shingle, 42 + i, distinct=distinct)) for i in range(width)] for text in batch.column(1)]
+            found = [pa.array([p[i] for p in prints], pa.int64()) for i in range(width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", *_columns(width)])
 
     return run
@@ -251,9 +256,12 @@ def _worded(width: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            sequences = [hashlib.sha256(b" ".join((text or "").encode().lower().split())).digest() for text in texts]
-            found = [pa.array([_signed(fingerprint(text, 1, 42 + i, distinct=True)) for text in texts], pa.int64()) for i in range(width)]
+            sequences, prints = [], []
+            for text in batch.column(1):
+                words = (text.as_py() or "").encode().lower().split()
+                sequences.append(hashlib.sha256(b" ".join(words)).digest())
+                prints.append([_signed(simhash({*words}, 42 + i)) for i in range(width)])
+            found = [pa.array([p[i] for p in prints], pa.int64()) for i in range(width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequences, pa.binary()), *found], names=["doc_id", "sequence", *_columns(width)])
 
     return run

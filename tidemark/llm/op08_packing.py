@@ -77,8 +77,9 @@ def _pieces(path: str, capacity: int, block_pieces: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in PIECES.split(", ")])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = tokenizer.encode(text or "") + b"\0\0\0\0"
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):  # one text at a time in memory
+                doc_id = doc_id.as_py()
+                ids = tokenizer.encode(text.as_py() or "") + b"\0\0\0\0"
                 n = len(ids) // 4
                 for k, start in enumerate(range(0, n, capacity)):
                     length = min(capacity, n - start)

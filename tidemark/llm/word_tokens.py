@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 ODD = re.compile(r"[^\t-\r -~\u0085 -įı-ňŊ-ž]|<\|")
 #: Fixed value: the word pattern of the lower-cased word vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 _made: dict[str, WordTokenizer] = {}
 
 
