@@ -19,7 +19,7 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder that all executors share: below spark.checkpoint.dir, or a temporary one for a local session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         return tempfile.mkdtemp(prefix="tidemark-")
     return f"{found.rstrip('/')}/tidemark-tables/{uuid.uuid4().hex}"
