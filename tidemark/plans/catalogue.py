@@ -339,6 +339,27 @@ def salted_agg(spark, sf_dir):
     return salted_count(_read(spark, sf_dir, "events"), ["user_id"], F.col("event_id")).select("user_id", F.col("n").cast("bigint").alias("n"))
 
 
+_ZONE_HOUR_SQL = """
+SELECT c_nationkey AS zone_id, CAST(hour(ts) AS INTEGER) AS hour_of_day, count(*) AS n FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2
+"""
+
+
+def _zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = _read(spark, sf_dir, "events").join(_read(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
+    return trips.select(F.col("c_nationkey").alias("zone_id"), F.hour("ts").cast("int").alias("hour_of_day"), "event_id")
+
+
+@query(_ZONE_HOUR_SQL)
+def zone_hour(spark, sf_dir):
+    return _zone_hours(spark, sf_dir).groupBy("zone_id", "hour_of_day").agg(F.count("*").alias("n"))
+
+
+@query(_ZONE_HOUR_SQL)
+def zone_hour_salted(spark, sf_dir):
+    """The same with eight salts; partial aggregation before the shuffle makes it rarely worth it."""
+    return salted_count(_zone_hours(spark, sf_dir), ["zone_id", "hour_of_day"], F.col("event_id"))
+
+
 def _hourly(events: DataFrame) -> DataFrame:
     hours = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_start")
     return events.groupBy(hours).agg(F.count("*").alias("n"), F.sum(F.col("value").cast(_MONEY)).cast("decimal(20,2)").alias("total"))
