@@ -14,16 +14,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: The folders of local sessions that name none, by application.
+_own: dict[str, str] = {}
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder; a temporary one, set here, only for a local session that has none."""
-    found = spark.conf.get(CHECKPOINT_DIR, None)
+    """The shared folder; a temporary one, made here, only for a local session that names none."""
+    context = spark.sparkContext
+    found = spark.conf.get(CHECKPOINT_DIR, None) or _own.get(context.applicationId)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_DIR, found)
+        found = _own[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
     return found.rstrip("/")
 
 
@@ -62,11 +64,18 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 _shipped: set[str] = set()
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Sends this package to the executors through Spark's own file server, once a session; Python operators call it first."""
+    """Sends this package to the executors through Spark's own file server, once a session; Python operators call it first.
+
+    Arrow batches of texts are made smaller, unless the session has a size of its own: a batch is held by the executor's
+    JVM, outside its heap, and by the Python worker.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(BATCH_ROWS))
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp(prefix="tidemark-ship-")) / "tidemark_shipped.zip"
