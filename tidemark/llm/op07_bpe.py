@@ -40,7 +40,7 @@ from tidemark.llm.word_tokens import LETTERS, ODD, lettered, quiet
 
 #: Fixed value: the pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 _WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 BLOCKS = "block long, docs array<struct<doc_id: long, n: long>>, places binary, words array<binary>"
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded string"
