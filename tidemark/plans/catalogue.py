@@ -604,7 +604,7 @@ def stream_complete(spark, sf_dir):
 #: A state log made of events: one row for each, tasks and statuses in turn, with a JSON payload.  SQL of both engines.
 _LOG_SQL = """
 SELECT concat('run-', CAST(event_id % 500 AS {string})) AS pipeline_run_id,
-       CASE event_id % 4 WHEN 0 THEN 'source_landing' WHEN 1 THEN 'transform_silver' WHEN 2 THEN 'monitor' ELSE 'export_bigquery' END AS task_name,
+       CASE event_id % 4 WHEN 0 THEN 'source_landing' WHEN 1 THEN 'transform_silver' WHEN 2 THEN 'monitor' ELSE 'export_serving' END AS task_name,
        CASE WHEN user_id % 10 < 6 THEN 'SUCCESS' WHEN user_id % 10 < 8 THEN 'NO_DATA' ELSE 'FAILED' END AS status,
        concat('{{"snapshots":[{{"source_month":"2024-', CASE WHEN user_id % 12 < 9 THEN '0' ELSE '' END, CAST(user_id % 12 + 1 AS {string}), '-01","snapshot_id":"s', CAST(event_id % 7 AS {string}),
               '","uri":"u"}}],"cost_context":{{"duration_ms":', CAST(event_id % 1000 AS {string}), ',"environment":"dev","backfill":false}}}}') AS payload,

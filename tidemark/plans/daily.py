@@ -140,7 +140,7 @@ def daily(lake: Lakehouse, fetch: Callable[[str], landing.Response], url_of: Cal
         "transform_silver": lambda p: transform_silver(lake, run_id, p),
         "dq_gate": lambda p: quality.gate(p, config["quarantine_threshold"], limits["min_snapshot_rows"]),
         "aggregate_gold": lambda p: aggregate_gold(lake, p),
-        "export_bigquery": lambda p: export(lake, run_id, p),
+        "export_serving": lambda p: export(lake, run_id, p),
         "monitor": lambda p: check(lake, run, p),
     }
     done, upstream = {}, None
