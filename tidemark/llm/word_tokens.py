@@ -7,8 +7,8 @@ space or its special tokens could act otherwise than Python's string methods is
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 import regex
 from tokenizers import Tokenizer
 
@@ -16,7 +16,8 @@ from tokenizers import Tokenizer
 ODD = re.compile(r"[^\t-\r -~\u0085 -įı-ňŊ-ž]|<\|")
 #: Fixed value: the word pattern of the lower-cased word vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-REMEMBERED = 300_000
+#: Words that a worker remembers; those of the generation before are looked up once more before they are forgotten.
+REMEMBERED = 400_000
 _made: dict[str, WordTokenizer] = {}
 
 
@@ -38,6 +39,11 @@ def lettered(word: str) -> str:
     return word if word.isascii() and word.isalnum() else "".join(map(LETTERS.__getitem__, word.encode()))
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def quiet(path: str) -> Tokenizer:
     """The library's tokenizer, without truncation and padding."""
     tokenizer = Tokenizer.from_file(path)
@@ -54,6 +60,7 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         self.pattern = regex.compile(WORD_PATTERN)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -63,17 +70,20 @@ class WordTokenizer:
         return _made[path]
 
     def _learn(self, word: str) -> bytes:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        ids = [t.id for part in self.pattern.findall(word) for t in self.model.tokenize(lettered(part))]
-        found = self.known[word] = np.array(ids, "<u4").tobytes()
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        found = self.older.get(word)
+        if found is None:
+            parts = (word,) if word.isalpha() else self.pattern.findall(word)
+            found = packed_ids([t.id for part in parts for t in self.model.tokenize(lettered(part))])
+        self.known[word] = found
         return found
 
     def encode(self, text: str) -> bytes:
         if ODD.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known = text.lower().split(), self.known
+            return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        words = text.lower().split()
         try:
-            return b"".join(map(known.__getitem__, words))
+            return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            return b"".join([known.get(word) or self._learn(word) for word in words])
+            return b"".join([self.known.get(word) or self._learn(word) for word in words])
