@@ -74,6 +74,20 @@ def _packed(words: Iterable[bytes]) -> bytes:
     return zstandard.compress(b"\xff".join(words), 3)
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, the lowest first, compressed; the high planes are nearly nothing."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def _from_planes(value: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(value), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def _id_kind(path: str) -> str:
+    """How ids are written between executors: two bytes each if the vocabulary has no more."""
+    return "<u2" if quiet(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
 def _blocks(path: str, block_chars: int, parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, number = _Splitter(path), TaskContext.get().partitionId() << 31
@@ -92,7 +106,7 @@ def _blocks(path: str, block_chars: int, parts: int):
             cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
             lists = [_packed(words[i] for i in order[a:b].tolist()) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
             at = rank[np.concatenate([np.zeros(0, np.uint32), *places])]
-            columns = [[number], [docs], [zstandard.compress(at.tobytes(), 3)], [lists]]
+            columns = [[number], [docs], [_planes(at)], [lists]]
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _BLOCK_TYPES, strict=True)], names=["block", "docs", "places", "words"])
             number, chars = number + 1, 0
             seen.clear()
@@ -125,7 +139,7 @@ def _encode_words(path: str):
     """For each list of words, the numbers of their ids and then the ids, compressed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, pattern, names = quiet(path).model, regex.compile(PATTERN), _special(path)
+        model, pattern, names, kind = quiet(path).model, regex.compile(PATTERN), _special(path), _id_kind(path)
         table: dict[bytes, bytes] = {}
 
         def encode(word: bytes) -> bytes:
@@ -133,14 +147,14 @@ def _encode_words(path: str):
                 table.clear()
             text = word.decode()
             ids = [names[text]] if text in names else [t.id for part in pattern.findall(text) for t in model.tokenize(lettered(part))]
-            found = table[word] = np.array(ids, "<u4").tobytes()
+            found = table[word] = np.array(ids, kind).tobytes()
             return found
 
         for batch in batches:
             out = []
             for words in batch.column(2):
                 ids = [table.get(word) or encode(word) for word in zstandard.decompress(words.as_py()).split(b"\xff")]
-                lengths = np.fromiter(map(len, ids), "<u4", len(ids)) // 4
+                lengths = np.fromiter(map(len, ids), "<u4", len(ids)) // int(kind[-1])
                 out.append(zstandard.compress(np.uint32(len(ids)).tobytes() + lengths.tobytes() + b"".join(ids), 3))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "part", "ids"])
 
@@ -149,13 +163,17 @@ def _encode_words(path: str):
 
 def _documents(path: str, digests: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path)
+        pieces, kind = _pieces(path), _id_kind(path)
         for batch in batches:
             for docs, places, packed in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                at = np.frombuffer(zstandard.decompress(places.as_py()), np.uint32)
-                lists = [np.frombuffer(zstandard.decompress(x["ids"]), "<u4") for x in packed.as_py() or ()]
-                lengths = np.concatenate([np.zeros(0, np.int64), *(x[1 : 1 + x[0]].astype(np.int64) for x in lists)])
-                ids = np.concatenate([np.zeros(0, "<u4"), *(x[1 + x[0] :] for x in lists)])
+                at = _from_planes(places.as_py())
+                lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
+                for x in packed.as_py() or ():
+                    raw = zstandard.decompress(x["ids"])
+                    count = int(np.frombuffer(raw, "<u4", 1)[0])
+                    lengths.append(np.frombuffer(raw, "<u4", count, 4).astype(np.int64))
+                    ids.append(np.frombuffer(raw, kind, offset=4 + 4 * count).astype("<u4"))
+                lengths, ids = np.concatenate(lengths), np.concatenate(ids)
                 starts = np.cumsum(lengths) - lengths
                 rows, first = [], 0
                 for doc in docs.as_py():
