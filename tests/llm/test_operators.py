@@ -146,6 +146,19 @@ def test_near_copies(spark, odd, empty):
     assert op02_simhash.near_copies(empty).count() == 0
 
 
+def test_near_copies_of_one_template(spark):
+    """Revisions of pages that all have the template in common are found, though the pages are no copies of each other."""
+    draw = np.random.default_rng(5)
+    template = [f"t{k}" for k in range(180)]
+    # nine in ten words are the template's, so the fingerprints are near; but half of the shingles have a word of the page
+    pages = [[w for k in range(20) for w in (*template[9 * k : 9 * k + 9], f"p{i}x{k}")] for i in range(2100)]
+    revised = {i: [*page[:150], *(f"r{i}x{k}" for k in range(6)), *page[150:]] for i, page in enumerate(pages) if i % 20 == 0}
+    rows_ = [(i, " ".join(p)) for i, p in enumerate(pages)] + [(10_000 + i, " ".join(p)) for i, p in revised.items()]
+    frame = spark.createDataFrame([rows_[k] for k in draw.permutation(len(rows_))], "doc_id long, text string")
+    found = dict(map(tuple, op02_simhash.near_copies(frame).collect()))
+    assert found == {i: i % 10_000 for i, _ in rows_}
+
+
 def test_components(spark):
     draw = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in draw.integers(0, 300, (200, 2))] + [(1000 + k, 1001 + k) for k in range(40)] + [(5000, k) for k in range(5001, 5100)]

@@ -11,8 +11,10 @@ segment lacks one of their set bits, for of two segments that differ in one bit
 what meets there, before the full Hamming distance.
 
 near_duplicates() has m > max_distance, so it finds every link.  near_copies() looks for texts whose sets of five-word
-shingles are similar; SimHash cannot bound that, so it takes wide fingerprints of the distinct words as candidates, with a
-distance that nearly all such texts keep, the same keys (then stricter than the guarantee asks) and the exact similarity.
+shingles are similar; SimHash cannot bound that.  So wide fingerprints of the distinct words, with the same keys (then
+stricter than the guarantee asks), only connect most groups cheaply; the rest is found by prefixes, which miss nothing: in
+one order of all shingles, rare ones first, two sets that are similar enough share one of their first ones.  All pairs that
+share one and are not connected by then are decided by the exact similarity.
 
 Only distinct fingerprints take part, and a bucket gives edges that connect what it links, not all of its pairs; copies
 therefore cost nothing and a large group of near copies costs about its size.  No bucket is capped.
@@ -26,6 +28,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Collection, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -36,13 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.scratch import keep, ship, sized
+from tidemark.llm.scratch import discard, keep, keep_once, ship, sized
 
 BITS = 64
 #: In a bucket's key, the place on the ring stands above so many bits; no two segments have more.
 RING_BITS = 48
 #: Rows of a bucket that are compared by shifted columns; larger buckets go through _large_bucket().
 SMALL = 8
+#: For the order of prefixes: about so many texts are read for common shingles, and at most so many of those are told apart.
+SAMPLE, COMMON = 10_000, 100_000
 
 
 def shingles(text: str | None, words_a_shingle: int) -> list[bytes]:
@@ -251,18 +256,146 @@ def near_duplicates(docs: DataFrame, *, words_a_shingle: int = 4, max_distance:
     return prints.join(named, "fp0", "left").select("doc_id", "fp0", "component_id")
 
 
-def _worded(width: int):
-    """A digest of a text's words in order, and the fingerprint of its distinct words."""
+def _shingle_hashes(words: list[bytes], words_a_shingle: int) -> np.ndarray:
+    """The distinct shingles of a text's words, as signed longs in order."""
+    joined = b" ".join(words)
+    return np.unique(hashed(shingles(joined.decode(), words_a_shingle)).reshape(-1).view(">i8")).astype(np.int64)
+
+
+def _sampled(words_a_shingle: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes((text.as_py() or "").encode().lower().split(), words_a_shingle))], names=["h"])
+
+    return run
+
+
+def _common(source: DataFrame, words_a_shingle: int) -> np.ndarray:
+    """The commonest shingles of about SAMPLE texts, the rarer first.  Only the order of prefixes comes from them: any
+    order finds the same pairs."""
+    every = max(1, source.count() // SAMPLE)
+    some = source.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").mapInArrow(_sampled(words_a_shingle), "h long")
+    found = some.groupBy("h").count().filter(F.col("count") >= 4).orderBy(F.desc("count"), "h").limit(COMMON).select("h").collect()
+    return np.array([r["h"] for r in reversed(found)], np.int64)
+
+
+def prefix_of(own: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first of a set's shingles, the rare before the common: two sets of that Jaccard similarity share one of them,
+    for each has at least similarity * size in common with the other.  common is sorted; rank: the place of each."""
+    if not len(own):
+        return own
+    taken = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
+    if not len(common):
+        return own[:taken]
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    return own[np.argsort(np.where(common[at] == own, rank[at], -1), kind="stable")[:taken]]
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """How many of a set's shingles have each last byte, up to 255."""
+    return np.minimum(np.bincount(own & 255, minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _can_be_alike(similarity: float):
+    """The pairs whose sketches allow that similarity: no more is in common than the lesser counts sum to.  A count of 255
+    stands for any higher one too, so a set that has one passes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sequences, prints = [], []
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, 256) for i in (2, 3))
+            needs = similarity / (1 + similarity) * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64)) - 1e-6
+            ok = (np.minimum(x, y).sum(axis=1, dtype=np.int64) >= needs) | (np.maximum(x, y) == 255).any(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    return run
+
+
+def _worded(width: int, words_a_shingle: int, similarity: float, ordered: np.ndarray):
+    """A digest of a text's words in order, the fingerprint of its distinct words, and prefix, size and sketch of its shingles."""
+    rank = np.argsort(ordered)
+    common = ordered[rank]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sequences, prints, prefixes, sizes, sketches = [], [], [], [], []
             for text in batch.column(1):
                 words = (text.as_py() or "").encode().lower().split()
                 sequences.append(hashlib.sha256(b" ".join(words)).digest())
                 prints.append([_signed(simhash({*words}, 42 + i)) for i in range(width)])
+                own = _shingle_hashes(words, words_a_shingle)
+                prefixes.append(prefix_of(own, similarity, common, rank))
+                sizes.append(len(own))
+                sketches.append(sketch(own))
             found = [pa.array([p[i] for p in prints], pa.int64()) for i in range(width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sequences, pa.binary()), *found], names=["doc_id", "sequence", *_columns(width)])
+            told = [pa.array(sequences, pa.binary()), *found, pa.array(prefixes, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *told], names=["doc_id", "sequence", *_columns(width), "prefix", "size", "sketch"])
+
+    return run
+
+
+def _whole_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of batches sorted by their first one, cut where it changes."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = tuple(column.to_numpy(zero_copy_only=False) for column in batch.columns)
+        cut = int(np.searchsorted(now[0], now[0][-1])) if not held or held[0][0][0] != now[0][-1] else 0
+        if cut or (held and held[0][0][0] != now[0][0]):
+            yield tuple(np.concatenate([*(h[i] for h in held), now[i][:cut]]) for i in range(len(now)))
+            held = []
+        held.append(tuple(column[cut:] for column in now))
+    if held:
+        yield tuple(np.concatenate([h[i] for h in held]) for i in range(len(held[0])))
+
+
+def _shared_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (key, node, size, place), sorted by key, whose key another row has too."""
+    for columns in _whole_keys(batches):
+        same = columns[0][1:] == columns[0][:-1]
+        rows = np.flatnonzero(np.append(same, False) | np.concatenate(([False], same)))
+        yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in columns], names=["key", "node", "size", "place"])
+
+
+def _prefix_pairs(similarity: float, whole: bool):
+    """Pairs of rows (key, size, node, place, component), sorted by key and size, of different components, that can be as
+    similar as that by their sizes and by what stands behind a first common shingle.
+
+    Not whole: only each row with the first of its key and with its neighbour, which connects most of a large group."""
+
+    def can(size, place, component, i, j):
+        left = np.minimum(size[i] - place[i], size[j] - place[j])
+        needs = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
+        return (component[i] != component[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= needs)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(i, j):
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["a", "b"])
+
+        for key, size, node, place, component in _whole_keys(batches):
+            size, place = size.astype(np.int64), place.astype(np.int64)
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            counts = np.diff(np.append(starts, len(key)))
+            first, small = np.repeat(starts, counts), np.repeat(counts <= SMALL, counts)
+            if not whole:
+                i = np.arange(len(key))
+                for j in (first, np.maximum(first, i - 1)):
+                    ok = can(size, place, component, i, j)
+                    yield told(i[ok], j[ok])
+                continue
+            for step in range(1, min(SMALL, len(key))):
+                i = np.flatnonzero(small[:-step] & (key[:-step] == key[step:]))
+                i = i[can(size, place, component, i, i + step)]
+                yield told(i, i + step)
+            for s, n in zip(starts[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
+                if (component[s : s + n] == component[s]).all():
+                    continue
+                for i in range(s, s + n - 1):
+                    j = np.arange(i + 1, s + np.searchsorted(size[s : s + n], size[i] / similarity + 1e-6, "right"))
+                    j = j[can(size, place, component, np.full(len(j), i), j)]
+                    if len(j):
+                        yield told(np.full(len(j), i), j)
 
     return run
 
@@ -282,19 +415,40 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: in
     """(doc_id, component_id) for every doc_id of docs (doc_id, text): documents whose sets of shingles have at least that
     Jaccard similarity are linked.
 
-    Texts with the same words in the same order are one class.  Candidates come from fingerprints of the distinct words;
-    each candidate pair is decided by the shingles of both texts.
+    Texts with the same words in the same order are one class.  A first round takes candidates from fingerprints of the
+    distinct words.  Then come pairs that share a shingle of their prefixes and are not connected by then: first neighbours,
+    which connect most of what is left of a large group, and last all of them.  Each candidate pair is decided by the
+    shingles of both texts.
     """
     ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     names = _columns(width)
-    prints = keep(source.mapInArrow(_worded(width), ", ".join(["doc_id long", "sequence binary", *(f"{c} long" for c in names)])), "fingerprints")
+    kinds = ["doc_id long", "sequence binary", *(f"{c} long" for c in names), "prefix array<long>", "size int", "sketch binary"]
+    prints = keep(source.mapInArrow(_worded(width, words_a_shingle, similarity, _common(source, words_a_shingle)), ", ".join(kinds)), "fingerprints")
     classes = keep(prints.groupBy("sequence").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in names)), "classes")
-    candidates = keep(links(classes, Ring.of(width, 5, max_distance), spare=True), "candidates")
-    wanted = sized(keep(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "wanted"))
-    sets = keep(source.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(words_a_shingle), "node long, own array<long>"), "shingles")
-    both = candidates.join(sets.select(F.col("node").alias("a"), F.col("own").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("of_b")), "b")
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    alike = both.filter(shared >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
-    named = classes.join(components(alike), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
+    nodes = sized(keep(classes.select(F.col("node").alias("doc_id")).distinct(), "nodes"))
+    places = prints.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
+    shared = keep(places.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long, size int, place int"), "shared")
+
+    sketches = prints.join(nodes, "doc_id", "left_semi").select("doc_id", "sketch")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        spark = pairs.sparkSession
+        of_a, of_b = (sketches.select(F.col("doc_id").alias(side), F.col("sketch").alias(f"of_{side}")) for side in "ab")
+        sketched = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
+        candidates = keep(sketched.mapInArrow(_can_be_alike(similarity), "a long, b long"), "candidates")
+        wanted = sized(keep(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "wanted"))
+        sets, path = keep_once(source.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(words_a_shingle), "node long, own array<long>"), "shingles")
+        both = candidates.join(sets.select(F.col("node").alias("a"), F.col("own").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("of_b")), "b")
+        common = F.size(F.array_intersect("of_a", "of_b"))
+        found = keep(both.filter(common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common)).select("a", "b"), "alike")
+        discard(spark, path)
+        return found
+
+    found = alike(links(classes, Ring.of(width, 5, max_distance), spare=True))
+    for whole in (False, True):
+        apart = shared.join(components(found), "node", "left").select("key", "size", "node", "place", F.coalesce("component", "node").alias("component"))
+        pairs = apart.repartition("key").sortWithinPartitions("key", "size", "node").mapInArrow(_prefix_pairs(similarity, whole), "a long, b long")
+        found = found.union(alike(pairs.distinct()))
+    named = classes.join(components(found), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "sequence").select("doc_id", "component_id")
