@@ -159,6 +159,20 @@ def test_near_copies_of_one_template(spark):
     assert found == {i: i % 10_000 for i, _ in rows_}
 
 
+def test_near_copies_cut_or_extended(spark):
+    """All pairs at the border are found, whatever the edit: passages that are cut off or added, and changed words."""
+    draw = np.random.default_rng(11)
+    rows_ = []
+    for k in range(600):
+        words = [f"w{x}" for x in draw.integers(0, 20_000, int(draw.choice([60, 200, 600])))]
+        share = float(draw.choice([0.1, 0.15, 0.19]))
+        rows_ += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[: round(len(words) * (1 - share))]))]
+    sets = dict((i, shingle_set(t)) for i, t in rows_)
+    near = {i for i in range(0, 1200, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])}
+    found = dict(map(tuple, op02_simhash.near_copies(spark.createDataFrame(rows_, "doc_id long, text string")).collect()))
+    assert len(near) > 500 and {i for i in range(0, 1200, 2) if found[i + 1] == i} == near
+
+
 def test_components(spark):
     draw = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in draw.integers(0, 300, (200, 2))] + [(1000 + k, 1001 + k) for k in range(40)] + [(5000, k) for k in range(5001, 5100)]
