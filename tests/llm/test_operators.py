@@ -282,6 +282,15 @@ def test_licenses(spark, odd, empty):
     assert op06_licenses.scan(odd).count() == 0 and op06_licenses.scan(empty).count() == 0 and op06_licenses.scan(odd, []).count() == 0
 
 
+def test_short_license_templates(spark):
+    templates = [("rights", "All rights reserved."), ("MIT", "Released under the MIT License."), ("CC0", "CC0")]
+    texts_ = [(1, "x y. ALL RIGHTS  reserved! z"), (2, "all rights"), (3, "All rights reserved"), (4, "all x rights reserved"), (5, None), (6, "cc0, released under the MIT license"), (7, "all all rights reserved, all rights reserved")]
+    found = op06_licenses.scan(spark.createDataFrame(texts_, "doc_id long, text string"), templates)
+    assert rows(found.select("doc_id", "license", "containment", "at_word")) == [(1, "rights", 1.0, 2), (3, "rights", 1.0, 0), (6, "CC0", 1.0, 0), (6, "MIT", 1.0, 1), (7, "rights", 1.0, 1)]
+    with pytest.raises(ValueError):
+        op06_licenses.scan(found.selectExpr("doc_id", "license AS text"), [("none", "...")])
+
+
 # -- 7 ----------------------------------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("block_chars", [16_000_000, 50])

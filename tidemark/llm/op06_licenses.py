@@ -12,7 +12,10 @@ such a shingle are looked for first, and signatures are computed for the windows
 as for all windows.  There are templates * BANDS such shingles, whatever the size of the data; nothing is shuffled but the
 matches.
 
-Cases: a null or empty text, or one of fewer than five words, matches nothing.  Matches of rows with the same doc_id count
+A template of fewer than five words is one shingle, its whole sequence of words, which a text holds or doesn't; at_word is
+where it stands first.  A template without a word is an error.
+
+Cases: a null or empty text matches nothing, and one of fewer than five words only such short templates.  Matches of rows with the same doc_id count
 as one document's; a null doc_id is a document.  An empty table gives no rows; other columns are ignored.
 """
 
@@ -82,14 +85,8 @@ def _template_rows(spark: SparkSession, templates: list[tuple[str, str]]) -> Dat
     return hashed.filter(F.size("hashes") > 0).select("template", "license", "wanted", F.size("hashes").alias("size"), signature(F.col("hashes")).alias("bands"), least.alias("least"))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(doc_id, license, containment, at_word): the best match of each licence in each of docs (doc_id, text).
-
-    at_word: where the first window that contains that much begins.
-    """
-    known = _template_rows(docs.sparkSession, TEMPLATES if templates is None else templates).collect()  # as many as there are templates
-    if not known:
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("at_word")).filter(F.lit(False))
+def _matched(docs: DataFrame, known: list) -> DataFrame:
+    """(doc_id, license, containment, begin): the windows that contain enough of a template."""
     longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
     sizes = sorted({r["size"] for r in known})
     telling = longs(sorted({h for r in known for h in r["least"]}))
@@ -112,9 +109,43 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> Dat
     begin = F.greatest(F.lit(0), F.col("start") - slip)
     window = F.slice("words", begin + 1, F.col("start") + F.col("size") + slip - begin + (WORDS_A_SHINGLE - 1))
     share = F.size(F.array_intersect(F.col("met.wanted"), shingles_of(window))) / F.size("met.wanted")
-    matched = met.select("doc_id", F.col("met.license").alias("license"), share.cast("double").alias("containment"), begin.cast("long").alias("begin")).filter(F.col("containment") >= CONTAINMENT)
+    return met.select("doc_id", F.col("met.license").alias("license"), share.cast("double").alias("containment"), begin.cast("long").alias("begin")).filter(F.col("containment") >= CONTAINMENT)
+
+
+def _short_matched(docs: DataFrame, short: list[tuple[str, list[str]]]) -> DataFrame:
+    """The same for templates of fewer words than a shingle has: the first place of each one's words in a row."""
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.inline(F.array(F.struct(words_of(F.col("text").cast("string")).alias("words")))))
+
+    def first(wanted: list[str]) -> Column:
+        words = F.array(*map(F.lit, wanted))
+        places = F.sequence(F.lit(1), F.size("words") - (len(wanted) - 1))
+        held = F.filter(places, lambda i: F.slice("words", i, len(wanted)) == words)
+        return F.when((F.size("words") >= len(wanted)) & F.array_contains("words", wanted[0]), F.get(held, F.lit(0)) - 1).cast("long")
+
+    told = F.array(*[F.struct(F.lit(name).alias("license"), first(words).alias("begin")) for name, words in short])
+    return read.select("doc_id", F.inline(told)).filter("begin is not null").select("doc_id", "license", F.lit(1.0).alias("containment"), "begin")
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(doc_id, license, containment, at_word): the best match of each licence in each of docs (doc_id, text).
+
+    at_word: where the first window that contains that much begins.
+    """
+    templates = TEMPLATES if templates is None else templates
+    short, known = [], []
+    if templates:
+        notices = docs.sparkSession.createDataFrame(templates, "license string, notice string").select("license", "notice", words_of(F.col("notice")).alias("words")).collect()
+        for r in notices:
+            if not r["words"]:
+                raise ValueError(f"a template of {r['license']} has no word: {r['notice']!r}")
+        short = [(r["license"], r["words"]) for r in notices if len(r["words"]) < WORDS_A_SHINGLE]
+        known = _template_rows(docs.sparkSession, templates).collect()  # as many as there are templates
     best = F.min(F.struct((-F.col("containment")).alias("lacks"), F.col("begin").alias("begin")))
-    return matched.groupBy("doc_id", "license").agg(best.alias("best")).select("doc_id", "license", (-F.col("best.lacks")).alias("containment"), F.col("best.begin").alias("at_word"))
+    found = [*([_matched(docs, known)] if known else []), *([_short_matched(docs, short)] if short else [])]
+    if found:
+        matched = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+        return matched.groupBy("doc_id", "license").agg(best.alias("best")).select("doc_id", "license", (-F.col("best.lacks")).alias("containment"), F.col("best.begin").alias("at_word"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment"), F.lit(0).cast("long").alias("at_word")).filter(F.lit(False))
 
 
 def reference_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
