@@ -365,28 +365,87 @@ def pcm(wave):
     return bytes(np.clip(np.rint(wave * 80 + 128), 0, 255).astype(np.uint8))
 
 
-def test_media(spark, odd, empty):
+def linked_somewhere(a, b):
+    """Whether any grids of two recordings are linked at any offset."""
+    return any(
+        op09_media.agreement(x, y, ahead, 0.1)[0] for x in a for y in b for ahead in range(-len(y) + op09_media.WIDTH, len(x) - op09_media.WIDTH + 1)
+    )
+
+
+def test_media(spark):
     base = tune(0, 3)
     noisy = base + np.random.default_rng(9).normal(0, 0.02, len(base))
     shift = 25 * op09_media.HOP
-    recordings = [(0, pcm(base)), (1, pcm(base)), (2, pcm(noisy)), (3, pcm(base[shift:])), (4, pcm(tune(5, 3))), (5, b""), (6, None), (7, b"short"), (8, pcm(base))]
-    frame = spark.createDataFrame(recordings, "id long, audio binary")
-    found = op09_media.search(frame, F.col("id"), F.col("audio"), F.col("id") == 0).collect()
-    members = {r["id"]: r["class_id"] for r in found if r["kind"] == "member"}
-    assert members == {0: 0, 1: 0, 8: 0, 2: 2, 3: 3, 4: 4, 5: None, 6: None, 7: None}
-    matches = {r["class_id"]: r for r in found if r["kind"] == "match"}
-    assert matches.keys() == {2, 3} and matches[2]["shift"] == 0 and matches[3]["shift"] == 25 and matches[3]["error"] == 0.0
-    a, b = (op09_media.fingerprints_of([dict(recordings)[k]])[0] for k in (0, 2))
-    assert matches[2]["error"] == pytest.approx(np.bitwise_count(a ^ b).sum() / 32 / len(a))
+    off_grid = base[shift + 13 :]
+    recordings = [
+        (0, pcm(base)), (1, pcm(base)), (2, pcm(noisy)), (3, pcm(base[shift:])), (4, pcm(tune(5, 3))), (5, b""), (6, None), (7, b"short"), (8, pcm(base)), (9, pcm(off_grid)),
+        (10, b"short"), (11, pcm(base[:900])), (12, pcm(base[:900])), (None, pcm(base)), (13, pcm(tune(6, 3))), (13, pcm(noisy)), (14, b"\x80" * 9000), (15, b"\x80" * 8000),
+    ]
+    frame = spark.createDataFrame(recordings, "id long, audio binary").withColumn("hub_id", F.lit(1)).withColumn("marks", F.lit("x"))
+    found = op09_media.align(frame, F.col("id"), F.col("audio")).collect()
+    assert sorted(r["id"] for r in found) == sorted(i for i, _ in recordings if i is not None)
+    by_id = {r["id"]: r for r in found if r["id"] != 13}
+    assert {i: r["class_id"] for i, r in by_id.items()} == {0: 0, 1: 0, 8: 0, 2: 2, 3: 3, 4: 4, 5: None, 6: None, 7: 7, 10: 7, 9: 9, 11: 11, 12: 11, 14: 14, 15: 15}
+    assert {i: r["group_id"] for i, r in by_id.items()} == {0: 0, 1: 0, 8: 0, 2: 0, 3: 0, 9: 0, 4: 4, 5: None, 6: None, 7: 7, 10: 7, 11: 11, 12: 11, 14: 14, 15: 15}
+    assert {r["group_id"] for r in found if r["id"] == 13} == {0}
+    assert (by_id[3]["hub_id"], by_id[3]["shift"], by_id[3]["error"]) == (0, -shift, 0.0) and by_id[0]["hub_id"] is None and by_id[0]["n_links"] == 0
+    assert abs(by_id[9]["shift"] + shift + 13) <= 4
+    a, b = (op09_media.fingerprints_of([dict(recordings)[k]])[0][0] for k in (0, 2))
+    assert by_id[2]["shift"] == 0 and by_id[2]["error"] == pytest.approx(np.bitwise_count(a ^ b).sum() / 32 / len(a), abs=0.01)
+
+
+def test_media_on_odd_rows(odd, empty):
     audio = F.encode("text", "UTF-8")
-    assert op09_media.search(odd, F.col("doc_id"), audio, F.col("id") % 2 == 0).filter("kind = 'member'").count() == sum(i is not None for i, _ in texts(odd))
-    assert op09_media.search(empty, F.col("doc_id"), audio, F.col("id") % 2 == 0).count() == 0
+    found = op09_media.align(odd, F.col("doc_id"), audio).collect()
+    assert sorted(r["id"] for r in found) == sorted(i for i, _ in texts(odd) if i is not None)
+    groups = {r["id"]: r["group_id"] for r in found}
+    assert groups[5] == groups[6] == groups[-5] == -5 and groups[4] == groups[14] == 4 and groups[1] is None and groups[2] is None
+    assert op09_media.align(empty, F.col("doc_id"), audio).count() == 0
+
+
+def test_media_finds_what_brute_force_finds(spark, docs):
+    """All pairs, grids and offsets: nearly every linked pair is in one group, and nothing else is."""
+    draw, recordings = np.random.default_rng(5), []
+    prose = [t.encode() for _, t in texts(docs) if t and 1200 < len(t.encode()) < 3000]
+    for k in range(8):
+        text, wave = prose[k], tune(k, 0.8)
+        edited = bytearray(text)
+        for at in draw.choice(len(edited), 8, replace=False):
+            edited[at] = 97 + int(draw.integers(26))
+        louder, noisy, cut = wave * 0.6, wave + draw.normal(0, 0.1, len(wave)), wave[int(draw.integers(1, 2000)) :]
+        recordings += [text, text[int(draw.integers(1, 200)) :], text[: len(text) * 4 // 5], bytes(edited), pcm(wave), pcm(louder), pcm(noisy), pcm(cut)]
+    prints = op09_media.fingerprints_of(recordings)
+    # recordings of one tune or text are all held against each other, and each against one of every other
+    pairs = [(i, j) for j in range(len(prints)) for i in range(j) if i // 4 == j // 4 or i % 4 == (j // 4) % 4 == j % 4]
+    links = [(i, j) for i, j in pairs if linked_somewhere(prints[i], prints[j])]
+    want = classes(range(len(prints)), links)
+    found = {r["id"]: r["group_id"] for r in op09_media.align(spark.createDataFrame(list(enumerate(recordings)), "id long, audio binary"), F.col("id"), F.col("audio")).collect()}
+    assert len(links) > 60 and sum(found[i] == found[j] for i, j in links) >= 0.9 * len(links)
+    assert all(want[i] == want[c] for i, c in found.items())
+
+
+def test_a_mark_that_all_recordings_share_has_one_hub(spark):
+    """A recording's candidates are as many as its marks at most, however many recordings share them."""
+    base = tune(1, 0.3)
+    for many in (40, 160):
+        recordings = [(k, pcm(base + np.random.default_rng(k).normal(0, 0.01, len(base)))) for k in range(many)]
+        prints = op09_media.fingerprints(spark.createDataFrame(recordings, "id long, audio binary"), F.col("id"), F.col("audio"))
+        links = op09_media.alignments(prints, 0.1).collect()
+        assert {r["id"] for r in links} == set(range(1, many))
+        assert len(links) <= 10 * many
+
+
+def test_grids_differ_by_every_seventh_of_a_hop():
+    step = op09_media.HOP // 7
+    assert {(a - b) % op09_media.HOP for a in op09_media.PHASES for b in op09_media.PHASES} == set(range(0, op09_media.HOP, step))
 
 
 def test_fingerprints_do_not_depend_on_their_batch():
     some = [pcm(tune(k, 1 + k / 3)) for k in range(5)]
     together = op09_media.fingerprints_of([b"", *some, b"x"])[1:-1]
-    assert all((a == op09_media.fingerprints_of([r])[0]).all() for a, r in zip(together, some, strict=True))
+    for a, r in zip(together, some, strict=True):
+        assert all((x == y).all() for x, y in zip(a, op09_media.fingerprints_of([r])[0], strict=True))
+        assert all((x == y).all() for x, y in zip(a, op09_media._restored(op09_media._stored(a)), strict=True))
 
 
 # -- 10 ---------------------------------------------------------------------------------------------------------------

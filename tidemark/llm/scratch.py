@@ -6,12 +6,14 @@ Every intermediate that is read more than once is written as Parquet below the f
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 #: The folders of local sessions that name none, by application.
@@ -57,6 +59,34 @@ def sized(keys: DataFrame) -> DataFrame:
     return keys.hint("broadcast" if keys.count() <= BROADCAST_KEYS else "merge")
 
 
+#: Bits of the largest bit map of keys, 32 MB; it has 16 bits a key, or fewer where there are more keys than that allows.
+MOST_BITS = 1 << 28
+
+
+def likely(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
+    """df with a boolean column ``name``: false where ``key`` is certainly not in the one column of keys.
+
+    A bit map of hashes of the keys goes to every task: its size is bounded by MOST_BITS, whatever the number of keys.  More
+    keys only make more rows likely that are none; callers decide on likely rows by a join, so that all others, with their
+    texts, stay where they are.
+    """
+    n = keys.count()
+    bits = min(MOST_BITS, 1 << max(15, math.ceil(math.log2(16 * max(n, 1)))))
+
+    def place(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+
+    taken = {c.lower() for c in df.columns} | {name.lower()}
+    page, bitmap = [x for x in (f"tidemark_{k}" for k in range(len(taken) + 2)) if x not in taken][:2]
+    own = place(F.col(f"`{keys.columns[0]}`"))
+    pages = keys.filter(F.col(f"`{keys.columns[0]}`").isNotNull()).groupBy(F.bitmap_bucket_number(own).alias(page)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(own)).alias(bitmap))
+    bit = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
+    joined = df.withColumn(page, F.bitmap_bucket_number(place(key))).join(F.broadcast(pages), page, "left")
+    return joined.withColumn(name, F.coalesce(is_set, F.lit(False)) & key.isNotNull()).drop(page, bitmap)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table that nothing will read again."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
