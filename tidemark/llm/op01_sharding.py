@@ -5,7 +5,8 @@ A key and the number of shards decide the shard; with one shard more, rows only
 
 The recurrence multiplies 64-bit integers that wrap; ANSI arithmetic does not, so products are made of 16- and 32-bit
 halves.  Slots number the rows of a shard: rows are dealt out by shard and by ``lanes`` lanes, numbered in their lane, and
-each lane starts where the lanes before it end, so no shard is gathered in one task.
+each lane starts where the lanes before it end, so no shard is gathered in one task.  A row's lane follows from its id and
+the checksum of its text together: ids that stand in strides, or null ids, are spread by their texts, and copies by their ids.
 
 Cases: a null key counts as 0; a null text has no bytes (size 1, checksum 0); repeated rows get slots of their own; an
 empty table gives no rows; other columns are ignored.
@@ -63,9 +64,9 @@ def shard(docs: DataFrame, shards: int = 16, *, lanes: int = 1024) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.col("doc_id").cast("long")
-    lane = F.pmod(F.coalesce(key, F.lit(0)), F.lit(lanes)).cast("int")
+    lane = F.pmod(F.pmod(F.coalesce(key, F.lit(0)), F.lit(lanes)) + F.pmod(F.crc32(text), F.lit(lanes)), F.lit(lanes)).cast("int")
     keyed = docs.select(key.alias("doc_id"), jump_hash(key, shards).alias("jump"), lane.alias("lane"))
-    # how many rows each lane has is counted without reading the texts; the counts are shards * lanes rows at most
+    # how many rows each lane has; the counts are shards * lanes rows at most
     counts = keyed.groupBy(F.col("jump.shard").alias("shard"), "lane").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("lane").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     starts = counts.select("shard", "lane", before.alias("first"))
@@ -106,6 +107,6 @@ jumps(doc_id, kind, key, here, following) AS (
     FROM (SELECT *, (key * {(MULTIPLIER_HIGH << 32) + MULTIPLIER_LOW}::UHUGEINT + 1::UHUGEINT) % 18446744073709551616::UHUGEINT AS drawn FROM jumps WHERE following < {shards})),
 landed AS (SELECT doc_id, kind, here AS shard, CASE WHEN following = {shards} THEN {shards} ELSE here END AS grown FROM jumps WHERE following >= {shards})
 SELECT s.doc_id, s.size::BIGINT AS size, s.crc AS text_crc32, 'key' AS law, a.shard::INTEGER AS shard,
-       row_number() OVER (PARTITION BY a.shard ORDER BY s.doc_id % {lanes}, s.doc_id) - 1 AS slot, a.grown::INTEGER AS grown_shard, b.shard::INTEGER AS text_shard
+       row_number() OVER (PARTITION BY a.shard ORDER BY (s.doc_id % {lanes} + s.crc % {lanes}) % {lanes}, s.doc_id) - 1 AS slot, a.grown::INTEGER AS grown_shard, b.shard::INTEGER AS text_shard
 FROM summed s JOIN landed a ON s.doc_id = a.doc_id AND a.kind = 0 JOIN landed b ON s.doc_id = b.doc_id AND b.kind = 1
 """
