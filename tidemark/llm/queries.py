@@ -89,7 +89,7 @@ WITH split AS (SELECT doc_id, text, coalesce(source, '') AS host, string_split(t
 totals AS (SELECT host, count(*) AS pages FROM split GROUP BY host),
 counted AS (SELECT host, unnest(list_distinct(list_filter(lines, lambda x: trim(x) <> ''))) AS line FROM split),
 frequent AS (
-    SELECT host, line FROM counted JOIN totals USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.1::DOUBLE * pages
+    SELECT host, line FROM counted JOIN totals USING (host) GROUP BY host, line, pages HAVING count(*) >= 5 AND count(*) > 0.06::DOUBLE * pages
 ),
 frames AS (SELECT host, list(line) AS frame FROM frequent GROUP BY host),
 cut AS (SELECT doc_id, text, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(frame, x), false)) AS rest FROM split LEFT JOIN frames USING (host)),
