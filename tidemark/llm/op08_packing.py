@@ -5,9 +5,11 @@ Bins that are nearly full stay as they are.  Underfull bins climb a tree: in eac
 neighbouring groups are items of one best-fit packing, until one group is left.  Only bin numbers and fills move between
 executors; texts and token ids never do.
 
-Memory: a task packs at most ``block_pieces`` pieces at a time.  After a best-fit round a group holds at most one bin
-that is at most half full (two would have been merged), so the bins that climb beyond ``climbers`` can hardly be
-completed; they are emitted as they are, so that a group's size is bounded whatever the lengths.
+Memory: a task packs at most ``block_pieces`` pieces at a time.  After a best-fit round a group holds at most one bin that is
+at most half full, for two would have been merged; so the small bins that can still come to a group's bins, in all rounds
+together, are counted beforehand (``room()``).  Each of them goes into one bin, so of the bins of one fill no more than
+that many can ever be taken.  These climb, the rest is emitted: the result is the same as if all climbed, and a group has at
+most fan_in * capacity * room() bins, whatever the lengths.
 
 Cases: a null or empty text is a document of the end id alone; null doc_ids are kept; repeated rows are packed once each;
 an empty table gives no rows; other columns are ignored, whatever their names.
@@ -21,7 +23,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.scratch import keep, ship
@@ -92,8 +94,21 @@ def _pieces(path: str, capacity: int, block_pieces: int):
     return run
 
 
-def _merge(capacity: int, climbers: int, full: int):
-    """One group's round: where each of its bins comes to lie, and whether the merged bin climbs on."""
+def rounds(groups: int, fan_in: int) -> int:
+    """How many rounds leave one of so many groups, at least one."""
+    n = 1
+    while (groups := -(-groups // fan_in)) > 1:
+        n += 1
+    return n
+
+
+def room(fan_in: int, blocks: int, left: int) -> int:
+    """The small bins that a group can meet in ``left`` rounds, in the first of which each of its parts has ``blocks`` of them."""
+    return fan_in * (blocks + left - 1)
+
+
+def _merge(capacity: int, most: int, full: int):
+    """One group's round: where each of its bins comes to lie, and whether the merged bin climbs on, as ``most`` of each fill do."""
 
     def run(key, table):
         group = key[0].as_py()
@@ -104,18 +119,19 @@ def _merge(capacity: int, climbers: int, full: int):
         for i, b, o in zip(order, bins, base, strict=True):
             if o == 0:
                 head[b] = old[i]
-        rising = sorted((b for b in range(len(fills)) if fills[b] < full), key=lambda b: (fills[b], head[b]))[:climbers]
-        up = np.zeros(len(fills), bool)
-        up[rising] = True
+        climbs, before = [False] * len(fills), [0] * (capacity + 1)
+        for b in sorted(range(len(fills)), key=head.__getitem__):
+            climbs[b] = fills[b] < full and before[fills[b]] < most
+            before[fills[b]] += 1
         return pa.table({
             "bin": pa.array([old[i] for i in order], pa.int64()), "new_bin": pa.array([head[b] for b in bins], pa.int64()), "base": pa.array(base, pa.int64()),
-            "new_fill": pa.array([fills[b] for b in bins], pa.int64()), "grp": pa.array([group] * len(order), pa.int64()), "climbs": pa.array([bool(up[b]) for b in bins], pa.bool_()),
+            "new_fill": pa.array([fills[b] for b in bins], pa.int64()), "grp": pa.array([group] * len(order), pa.int64()), "climbs": pa.array([climbs[b] for b in bins], pa.bool_()),
         })
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, *, slack: int = 4, fan_in: int = 16, block_pieces: int = 200_000, climbers: int = 4096) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, *, slack: int = 4, fan_in: int = 16, block_pieces: int = 200_000) -> DataFrame:
     """Pieces of docs (doc_id, text) with sequence_id and offset.
 
     slack: a bin with at most so many free places is nearly full.  fan_in: groups that a round merges into one.
@@ -123,14 +139,28 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, *, slack: i
     ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = keep(source.mapInArrow(_pieces(tokenizer_path, capacity, block_pieces), PIECES), "pieces")
-    full = capacity - slack
-    items = pieces.filter((F.col("at") == 0) & (F.col("fill") < full)).select("bin", "fill", F.shiftright("bin", BIN_BITS).alias("grp"))
-    last = pieces.agg(F.max(F.shiftright("bin", BIN_BITS))).first()[0] or 0
+    moved = merged(pieces, capacity, slack=slack, fan_in=fan_in, block_pieces=block_pieces)
+    placed = pieces.join(moved, "bin", "left")
+    return placed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("top", "bin").alias("sequence_id"), (F.col("at") + F.coalesce("base", F.lit(0))).alias("offset")
+    )
+
+
+def merged(pieces: DataFrame, capacity: int, *, slack: int, fan_in: int, block_pieces: int) -> DataFrame:
+    """(bin, top, base): the bins of pieces (bin, at, fill) that climbed, the bin each came to lie in, and where in it."""
+    full, task = capacity - slack, F.shiftright("bin", BIN_BITS)
+    last, longest = pieces.groupBy(task.alias("task")).agg(F.count("*").alias("n")).agg(F.max("task"), F.max("n")).first()
+    last, blocks = last or 0, (longest or 0) // block_pieces + 1
+    left = rounds(last + 1, fan_in)
+    items = pieces.filter((F.col("at") == 0) & (F.col("fill") < full)).select("bin", "fill", task.alias("grp"))
+    before = F.row_number().over(Window.partitionBy("grp", "fill").orderBy("bin"))
+    items = items.withColumn("before", before).filter(F.col("before") <= room(fan_in, blocks, left)).drop("before")
     moved = None
     while True:
         last //= fan_in
+        left -= 1
         step = keep(
-            items.withColumn("grp", F.floor(F.col("grp") / fan_in).cast("long")).groupBy("grp").applyInArrow(_merge(capacity, climbers, full), "bin long, new_bin long, base long, new_fill long, grp long, climbs boolean"),
+            items.withColumn("grp", F.floor(F.col("grp") / fan_in).cast("long")).groupBy("grp").applyInArrow(_merge(capacity, room(fan_in, 1, left), full), "bin long, new_bin long, base long, new_fill long, grp long, climbs boolean"),
             "bins",
         )
         if moved is None:
@@ -139,9 +169,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, *, slack: i
             then = step.select(F.col("bin").alias("top"), F.col("new_bin").alias("next"), F.col("base").alias("more"))
             moved = keep(moved.join(then, "top", "left").select("bin", F.coalesce("next", "top").alias("top"), (F.col("base") + F.coalesce("more", F.lit(0))).alias("base")), "moved")
         if last == 0:
-            break
+            return moved
         items = step.filter("climbs and base = 0").select(F.col("new_bin").alias("bin"), F.col("new_fill").alias("fill"), "grp")
-    placed = pieces.join(moved, "bin", "left")
-    return placed.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", F.coalesce("top", "bin").alias("sequence_id"), (F.col("at") + F.coalesce("base", F.lit(0))).alias("offset")
-    )
