@@ -1,6 +1,7 @@
 """Each operator against brute force, on odd rows, empty tables and the smallest documents."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import texts
-from tidemark.llm import graph, op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing, op09_media, op10_lines
+from tidemark.llm import graph, op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing, op09_media, op10_lines, scratch
 
 BYTES, WORDS, RANKS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "byte_bpe_50k.tiktoken"))
 
@@ -50,6 +51,16 @@ def test_sharding(table, empty):
     assert op01_sharding.shard(empty).count() == 0
 
 
+def test_lanes_are_even_whatever_the_ids(spark):
+    """Ids in strides of the lanes, and null ids, do not meet in one lane: slots stay gapless and the lanes even."""
+    frame = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.col("id") * 1024).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    found = op01_sharding.shard(frame, 4)
+    for r in found.groupBy("shard").agg(F.min("slot"), F.max("slot"), F.countDistinct("slot"), F.count("*")).collect():
+        assert (r[1], r[2], r[3]) == (0, r[4] - 1, r[4])
+    lanes = [r["count"] for r in frame.groupBy(F.pmod(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(1024)) + F.pmod(F.crc32("text"), F.lit(1024)), F.lit(1024))).count().collect()]
+    assert max(lanes) < 20
+
+
 def test_jump_hash_of_any_key_and_many_shards(spark):
     keys = [0, 1, -1, 2**63 - 1, -(2**63), *map(int, np.random.default_rng(0).integers(-(2**63), 2**63, 200))]
     frame = spark.createDataFrame([(k,) for k in keys], "k long")
@@ -205,18 +216,42 @@ def test_exact_compares_what_it_is_told(odd):
 
 
 def test_directory(spark):
-    """A bucket that is split has more than the capacity; one that is a leaf has no more."""
-    keys = spark.range(4000).select(F.when(F.col("id") < 3000, F.xxhash64("id").bitwiseAND(F.lit((1 << 60) - 1))).otherwise(F.xxhash64("id")).alias("h"))
-    depth, capacity = 8, 100
+    """It doubles until no bucket is overfull, however skewed the keys; a bucket that is split has more than the capacity."""
+    keys = spark.range(4000).select(F.when(F.col("id") < 3000, F.xxhash64("id").bitwiseAND(F.lit((1 << 54) - 1))).otherwise(F.xxhash64("id")).alias("h"))
+    capacity = 100
+    addresses, depth = op03_exact.directory(keys, capacity)
+    assert depth > 10
     prefixes = Counter((r[0] % 2**64) >> (64 - depth) for r in keys.collect())
-    for address, local, bucket in op03_exact.directory(keys, capacity, depth).collect():
+    found = addresses.collect()
+    assert {r["address"] for r in found} == prefixes.keys()
+    for address, local, bucket in found:
         assert bucket == address >> (depth - local) << (depth - local)
-        size = sum(n for p, n in prefixes.items() if p >> (depth - local) == address >> (depth - local))
-        assert size <= capacity or local == depth
+        assert sum(n for p, n in prefixes.items() if p >> (depth - local) == address >> (depth - local)) <= capacity
         if local:
             assert sum(n for p, n in prefixes.items() if p >> (depth - local + 1) == address >> (depth - local + 1)) > capacity
 
 
+def test_collisions_are_chained(spark, monkeypatch):
+    """Texts with one hash stand in one chain, and each row finds its own link."""
+    monkeypatch.setattr(op03_exact.F, "xxhash64", lambda *columns: F.length(F.coalesce(columns[0].cast("string") if not isinstance(columns[0], str) else F.col(columns[0]), F.lit(""))).cast("long"))
+    rows_ = [(k, f"{'abc'[k % 3]}{'x' * (k % 4)}") for k in range(40)]
+    found = op03_exact.deduplicate(spark.createDataFrame(rows_, "doc_id long, text string"), capacity=2).collect()
+    groups = defaultdict(list)
+    for i, t in rows_:
+        groups[t].append(i)
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in found) == [(i, max(groups[t]), len(groups[t]), i == max(groups[t])) for i, t in rows_]
+
+
+def test_only_repeated_texts_move(spark):
+    """Texts reach a shuffle behind the bit map alone, whatever the number of repeated keys."""
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.when(F.col("id") < 2990, F.col("id")).otherwise(1)).alias("text"))
+    keys = spark.createDataFrame([("text 1",)], "text string").select(F.xxhash64("text").alias("h"))
+    marked = scratch.likely(frame.withColumn("h", F.xxhash64("text")), F.col("h"), keys, "again")
+    assert marked.filter("again").count() < 40 and marked.filter("again and text = 'text 1'").count() == 11
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 # -- 4 ----------------------------------------------------------------------------------------------------------------
 
 def greedy(word, pieces, longest):
@@ -262,9 +297,42 @@ def test_quality(spark, odd, empty):
     kept = op05_quality.accepted(odd, model)
     assert kept.columns == odd.columns and kept.count() == sum(r["score"] >= 0.5 for r in scores)
     assert op05_quality.score(empty, model).count() == 0
-    one_kind = op05_quality.fit(docs, labels.filter("quality = 1"))
-    assert {round(r["score"], 6) for r in op05_quality.score(odd, one_kind).collect()} == {1.0}
-    assert op05_quality.accepted(odd, op05_quality.fit(empty, labels.limit(0))).count() == odd.count()
+    for label in (0, 1):
+        one_kind = op05_quality.fit(docs, labels.filter(F.col("quality") == label))
+        assert {round(r["score"], 6) for r in op05_quality.score(odd, one_kind).collect()} == {float(label)}
+        assert op05_quality.accepted(odd, one_kind).count() == label * odd.count()
+    none = op05_quality.fit(empty, labels.limit(0))
+    assert {r["score"] for r in op05_quality.score(odd, none).collect()} == {0.5} and op05_quality.accepted(odd, none).count() == odd.count()
+
+
+def test_quality_of_labels_that_disagree_or_repeat(spark, docs):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality")
+    model = op05_quality.fit(docs, labels)
+    again = op05_quality.fit(docs.union(docs), labels.union(labels))
+    assert np.allclose(again.weights, model.weights) and again.threshold == pytest.approx(model.threshold)
+    both = op05_quality.fit(docs, labels.union(labels.withColumn("quality", 1 - F.col("quality"))))
+    assert np.abs(both.weights).max() < 0.5 < np.abs(model.weights).max()  # nothing is preferred on the whole
+
+
+def test_preferences_are_the_best_weights():
+    """No step from the fitted weights makes the Bradley-Terry loss over the same pairs smaller."""
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(300, 4))
+    y = (x @ [2.0, -1.0, 0.5, 0.0] + draw.normal(size=300) > 0).astype(int)
+    model = op05_quality.preferences(x, y, float((y == 0).mean()), ridge=1e-3)
+    z = np.clip((x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9), -8, 8)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    pick = np.random.default_rng(0)
+    winners = np.concatenate([np.repeat(good, 8), pick.choice(good, len(bad) * 8)])
+    losers = np.concatenate([pick.choice(bad, len(good) * 8), np.repeat(bad, 8)])
+
+    def loss(w):
+        return sum(math.log1p(math.exp(-m)) for m in ((z[winners] - z[losers]) @ w).tolist()) / len(winners) + 5e-4 * float(w @ w)
+
+    least = loss(model.weights)
+    assert all(loss(model.weights + 0.01 * step) > least for step in [*np.eye(4), *-np.eye(4), *draw.normal(size=(10, 4))])
+    scores = model.raw(x)
+    assert abs((scores < model.threshold).mean() - (y == 0).mean()) < 0.02
 
 
 # -- 6 ----------------------------------------------------------------------------------------------------------------
@@ -305,6 +373,9 @@ def test_bpe(table, empty, block_chars):
     assert op07_bpe.round_trip(empty, BYTES).count() == 0
 
 
+ENCODE, LIBRARY = op07_bpe.encoder(BYTES), Tokenizer.from_file(BYTES)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("abZ'sdmtrevl 0.1,!\n\t\r  éßµ²½­漢😀<|endoftxar>\x1c\x85"))))
 def test_words_encode_as_the_library_does(text):
@@ -312,8 +383,21 @@ def test_words_encode_as_the_library_does(text):
 
     words = WordTokenizer.of(WORDS)
     assert np.frombuffer(words.encode(text), "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
-    splitter = op07_bpe._Splitter(BYTES)
-    assert "".join(splitter(text)) == text
+    listed = [w if isinstance(w, bytes) else w.encode() for w in op07_bpe._Splitter(BYTES)(text)]
+    assert b"".join(map(op07_bpe.plain, listed)) == text.encode()
+    assert [i for w in listed for i in ENCODE(w)] == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_of_many_blocks_is_encoded_once(spark, monkeypatch):
+    """The table has each word once, and what a word decodes to comes from the join with the vocabulary."""
+    words = [b" the", b"the", b" don't", op07_bpe.WHOLE + " größe".encode(), b"<|endoftext|>"]
+    lists = [(0, op07_bpe._packed(words[:3])), (0, op07_bpe._packed(words[1:])), (0, op07_bpe._packed(words))]
+    table = spark.createDataFrame(lists, "part int, words binary").coalesce(1).mapInArrow(op07_bpe._distinct_words(BYTES), "part int, word binary, ids array<int>")
+    assert sorted(bytes(r["word"]) for r in table.collect()) == sorted(words)
+    pieces = spark.createDataFrame(op07_bpe.vocabulary(BYTES))
+    assert all(r["other"] is None for r in op07_bpe.decoded(table, pieces).collect())
+    changed = pieces.withColumn("piece", F.when(F.col("piece") == F.encode(F.lit(" the"), "UTF-8"), F.encode(F.lit("X"), "UTF-8")).otherwise(F.col("piece")))
+    assert {bytes(r["word"]): r["other"] and bytes(r["other"]) for r in op07_bpe.decoded(table, changed).collect()} == {w: b"X" if w == b" the" else None for w in words}
 
 
 # -- 8 ----------------------------------------------------------------------------------------------------------------
@@ -341,6 +425,32 @@ def test_packing(table, empty, capacity):
     assert op08_packing.pack(empty, WORDS).count() == 0
 
 
+@pytest.mark.parametrize("case", ["just above half", "few small ones last", "any"])
+def test_nothing_that_could_be_filled_is_left(spark, case):
+    """Bins over half full in all groups but the last, which alone has the small ones."""
+    draw, capacity, groups = np.random.default_rng(4), 2048, 40
+    pieces = []
+    for group in range(groups):
+        low, high = {"just above half": (1025, 1040), "few small ones last": (1025, 1026) if group < groups - 1 else (1000, 1001), "any": (1, 2049)}[case]
+        lengths = draw.integers(low, high, 100 if low == 1000 else 300).tolist()
+        bins, at, fills = op08_packing.best_fit(lengths, capacity)
+        pieces += [((group << op08_packing.BIN_BITS) + b, o, fills[b], n) for b, o, n in zip(bins, at, lengths, strict=True)]
+    frame = spark.createDataFrame([p[:3] for p in pieces], "bin long, at long, fill long")
+    moved = {r["bin"]: (r["top"], r["base"]) for r in op08_packing.merged(frame, capacity, slack=4, fan_in=4, block_pieces=1000).collect()}
+    sequences = defaultdict(list)
+    for b, at, _, n in pieces:
+        top, base = moved.get(b, (b, 0))
+        sequences[top].append((base + at, n))
+    for parts in sequences.values():
+        assert [o for o, _ in sorted(parts)] == np.cumsum([0, *(n for _, n in sorted(parts))])[:-1].tolist() and sum(n for _, n in parts) <= capacity
+    plain = len(op08_packing.best_fit([p[3] for p in pieces], capacity)[2])
+    assert len(sequences) <= (1.03 if case == "any" else 1.01) * plain
+
+
+def test_rounds():
+    assert [op08_packing.rounds(n, 4) for n in (1, 2, 4, 5, 16, 17)] == [1, 1, 1, 2, 2, 3]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 20)))
 def test_best_fit(lengths):

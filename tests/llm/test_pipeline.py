@@ -8,7 +8,7 @@ import corpus_pipeline
 from tests.llm.conftest import texts
 from tests.llm.test_operators import brute_lines
 from tests.test_oracle import rows
-from tidemark.llm import op05_quality, queries, scratch
+from tidemark.llm import op05_quality, op10_lines, queries, scratch
 
 DATA = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def test_stages(spark, docs):
     want = {i for i, t in texts(docs) if model.score(op05_quality.features(t)[None])[0] >= 0.5}
     assert {i for i, _ in texts(kept["quality"])} == want
     pages = [(r["doc_id"], r["text"], r["source"]) for r in kept["quality"].collect()]
-    assert sorted(texts(kept["lines"]), key=repr) == [(i, t) for i, t, _ in brute_lines(pages, 0.1, 5)]
+    assert sorted(texts(kept["lines"]), key=repr) == [(i, t) for i, t, _ in brute_lines(pages, op10_lines.RATIO, op10_lines.LEAST_PAGES)]
     assert all(r["n_chars"] == len(r["text"]) for r in kept["lines"].collect())
     before, after = texts(kept["lines"]), texts(kept["near_duplicates"])
     assert {" ".join(t.lower().split()) for _, t in before} >= {" ".join(t.lower().split()) for _, t in after}
@@ -63,8 +63,21 @@ def test_shared_folder_is_the_session_s(spark):
     assert scratch.place(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_large_key_tables_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(scratch, "BROADCAST_KEYS", 1)
-    keys = scratch.sized(spark.range(5))
-    plan = spark.range(9).join(keys, "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan
+def test_rows_with_and_without_keys(spark):
+    """Exact, whatever the bit map lets through; only a table of bounded size is broadcast."""
+    frame = spark.createDataFrame([(k if k % 5 else None, f"t{k}", 1) for k in range(2000)], "id long, text string, tidemark_likely int")
+    keys = scratch.keep(spark.range(0, 2000, 3).select(F.col("id").alias("k")), "keys")
+    inside, outside = scratch.among(frame, F.col("id"), keys), scratch.without(frame, F.col("id"), keys)
+    assert inside.columns == outside.columns == frame.columns
+    assert sorted(r["id"] for r in inside.collect()) == [k for k in range(2000) if k % 5 and k % 3 == 0]
+    assert sorted(r["text"] for r in outside.collect()) == sorted(f"t{k}" for k in range(2000) if not (k % 5 and k % 3 == 0))
+    none = scratch.keep(keys.limit(0), "none")
+    assert scratch.among(frame, F.col("id"), none).count() == 0 and scratch.without(frame, F.col("id"), none).count() == 2000
+
+
+def test_a_full_bit_map_loses_nothing(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "MOST_BITS", 1 << 15)
+    frame = spark.range(200_000)
+    keys = scratch.keep(spark.range(0, 200_000, 2).select(F.col("id").alias("k")), "keys")
+    assert scratch.likely(frame, F.col("id"), keys, "maybe").filter("maybe and id % 2 = 0").count() == 100_000
+    assert scratch.without(frame, F.col("id"), keys).agg(F.sum("id")).first()[0] == sum(range(1, 200_000, 2))

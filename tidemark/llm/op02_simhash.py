@@ -39,15 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.scratch import discard, keep, keep_once, ship, sized
+from tidemark.llm.scratch import among, discard, keep, keep_once, ship, without
 
 BITS = 64
 #: In a bucket's key, the place on the ring stands above so many bits; no two segments have more.
 RING_BITS = 48
 #: Rows of a bucket that are compared by shifted columns; larger buckets go through _large_bucket().
 SMALL = 8
-#: For the order of prefixes: about so many texts are read for common shingles, and at most so many of those are told apart.
-SAMPLE, COMMON = 10_000, 100_000
+#: Shingles in the prefixes of more texts than RARE stand last in the order of prefixes; at most COMMON of them, 8 MB, the commonest.
+RARE, COMMON = 8, 1_000_000
 
 
 def shingles(text: str | None, words_a_shingle: int) -> list[bytes]:
@@ -262,22 +262,25 @@ def _shingle_hashes(words: list[bytes], words_a_shingle: int) -> np.ndarray:
     return np.unique(hashed(shingles(joined.decode(), words_a_shingle)).reshape(-1).view(">i8")).astype(np.int64)
 
 
-def _sampled(words_a_shingle: int):
+def _first_prefixes(words_a_shingle: int, similarity: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes((text.as_py() or "").encode().lower().split(), words_a_shingle))], names=["h"])
+            own = [prefix_of(_shingle_hashes((text.as_py() or "").encode().lower().split(), words_a_shingle), similarity, none, none) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *own]))], names=["key"])
 
     return run
 
 
-def _common(source: DataFrame, words_a_shingle: int) -> np.ndarray:
-    """The commonest shingles of about SAMPLE texts, the rarer first.  Only the order of prefixes comes from them: any
-    order finds the same pairs."""
-    every = max(1, source.count() // SAMPLE)
-    some = source.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").mapInArrow(_sampled(words_a_shingle), "h long")
-    found = some.groupBy("h").count().filter(F.col("count") >= 4).orderBy(F.desc("count"), "h").limit(COMMON).select("h").collect()
-    return np.array([r["h"] for r in reversed(found)], np.int64)
+def _common(source: DataFrame, words_a_shingle: int, similarity: float) -> np.ndarray:
+    """The shingles that many texts have in their prefixes while these go by hash alone, the rarer first.
+
+    All texts are counted, so what is rare doesn't depend on the size of the input.  Only the order of prefixes comes from
+    here: any order finds the same pairs, and shingles beyond COMMON would just give more pairs to decide.
+    """
+    found = source.select("text").mapInArrow(_first_prefixes(words_a_shingle, similarity), "key long").groupBy("key").count().filter(F.col("count") > RARE)
+    ordered = found.orderBy(F.desc("count"), "key").limit(COMMON).select("key").toArrow().column("key").to_numpy()
+    return ordered[::-1].astype(np.int64)
 
 
 def prefix_of(own: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -424,21 +427,25 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: in
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
     names = _columns(width)
     kinds = ["doc_id long", "sequence binary", *(f"{c} long" for c in names), "prefix array<long>", "size int", "sketch binary"]
-    prints = keep(source.mapInArrow(_worded(width, words_a_shingle, similarity, _common(source, words_a_shingle)), ", ".join(kinds)), "fingerprints")
+    prints = keep(source.mapInArrow(_worded(width, words_a_shingle, similarity, _common(source, words_a_shingle, similarity)), ", ".join(kinds)), "fingerprints")
     classes = keep(prints.groupBy("sequence").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in names)), "classes")
-    nodes = sized(keep(classes.select(F.col("node").alias("doc_id")).distinct(), "nodes"))
-    places = prints.join(nodes, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
+    named = prints.select("doc_id", "sequence").join(classes.select("sequence", "node"), "sequence").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("node")).alias("names_one"))
+    copies = keep(named.filter("not names_one").select("doc_id"), "copies")
+    own = without(prints.select("doc_id", "prefix", "size"), F.col("doc_id"), copies)
+    places = own.select(F.col("doc_id").alias("node"), "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
     shared = keep(places.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long, size int, place int"), "shared")
 
-    sketches = prints.join(nodes, "doc_id", "left_semi").select("doc_id", "sketch")
-
     def alike(pairs: DataFrame) -> DataFrame:
         spark = pairs.sparkSession
+        pairs, pairs_path = keep_once(pairs, "pairs")
+        met = keep(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "met")
+        sketches = among(prints.select("doc_id", "sketch"), F.col("doc_id"), met)
         of_a, of_b = (sketches.select(F.col("doc_id").alias(side), F.col("sketch").alias(f"of_{side}")) for side in "ab")
         sketched = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b")
         candidates = keep(sketched.mapInArrow(_can_be_alike(similarity), "a long, b long"), "candidates")
-        wanted = sized(keep(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "wanted"))
-        sets, path = keep_once(source.join(wanted, "doc_id", "left_semi").mapInArrow(_shingle_sets(words_a_shingle), "node long, own array<long>"), "shingles")
+        discard(spark, pairs_path)
+        wanted = keep(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "wanted")
+        sets, path = keep_once(among(source, F.col("doc_id"), wanted).mapInArrow(_shingle_sets(words_a_shingle), "node long, own array<long>"), "shingles")
         both = candidates.join(sets.select(F.col("node").alias("a"), F.col("own").alias("of_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("of_b")), "b")
         common = F.size(F.array_intersect("of_a", "of_b"))
         found = keep(both.filter(common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common)).select("a", "b"), "alike")
@@ -450,5 +457,5 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: in
         apart = shared.join(components(found), "node", "left").select("key", "size", "node", "place", F.coalesce("component", "node").alias("component"))
         pairs = apart.repartition("key").sortWithinPartitions("key", "size", "node").mapInArrow(_prefix_pairs(similarity, whole), "a long, b long")
         found = found.union(alike(pairs.distinct()))
-    named = classes.join(components(found), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, "sequence").select("doc_id", "component_id")
+    linked = classes.join(components(found), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
+    return prints.select("doc_id", "sequence").join(linked, "sequence").select("doc_id", "component_id")

@@ -50,15 +50,6 @@ def keep_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-#: Keys that are sent to every task: 8 bytes each, about 32 MB as a hash table.
-BROADCAST_KEYS = 1_000_000
-
-
-def sized(keys: DataFrame) -> DataFrame:
-    """A kept table of one column of keys, marked for a broadcast if it has at most BROADCAST_KEYS rows, for a merge else."""
-    return keys.hint("broadcast" if keys.count() <= BROADCAST_KEYS else "merge")
-
-
 #: Bits of the largest bit map of keys, 32 MB; it has 16 bits a key, or fewer where there are more keys than that allows.
 MOST_BITS = 1 << 28
 
@@ -87,6 +78,27 @@ def likely(df: DataFrame, key: Column, keys: DataFrame, name: str) -> DataFrame:
     return joined.withColumn(name, F.coalesce(is_set, F.lit(False)) & key.isNotNull()).drop(page, bitmap)
 
 
+def among(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of df whose key is in the one column of keys, a kept table; only likely rows move."""
+    flag, (own,) = _fresh(df, "tidemark_likely"), keys.columns
+    return likely(df, key, keys, flag).filter(F.col(flag)).drop(flag).join(keys.withColumnRenamed(own, flag), key == F.col(flag), "left_semi")
+
+
+def without(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of df whose key is null or not in the one column of keys, a kept table; only likely rows move."""
+    flag, (own,) = _fresh(df, "tidemark_likely"), keys.columns
+    marked = likely(df, key, keys, flag)
+    doubtful = marked.filter(F.col(flag)).drop(flag).join(keys.withColumnRenamed(own, flag), key == F.col(flag), "left_anti")
+    return marked.filter(~F.col(flag)).drop(flag).union(doubtful)
+
+
+def _fresh(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a scratch table that nothing will read again."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
