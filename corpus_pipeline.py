@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import op02_simhash, op05_quality, op08_packing, op10_lines
-from tidemark.llm.scratch import keep, sized
+from tidemark.llm.scratch import keep, without
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,8 +35,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least doc_id."""
     found = op02_simhash.near_copies(docs)
-    gone = sized(keep(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")), "gone"))
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return without(docs, F.col("doc_id").cast("long"), keep(found.filter("doc_id <> component_id").select("doc_id"), "gone"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
