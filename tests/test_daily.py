@@ -11,6 +11,7 @@ from tests.test_rules import GOOD
 from tidemark.functions.trips import BRONZE_COLUMNS
 from tidemark.operators.tables import Table
 from tidemark.plans import config, daily, publish, state
+from tidemark.sources.files import Files
 from tidemark.sources.landing import Response
 
 KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "ntz": pa.timestamp("us")}
@@ -34,8 +35,11 @@ def test_daily(spark, tmp_path, monkeypatch):
         settings["monitoring"] = {"max_no_data_runs": 2, "max_source_age_days": 100, "min_snapshot_rows": 1}
         return daily.Lakehouse(spark, f"{tmp_path}/lake", settings)
 
+    fetches = []
+
     def fetch(month):
-        return Response(200, None, content[month]) if month in content else Response(404, None, b"")
+        fetches.append(month)
+        return Response(200, None, [content[month]]) if month in content else Response(404, None)
 
     def rows(name):
         return Table(spark, f"{tmp_path}/lake/{name}").read()
@@ -47,7 +51,13 @@ def test_daily(spark, tmp_path, monkeypatch):
     with monkeypatch.context() as broken, pytest.raises(RuntimeError):
         broken.setattr(daily, "aggregate_gold", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         run("r1")
-    assert run("r1")["status"] == "SUCCESS"
+    fetched = len(fetches)
+    done = run("r1")
+    assert done["status"] == "SUCCESS" and "2024-01" not in fetches[fetched:]  # landed by the first attempt
+    assert done["serving_metrics"] == sorted(done["gold_metrics"], key=lambda m: (m["mart"], m["month"]))
+    assert Files(spark).read_json(done["serving_handoff"]["uri"])["pipeline_run_id"] == "r1"
+    logged = rows("reference/pipeline_run_log")
+    assert {(r["task_name"], r["status"]) for r in logged.collect()} == {*((t, "SUCCESS") for t in state.TASKS), ("aggregate_gold", "FAILED")}
     assert rows("silver/trips_clean").count() == 2 and rows("silver/trips_quarantine").count() == 1
     served = publish.serving(spark, f"{tmp_path}/lake/serving", "revenue_by_zone_hour")
     assert sorted((r["pickup_hour"], str(r["total_revenue"])) for r in served.collect()) == [(7, "15.30"), (8, "15.30")]
@@ -57,7 +67,16 @@ def test_daily(spark, tmp_path, monkeypatch):
     assert run("r3")["status"] == "SUCCESS"
     assert rows("silver/trips_clean").count() == 1 and rows("silver/trips_quarantine").count() == 0
     assert [str(r["total_revenue"]) for r in publish.serving(spark, f"{tmp_path}/lake/serving", "revenue_by_zone_hour").collect()] == ["22.00"]
-    assert rows("bronze").count() == 4 and rows("reference/ingestion_manifest").count() == 2
+    assert rows("bronze").count() == 4 and rows("reference/ingestion_manifest").count() == 3
     log = Table(spark, f"{tmp_path}/lake/reference/pipeline_run_state").read()
     assert state.published(log).count() == 1 and state.dirty_months(log).count() == 0
-    assert {r["status"] for r in log.filter("pipeline_run_id = 'r3'").collect()} == {"SUCCESS"}
+    assert {r["status"] for r in state.latest_per(log, state.SCHEMA_KEYS, "updated_at").filter("pipeline_run_id = 'r3'").collect()} == {"SUCCESS"}
+
+    # a file whose schema drifts, at a URI of its own: the column that nobody declared is kept, and its rows are quarantined
+    drifting = pq.read_table(io.BytesIO(file_of({}, {"fare_amount": 9.0}))).append_column("surprise", pa.array(["x", None]))
+    pq.write_table(drifting, tmp_path / "drift.parquet")
+    late = lake("r4")
+    late.config.update({"months": ["2024-01"], "start_month": "2024-01", "source_uris": {"2024-01": f"file://{tmp_path}/drift.parquet"}, "quarantine_threshold": 0.6})
+    assert daily.daily(late)["status"] == "SUCCESS"
+    assert [(r["reason_code"], r["_rescued_data"]) for r in rows("silver/trips_quarantine").collect()] == [("SCHEMA_RESCUED_DATA", '{"surprise":"x"}')]
+    assert rows("silver/trips_clean").count() == 1

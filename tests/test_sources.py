@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import months
+from tidemark.operators.tables import Table
 from tidemark.plans import config, monitor
 from tidemark.sources import landing, pages, rescue
+from tidemark.sources.files import Files
 from tidemark.streaming import bronze
 
 
@@ -21,29 +23,81 @@ def parquet(**columns) -> bytes:
     return out.getvalue()
 
 
-def test_landing(tmp_path):
+def test_landing(spark, tmp_path):
     path = f"{tmp_path}/a/b.parquet"
-    assert landing.land(b"x", path) == "landed" and landing.land(b"x", path) == "already_landed"
+    assert landing.land(spark, [b"x", b"y"], path) == "landed" and landing.land(spark, [b"xy"], path) == "already_landed"
     with pytest.raises(landing.Conflict):
-        landing.land(b"y", path)
-    for content, expected in ((b"", None), (b"z", "0")):
+        landing.land(spark, [b"y"], path)
+    for chunks, expected in (([], None), ([b"z"], "0")):
         with pytest.raises(ValueError):
-            landing.land(content, f"{tmp_path}/c", expected)
+            landing.land(spark, chunks, f"{tmp_path}/c", expected)
+    assert Files(spark).read(path) == b"xy" and Files(spark).names(f"{tmp_path}/a") == ["b.parquet"]
 
 
-def test_fetch(tmp_path):
+def test_landing_that_breaks_off_leaves_nothing(spark, tmp_path):
+    path = f"{tmp_path}/a/b.parquet"
+
+    def lost():
+        yield b"x" * 10
+        raise ConnectionError
+
+    with pytest.raises(ConnectionError):
+        landing.land(spark, lost(), path)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(Files, "settle", lambda *a: (_ for _ in ()).throw(ConnectionError()))
+        with pytest.raises(ConnectionError):
+            landing.land(spark, [b"y"], path)
+    assert not Files(spark).exists(path)
+    assert landing.land(spark, [b"z"], path) == "landed" and Files(spark).read(path) == b"z"
+
+
+def test_fetch(spark, tmp_path):
     content = parquet()
-    waits, answers = [], iter([landing.Response(503, None, b""), landing.Response(200, len(content), content)])
-    assert landing.fetched(lambda url: next(answers), "u", wait=waits.append).status == 200 and waits == [1.0]
-    snapshot = landing.fetch_snapshot("2024-01", "u", str(tmp_path), lambda url: landing.Response(200, len(content), content))
-    assert snapshot.rows_received == 1 and landing.landed_snapshot("2024-01", snapshot.uri).snapshot_id == snapshot.snapshot_id
-    assert landing.fetch_snapshot("2024-01", "u", str(tmp_path), lambda url: landing.Response(404, None, b"")) is None
+    whole = lambda: landing.Response(200, len(content), iter([content[:100], content[100:]]))
+    waits, answers = [], iter([landing.Response(503, None), landing.Response(429, None), whole()])
+    assert landing.fetched(lambda url: next(answers), "u", wait=waits.append).status == 200 and waits == [1.0, 2.0]
+
+    def snapshot(response):
+        return landing.fetch_snapshot(spark, "2024-01", "u", str(tmp_path), lambda url: response, wait=waits.append)
+
+    first = snapshot(whole())
+    assert first.rows_received == 1 and landing.landed_snapshot("2024-01", first.uri).snapshot_id == first.snapshot_id == Files(spark).checksum(first.uri)
+    assert snapshot(whole()) == first and landing.is_landed(first.uri) and not landing.is_landed("u")
+    assert snapshot(landing.Response(404, None)) is None
     bad = [(403, None, b""), (500, None, b""), (200, 5, content), (200, None, b"not parquet"), (200, None, parquet(a=[1])), (200, None, parquet(**{c: pa.array([], pa.int64()) for c in landing.REQUIRED_COLUMNS}))]
     for status, length, body in bad:
         with pytest.raises((OSError, ValueError)):
-            landing.fetch_snapshot("2024-01", "u", str(tmp_path), lambda url: landing.Response(status, length, body))  # noqa: B023
+            snapshot(landing.Response(status, length, [body]))
+    assert Files(spark).names(f"{tmp_path}/staging/source_month=2024-01") == []
     with pytest.raises(ValueError):
         landing.landed_snapshot("2024-01", "no/checksum")
+    again = landing.resumed([first.payload()], {"2024-01": "u"})
+    assert again == {"2024-01": first} and landing.resumed([first.payload()], {"2024-01": "elsewhere"}) == {}
+
+
+def test_fetchers(spark, tmp_path):
+    import http.server
+    import threading
+
+    (tmp_path / "here").write_bytes(b"abc" * 1000)
+
+    class Handler(http.server.SimpleHTTPRequestHandler):
+        def __init__(self, *args):
+            super().__init__(*args, directory=str(tmp_path))
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    fetch = landing.by_scheme(spark)
+    try:
+        for base in (f"http://127.0.0.1:{server.server_port}", f"file://{tmp_path}", str(tmp_path)):
+            found = fetch(f"{base}/here")
+            assert found.status == 200 and b"".join(found.chunks) == b"abc" * 1000 and found.length in (None, 3000)
+            assert fetch(f"{base}/not-here").status == 404
+    finally:
+        server.shutdown()
 
 
 def test_discovery_and_plan():
@@ -104,6 +158,30 @@ def test_stream_takes_files_once(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 
+def test_rescued_stream_takes_a_batch_once(spark, tmp_path, monkeypatch):
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    folder = f"{tmp_path}/raw/source_month=2024-01/snapshot={'1' * 64}"
+    spark.range(3).toDF("x").write.parquet(folder)
+    spark.range(2).select(F.col("id").alias("x"), F.lit("more").alias("y")).write.mode("append").parquet(folder)
+    table = Table(spark, f"{tmp_path}/bronze", "source_snapshot_id")
+    take = lambda: bronze.ingest_rescued(table, f"{tmp_path}/raw", f"{tmp_path}/cp", schema)
+    real = Table.append
+
+    def lost(self, *args):
+        real(self, *args)
+        raise ConnectionError("after the rows are in")
+
+    with monkeypatch.context() as patch, pytest.raises(Exception, match="after the rows"):
+        patch.setattr(Table, "append", lost)
+        take()
+    for _ in range(2):
+        take()
+    found = table.read()
+    assert found.count() == 5 and table.read(["1" * 64]).filter(F.col("_rescued_data").isNotNull()).count() == 2
+    row = found.first()
+    assert row["source_snapshot_id"] == "1" * 64 and str(row["source_month"]) == "2024-01-01" and row["_source_file"].endswith(".parquet")
+
+
 def test_months():
     assert months.expected_months(dt.date(2024, 2, 15), 2, 2) == [dt.date(2023, 11, 1), dt.date(2023, 12, 1)]
     assert len(months.backfill_months("2023-01", "2023-12")) == 12
@@ -130,15 +208,14 @@ def test_config():
 
 
 def test_guards_and_alerts():
-    config.assert_non_production("dev")
-    config.assert_confirmed(True)
-    config.assert_budget(6, 180)
-    for call in (lambda: config.assert_non_production("prod"), lambda: config.assert_confirmed(False), lambda: config.assert_budget(7, 1), lambda: config.assert_budget(1, 181), lambda: config.assert_budget(0, 1)):
-        with pytest.raises((PermissionError, ValueError)):
-            call()
+    budget = config.Budget()
+    assert "dev" in budget.plan("dev", 6, 180, True)
+    for asked in (("prod", 1, 1, True), ("dev", 1, 1, False), ("dev", 7, 1, True), ("dev", 1, 181, True), ("dev", 0, 1, True)):
+        with pytest.raises(PermissionError):
+            budget.plan(*asked)
+    assert len(budget.objections("prod", 0, 181, False)) == 4
     fires, mark = config.should_alert("dev", "K", "s", None)
     assert fires and config.should_alert("dev", "K", "s", mark) == (False, mark)
-    assert "dev" in config.cost_plan(1, 2, "dev")
 
 
 def test_monitor():
@@ -155,6 +232,11 @@ def test_monitor():
         with pytest.raises(monitor.Breach) as found:
             monitor.check(payload, setting, published, streak)
         assert found.value.kind == kind and len(found.value.fingerprint) == 64
+    several = good | {"snapshots": [{"source_month": "2023-12-01", "rows_received": 99}], "gold_metrics": marts[:2]}
+    with pytest.raises(monitor.Breach) as found:
+        monitor.check(several, setting, [], 0)
+    assert [found.value.kind, *(b.kind for b in found.value.also)] == ["SOURCE_COMPLETENESS", "SOURCE_ROWS", "HANDOFF"]
+    monitor.check(good | {"serving_metrics": marts}, setting, ["2023-11-01"], 0)
 
 
 def test_entry_contract(spark):

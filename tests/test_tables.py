@@ -6,8 +6,10 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.quantiles import exact_quantile
 from tidemark.operators.tables import Table
 from tidemark.plans import marts, publish, quality, state
+from tidemark.sources.files import Files, Taken
 
 D = decimal.Decimal
 
@@ -27,8 +29,71 @@ def test_snapshot_replace(spark, tmp_path):
         table.replace_partition(months(spark, (feb, "x", 1)), jan)
     table.replace_partition(months(spark, (jan, "x", 1)).limit(0), jan)
     assert [r["amount"] for r in table.read().collect()] == [30]
-    table.replace_partition(table.read().select(F.col("source_month").cast("string"), "trip_id", (F.col("amount") + 1).alias("amount")), feb)
+    table.replace_partition(table.read().withColumn("amount", F.col("amount") + 1), feb)
     assert [r["amount"] for r in table.read().collect()] == [31]
+    assert table.read([jan]).count() == 0 and table.read([feb]).count() == 1
+    assert [r["amount"] for r in table.read(version=1).orderBy("amount").collect()] == [10, 20, 30]
+
+
+class Lost(RuntimeError):
+    pass
+
+
+def broken_at(monkeypatch, owner, name, nth):
+    """The nth call of a function fails, after which it works again."""
+    calls, real = [], getattr(owner, name)
+
+    def call(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == nth:
+            raise Lost
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(owner, name, call)
+
+
+@pytest.mark.parametrize("step", ["_written", "_next", "settle", "stage"])
+def test_a_write_that_breaks_off_changes_nothing(spark, tmp_path, step):
+    table = Table(spark, f"{tmp_path}/t", "source_month")
+    jan, feb = "2024-01-01", "2024-02-01"
+    table.overwrite(months(spark, (jan, "old", 10), (feb, "untouched", 30)))
+    with pytest.MonkeyPatch.context() as patch:
+        broken_at(patch, Files if step in ("settle", "stage") else Table, step, 1)
+        with pytest.raises(Lost):
+            table.replace_partition(months(spark, (jan, "new", 15)), jan)
+    assert sorted(r["amount"] for r in table.read().collect()) == [10, 30]
+    table.replace_partition(months(spark, (jan, "new", 15)), jan)
+    assert sorted(r["amount"] for r in table.read().collect()) == [15, 30]
+    table.vacuum(versions=1)
+    assert sorted(r["amount"] for r in table.read().collect()) == [15, 30]
+
+
+def test_writers_that_overtake_each_other_lose_nothing(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t")
+    rows = lambda *x: spark.createDataFrame(list(x), "k int, v int")
+    table.overwrite(rows((0, 0)))
+    real, others = Table._next, [rows((1, 1)), rows((2, 2))]
+
+    def overtaken(self, *args):
+        if others:
+            other = others.pop()
+            Table(spark, self.path).append(other)
+        return real(self, *args)
+
+    for write in (lambda: table.append(rows((3, 3))), lambda: table.upsert(rows((0, 9)), ["k"]), lambda: table.insert_new(rows((2, 7), (4, 4)), ["k"])):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(Table, "_next", overtaken)
+            write()
+        others = [rows((len(others) + 5, 5))] if len(others) == 0 else others
+    found = dict(map(tuple, table.read().collect()))
+    assert found[0] == 9 and {1, 2, 3, 4} <= found.keys() and found[2] == 2
+
+
+def test_a_batch_goes_in_once(spark, tmp_path):
+    table = Table(spark, f"{tmp_path}/t")
+    for number in (0, 0, 1, 1, 0):
+        table.append(spark.range(2), ("stream", number))
+    assert table.read().count() == 4
 
 
 def test_insert_only_and_upsert(spark, tmp_path):
@@ -89,48 +154,112 @@ def test_publication(spark, tmp_path):
         publish.handoff("r", first["exports"], [], ["m"])
     with pytest.raises(Exception, match="(?i)exist"):
         publish.export(frame(1), f"{tmp_path}/exports", "m", "2024-01-01", "r1")
-    publish.write_once({"a": 1}, f"{tmp_path}/manifest.json")
-    with pytest.raises(FileExistsError):
-        publish.write_once({"a": 1}, f"{tmp_path}/manifest.json")
+    with pytest.raises(ValueError):
+        publish.publish(spark, first | {"pipeline_run_id": "r4", "exports": first["exports"] * 2}, f"{tmp_path}/serving")
+    publish.publish(spark, given("r5", {"2024-03-01": 6}), f"{tmp_path}/serving", initial=True)
+    assert [r["trip_count"] for r in publish.serving(spark, f"{tmp_path}/serving", "m").collect()] == [6]
+    Files(spark).create_json(f"{tmp_path}/manifest.json", {"a": 1})
+    with pytest.raises(Taken):
+        Files(spark).create_json(f"{tmp_path}/manifest.json", {"a": 2})
+    assert Files(spark).read_json(f"{tmp_path}/manifest.json") == {"a": 1} and Files(spark).names(str(tmp_path / "none")) == []
     assert publish.serving_type("decimal(10,2)") == "NUMERIC" and publish.serving_type("timestamp_ntz") == "DATETIME"
     with pytest.raises(ValueError):
         publish.serving_type("binary")
 
 
+@pytest.mark.parametrize(("owner", "step", "nth"), [(publish, "_verified", 1), (Table, "replace_partitions", 1), (Table, "replace_partitions", 2), (Table, "_next", 2), (Files, "create_json", 3), (Files, "settle", 3)])
+def test_a_publication_that_breaks_off_is_not_seen(spark, tmp_path, owner, step, nth):
+    """Whatever the step at which a run fails, serving shows the publication before it; the rerun publishes it."""
+    frame = lambda n: spark.createDataFrame([("x", n)], "k string, trip_count long")
+    folder = f"{tmp_path}/serving"
+
+    def given(run, n):
+        exports = [publish.export(frame(n), f"{tmp_path}/exports", mart, "2024-01-01", run) for mart in "ab"]
+        return publish.handoff(run, exports, [{"mart": mart, "month": "2024-01-01", "rows": 1, "trips": n} for mart in "ab"], ["a", "b"])
+
+    def served():
+        return [publish.serving(spark, folder, mart).first()["trip_count"] for mart in "ab"]
+
+    publish.publish(spark, given("r1", 1), folder)
+    second = given("r2", 2)
+    with pytest.MonkeyPatch.context() as patch:
+        broken_at(patch, owner, step, nth)
+        with pytest.raises(Lost):
+            publish.publish(spark, second, folder)
+    assert served() == [1, 1] and publish.receipt(spark, folder, "r2") is None
+    with pytest.raises(ValueError):
+        publish.reconcile(spark, second, folder)
+    done = publish.publish(spark, second, folder)
+    assert served() == [2, 2] and publish.publish(spark, second, folder) == done
+    assert publish.reconcile(spark, second, folder) == [{"mart": mart, "month": "2024-01-01", "rows": 1, "trips": 2} for mart in "ab"]
+
+
+def test_exported_months(spark, tmp_path):
+    frame = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 1), 2), (dt.date(2024, 2, 1), 3)], "pickup_month date, trip_count long")
+    exports = publish.export_months(frame, str(tmp_path), "m", "pickup_month", "v1")
+    assert [(e["month"], spark.read.parquet(e["uri"]).count()) for e in exports] == [("2024-01-01", 2), ("2024-02-01", 1)]
+    wrong = publish.handoff("r", [exports[0] | {"month": "2024-03-01"}], [{"mart": "m", "month": "2024-03-01", "rows": 2, "trips": 3}], ["m"])
+    with pytest.raises(ValueError, match="other months"):
+        publish.publish(spark, wrong, f"{tmp_path}/serving")
+
+
+def test_exact_quantiles(spark):
+    import random
+
+    draw = random.Random(3)
+    rows = [("a", draw.randrange(50)) for _ in range(5000)] + [("b", draw.random()) for _ in range(20_001)] + [("c", 7.0), ("d", None), (None, 2.0), (None, 1.0)]
+    frame = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in rows], "k string, v double")
+    for share in (0.0, 0.05, 0.5, 0.95, 1.0):
+        want = {}
+        for key in ("a", "b", "c", None):
+            own = sorted(v for k, v in rows if k == key and v is not None)
+            want[key] = own[max(0, -(-int(round(share * 100)) * len(own) // 100) - 1)]
+        assert dict(map(tuple, exact_quantile(frame, ["k"], F.col("v"), share, "q").collect())) == want
+
+
 def metric(**changes):
     return {"source_snapshot_id": "s", "rows_in": 100, "rows_out": 97, "rows_quarantined": 3, "raw_rows_quarantined": 3, "rows_deduplicated": 0} | changes
 
 
-def test_gate():
+def test_gate(spark):
     snapshot = [{"snapshot_id": "s", "rows_received": 100}]
-    quality.check([metric()], snapshot, 0.03)
-    bad = [([metric()], snapshot, 0.02), ([metric()], snapshot, 2), ([], snapshot, 0.1), ([metric(rows_out=96)], snapshot, 0.1), ([metric()], [{"snapshot_id": "s", "rows_received": 99}], 0.1), ([metric(rows_out=101, rows_deduplicated=-4)], snapshot, 0.1)]
+    quality.check(spark, [metric()], snapshot, 0.03)
+    bad = [([metric()], snapshot, 0.02), ([metric()], snapshot, 2), ([], snapshot, 0.1), ([metric(rows_out=96)], snapshot, 0.1), ([metric()], [{"snapshot_id": "s", "rows_received": 99}], 0.1), ([metric(rows_out=101, rows_deduplicated=-4)], snapshot, 0.1), ([metric()] * 2, snapshot, 0.1), ([metric()], [], 0.1)]
     for metrics, snapshots, threshold in bad:
         with pytest.raises(ValueError):
-            quality.check(metrics, snapshots, threshold)
-    assert quality.gate({"metrics": [metric(rows_in=0)], "snapshots": snapshot})["status"] == "NO_DATA"
-    with pytest.raises(ValueError):
-        quality.gate({"metrics": [metric()], "snapshots": snapshot}, least_rows=101)
+            quality.check(spark, metrics, snapshots, threshold)
+    assert quality.gate(spark, {"metrics": [metric(rows_in=0)], "snapshots": snapshot})["status"] == "NO_DATA"
+    with pytest.raises(ValueError, match="TOO_SMALL"):
+        quality.gate(spark, {"metrics": [metric()], "snapshots": snapshot}, least_rows=101)
+    unknown = {"metrics": [metric()], "snapshots": [{"snapshot_id": "s", "rows_received": None}]}
+    assert quality.gate(spark, unknown, least_rows=101) == unknown
+    two = [metric(), metric(source_snapshot_id="t", rows_in=0)]
+    with pytest.raises(ValueError, match="t: EMPTY"):
+        quality.gate(spark, {"metrics": two, "snapshots": [*snapshot, {"snapshot_id": "t", "rows_received": 0}]})
     assert quality.breach_report([{"quarantine_rate": 0.2}], 0.1, "r")["status"] == "BLOCKED_BY_DQ"
     assert quality.breach_report([{"quarantine_rate": 0.1}], 0.1, "r")["required_action"] is None
 
 
-def test_run_state(spark, tmp_path):
-    run = state.RunState(spark, f"{tmp_path}/state", "r1")
+def test_run_state(spark, tmp_path, monkeypatch):
+    run, journal = state.RunState(spark, f"{tmp_path}/state", "r1"), Table(spark, f"{tmp_path}/journal")
     snapshots = [{"source_month": "2024-01-01", "snapshot_id": "s", "uri": "u"}]
-    assert run.read("source_landing", required=False) is None
-    landed = state.run_task(run, "source_landing", None, lambda p: {"snapshots": snapshots})
+    assert run.find("source_landing") is None
+    with pytest.raises(RuntimeError):
+        run.completed("source_landing")
+    landed = state.run_task(run, "source_landing", None, lambda p: {"snapshots": snapshots}, journal=journal)
     assert landed["cost_context"]["task"] == "source_landing"
     with pytest.raises(RuntimeError):
-        state.run_task(run, "transform_silver", "source_landing", lambda p: (_ for _ in ()).throw(RuntimeError("x" * 5000)))
+        state.run_task(run, "transform_silver", "source_landing", lambda p: (_ for _ in ()).throw(RuntimeError("x" * 5000)), journal=journal)
     with pytest.raises(RuntimeError):
-        run.read("transform_silver")
-    assert len(run.read("transform_silver", required=False)["error"]) == state.LONGEST_ERROR
-    state.run_task(run, "transform_silver", "source_landing", lambda p: p | {"months": ["2024-01-01"]})
-    assert run.read("transform_silver")["months"] == ["2024-01-01"]
+        run.completed("transform_silver")
+    assert len(run.find("transform_silver")["error"]) == state.LONGEST_ERROR
+    state.run_task(run, "transform_silver", "source_landing", lambda p: p | {"months": ["2024-01-01"], "metrics": [{"rows_in": 5, "rows_out": 4}]}, journal=journal)
+    assert run.completed("transform_silver")["months"] == ["2024-01-01"]
+    logged = {(r["task_name"], r["status"]): r["rows_in"] for r in journal.read().collect()}
+    assert logged == {("source_landing", "SUCCESS"): 0, ("transform_silver", "FAILED"): 0, ("transform_silver", "SUCCESS"): 5}
     state.run_task(run, "dq_gate", "transform_silver", lambda p: p | {"months": []})
     with pytest.raises(RuntimeError):
-        run.read("dq_gate")
+        run.completed("dq_gate")
     later = state.RunState(spark, f"{tmp_path}/state", "r2")
     state.run_task(later, "source_landing", None, lambda p: {"snapshots": snapshots})
     with pytest.raises(RuntimeError):
@@ -142,6 +271,12 @@ def test_run_state(spark, tmp_path):
     for status, payload in (("DONE", {}), ("SUCCESS", {}), ("NO_DATA", {"snapshots": snapshots}), ("NO_DATA", {"reason": state.REPLAY, "metrics": [{"rows_in": 1}]})):
         with pytest.raises(ValueError):
             state.validate(status, payload)
+    before = sorted(map(tuple, run.log().select("pipeline_run_id", "task_name", "status").collect()))
+    monkeypatch.setattr(state.RunState, "MANY", 2)
+    nothing.write("transform_silver", "FAILED", {})
+    assert len(nothing.table.version().folders[""]) == 1
+    after = sorted(map(tuple, run.log().select("pipeline_run_id", "task_name", "status").collect()))
+    assert after == sorted([r for r in before if r[:2] != ("r3", "transform_silver")] + [("r3", "transform_silver", "FAILED")])
 
 
 def test_compare_runs():

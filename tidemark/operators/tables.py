@@ -1,18 +1,30 @@
 """Tables on Parquet folders, with the writes that a lakehouse merge would do.
 
-A table is partitioned by folders.  Each write goes to a new folder first and is then moved into place by the file system
-of the path, so a frame may read the table that it replaces.  There is one writer at a time.
+A table is a log of versions and folders of data.  A version is a small file that names the folders of each partition; a
+write makes new folders first and then the next version, which no two writers can both create.  Readers take the newest
+version, so they see a write in whole or not at all, and a write that breaks off leaves nothing but folders that no version
+names.  A frame may read the table that it replaces.  A writer that was overtaken tries again on the newer version.
 """
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidemark.sources.files import Files, Taken
+
+WHOLE, NONE = "", "__HIVE_DEFAULT_PARTITION__"
+#: Attempts of a writer that others overtake.
+ATTEMPTS = 10
+_BY = "__partition"
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -25,74 +37,148 @@ def work_folder(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/tidemark-tables/{uuid.uuid4().hex}"
 
 
+@dataclass(frozen=True)
+class Version:
+    """folders: by partition value, as text, or under WHOLE.  done: the last batch of each stream that was appended."""
+
+    number: int
+    schema: str
+    folders: dict[str, list[str]]
+    done: dict[str, int]
+
+
 @dataclass(frozen=True)
 class Table:
     spark: SparkSession
     path: str
     partition: str | None = None
 
-    def _files(self):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    @property
+    def _files(self) -> Files:
+        return Files(self.spark)
+
+    # -- versions
+
+    def version(self, number: int | None = None) -> Version | None:
+        """That version, or the newest; None where there is no table."""
+        names = [n for n in self._files.names(f"{self.path}/_versions") if n.endswith(".json") and not n.startswith(".")]
+        name = names[-1] if names and number is None else f"{number:010d}.json" if number is not None else None
+        return Version(**self._files.read_json(f"{self.path}/_versions/{name}")) if name in names else None
+
+    def _commit(self, schema: StructType, change: Callable[[dict[str, list[str]]], dict[str, list[str]]], stream: tuple[str, int] | None = None, base: int | None = None) -> int:
+        """The next version, with the folders that ``change`` makes of those of the newest, or of the version ``base``."""
+        for _ in range(ATTEMPTS):
+            now = self.version() or Version(0, "", {}, {})
+            if stream and now.done.get(stream[0], -1) >= stream[1]:
+                return now.number  # this batch is in
+            old = now if base is None else self.version(base) or Version(0, "", {}, {})
+            if self._next(now, schema, change(old.folders), stream):
+                return now.number + 1
+        raise Taken(f"{self.path}: overtaken {ATTEMPTS} times")
+
+    def _next(self, now: Version, schema: StructType, folders: dict[str, list[str]], stream: tuple[str, int] | None = None) -> bool:
+        done = now.done | ({stream[0]: stream[1]} if stream else {})
+        document = {"number": now.number + 1, "schema": json.dumps(schema.jsonValue()), "folders": {k: v for k, v in folders.items() if v}, "done": done}
+        try:
+            self._files.create_json(f"{self.path}/_versions/{now.number + 1:010d}.json", document)
+        except Taken:
+            return False
+        return True
+
+    def _written(self, frame: DataFrame) -> dict[str, list[str]]:
+        """The frame in new folders, by partition value.  The partition's column stays in the data."""
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        if self.partition is None:
+            frame.write.parquet(folder)
+            return {WHOLE: [folder]}
+        frame.withColumn(_BY, F.col(self.partition).cast("string")).write.partitionBy(_BY).parquet(folder)
+        return {unquote(name.split("=", 1)[1]): [f"{folder}/{name}"] for name in self._files.names(folder) if name.startswith(f"{_BY}=")}
 
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+    # -- reads
 
     def exists(self) -> bool:
-        return self._files().exists(self._path(self.path))
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
-
-    def _swap(self, staged: str, place: str) -> None:
-        files, old = self._files(), f"{place}__old_{uuid.uuid4().hex}"
-        target = self._path(place)
-        files.mkdirs(target.getParent())
-        if files.exists(target):
-            files.rename(target, self._path(old))
-        files.rename(self._path(staged), target)
-        files.delete(self._path(old), True)
-
-    def _staged(self, frame: DataFrame, by: str | None) -> str:
-        staged = f"{self.path}__stage_{uuid.uuid4().hex}"
-        writer = frame.write
-        (writer.partitionBy(by) if by else writer).parquet(staged)
-        return staged
-
-    def overwrite(self, frame: DataFrame) -> None:
-        self._swap(self._staged(frame, self.partition), self.path)
-
-    def append(self, frame: DataFrame) -> None:
-        writer = frame.write.mode("append")
-        (writer.partitionBy(self.partition) if self.partition else writer).parquet(self.path)
-
-    def replace_partition(self, frame: DataFrame, value) -> None:
-        """The partition of that value becomes the frame, be it empty; a row of another partition is an error."""
+        return self.version() is not None
+
+    def read(self, values: Iterable | None = None, version: int | None = None) -> DataFrame:
+        """The table, or its partitions of some values, of which no other folder is looked at."""
+        now = self.version(version)
+        if now is None:
+            raise FileNotFoundError(self.path)
+        wanted = None if values is None else {NONE if v is None else str(v) for v in values}
+        folders = [f for value, own in sorted(now.folders.items()) if wanted is None or value in wanted for f in own]
+        schema = StructType.fromJson(json.loads(now.schema))
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    # -- writes
+
+    def overwrite(self, frame: DataFrame) -> int:
+        written = self._written(frame)
+        return self._commit(frame.schema, lambda old: written)
+
+    def append(self, frame: DataFrame, stream: tuple[str, int] | None = None) -> int:
+        """Adds rows.  stream: name and number of a batch, which goes in once however often it is given."""
+        written = self._written(frame)
+        return self._commit(frame.schema, lambda old: {k: old.get(k, []) + written.get(k, []) for k in {*old, *written}}, stream)
+
+    def replace_partitions(self, frame: DataFrame, values: Sequence, base: int | None = None) -> int:
+        """The partitions of these values become the frame, be it empty; a row of another partition is an error.
+
+        base: the version whose other partitions stay, in place of the newest; 0 for none.
+        """
         if self.partition is None:
             raise ValueError("the table has no partitions")
-        if not frame.filter(~F.col(self.partition).eqNullSafe(F.lit(value))).isEmpty():
-            raise ValueError(f"rows outside {self.partition} = {value}")
-        if not self.exists():
-            self.overwrite(frame)
-            return
-        staged = self._staged(frame.drop(self.partition), None)
-        self._swap(staged, f"{self.path}/{self.partition}={value}")
+        texts = [str(v) for v in values]
+        if not frame.filter(~F.coalesce(F.col(self.partition).cast("string").isin(*texts), F.lit(False))).isEmpty():
+            raise ValueError(f"rows outside {self.partition} = {', '.join(texts)}")
+        written = self._written(frame)
+        return self._commit(frame.schema, lambda old: {k: v for k, v in old.items() if k not in texts} | written, base=base)
+
+    def replace_partition(self, frame: DataFrame, value) -> int:
+        return self.replace_partitions(frame, [value])
 
     def insert_new(self, frame: DataFrame, keys: Sequence[str]) -> None:
-        """Appends the rows whose key the table does not have; rows of the frame that share a key go in once."""
+        """Appends the rows whose key the table does not have; rows of the frame that share a key go in once.
+
+        If the partition is one of the keys, only the partitions that the frame has rows of are read.
+        """
         fresh = frame.dropDuplicates(list(keys))
-        if not self.exists():
-            self.overwrite(fresh)
-        elif not frame.isEmpty():
-            self.append(without(fresh, self.read(), keys))
+        for _ in range(ATTEMPTS):
+            now = self.version()
+            if now is None:
+                now, new = Version(0, "", {}, {}), fresh
+            else:
+                touched = [r[0] for r in fresh.select(self.partition).distinct().collect()] if self.partition in keys else None
+                new = without(fresh, self.read(touched, now.number), keys)
+                if new.isEmpty():
+                    return
+            written = self._written(new)
+            if self._next(now, frame.schema, {k: now.folders.get(k, []) + written.get(k, []) for k in {*now.folders, *written}}):
+                return
+        raise Taken(f"{self.path}: overtaken {ATTEMPTS} times")
 
     def upsert(self, frame: DataFrame, keys: Sequence[str]) -> None:
         """Rows of the frame take the place of those with the same key; meant for small control tables."""
-        self.overwrite(upserted(self.read(), frame, keys) if self.exists() else frame)
-
-    def clustered(self, columns: Sequence[str], files: int) -> None:
+        for _ in range(ATTEMPTS):
+            now = self.version()
+            whole = upserted(self.read(version=now.number), frame, keys) if now else frame
+            if self._next(now or Version(0, "", {}, {}), frame.schema, self._written(whole)):
+                return
+        raise Taken(f"{self.path}: overtaken {ATTEMPTS} times")
+
+    def clustered(self, columns: Sequence[str], files: int) -> int:
         """Rewrites the table in ranges of the columns, so that the statistics of its row groups skip much."""
-        self.overwrite(self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns))
+        return self.overwrite(self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns))
+
+    def vacuum(self, versions: int = 10) -> list[str]:
+        """Deletes folders that none of the newest versions names, among them those of writes that broke off.  No write may be
+        under way."""
+        files, now = self._files, self.version()
+        kept = [v for n in range(max(1, now.number - versions + 1), now.number + 1) if (v := self.version(n))] if now else []
+        named = {f[len(self.path) + len("/data/") :].split("/")[0] for v in kept for own in v.folders.values() for f in own}
+        gone = [name for name in files.names(f"{self.path}/data") if name not in named]
+        for name in gone:
+            files.delete(f"{self.path}/data/{name}")
+        return gone
 
 
 def without(frame: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:

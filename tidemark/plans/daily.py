@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from tidemark.operators import reference, silver
 from tidemark.operators.tables import Table, work_folder
 from tidemark.plans import marts, monitor, publish, quality, state
 from tidemark.sources import landing
+from tidemark.sources.files import Files
 from tidemark.streaming import bronze
 
 
@@ -49,27 +51,47 @@ def _month(text: str) -> str:
     return f"{text[:7]}-01"
 
 
-def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str], landing.Response], url_of: Callable[[str], str]) -> dict:
-    """Lands the months that are due and plans what the run has to process."""
+SNAPSHOT_FIELDS = ["source_month", "snapshot_id", "uri", "checksum", "rows_received", "bytes_received", "source_url", "source_version"]
+
+
+def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str], landing.Response], url_of: Callable[[str], str], wait: Callable[[float], None]) -> dict:
+    """Lands the months that are due and plans what the run has to process.
+
+    Each landed month is in the manifest at once, so a run that is taken up again does not fetch it anew.  Months that the
+    configuration gives URIs for come from there; a URI that tells a checksum is landed already.
+    """
     config = lake.config
     asked = config.get("months") or [m.strftime("%Y-%m") for m in expected_months(dt.date.fromisoformat(config["processing_date"]), config["publication_lag_months"], config["late_arrival_months"])]
     log = run.log()
     published = {r["source_month"][:7]: r["snapshot_id"] for r in state.published(log).collect()}  # a row for each month
     dirty = {r["source_month"][:7] for r in state.dirty_months(log).collect()}
-    found = {m: landing.fetch_snapshot(m, url_of(m), lake.raw, fetch) for m in asked}
+    uris = {m: (config.get("source_uris") or {}).get(m) or url_of(m) for m in asked}
+    manifest = lake.table("reference/ingestion_manifest")
+    mine = manifest.read().filter(F.col("pipeline_run_id") == run.run_id).select(*SNAPSHOT_FIELDS).collect() if manifest.exists() else []  # a row for each month
+    found: dict[str, landing.Snapshot | None] = dict(landing.resumed([r.asDict() for r in mine], uris))
+    for month in asked:
+        if month not in found:
+            given = landing.is_landed(uris[month])
+            found[month] = landing.landed_snapshot(month, uris[month]) if given else landing.fetch_snapshot(lake.spark, month, uris[month], lake.raw, fetch, wait=wait)
+            if found[month]:
+                state.write_manifest(manifest, run.run_id, [found[month].payload() | {"source_month": _month(month)}])
     plan = landing.plan_landing(asked, found, published, dirty, backfill=bool(config.get("months")))
     plan["snapshots"] = [s | {"source_month": _month(s["source_month"])} for s in plan["snapshots"]]
-    state.write_manifest(lake.table("reference/ingestion_manifest"), run.run_id, plan["snapshots"])
     return plan
 
 
+def bronze_table(lake: Lakehouse) -> Table:
+    return lake.table("bronze", "source_snapshot_id")
+
+
 def bronze_ingest(lake: Lakehouse, payload: dict) -> dict:
-    """Takes in new files and makes sure that every snapshot is there in full."""
-    bronze.ingest(bronze.read_stream(lake.spark, lake.raw, BRONZE_SCHEMA), f"{lake.folder}/bronze", f"{lake.folder}/checkpoints/bronze")
+    """Takes in new files, rescues what drifts, and makes sure that every snapshot is there in full."""
+    table = bronze_table(lake)
+    bronze.ingest_rescued(table, f"{lake.raw}/landed", f"{lake.folder}/checkpoints/bronze", BRONZE_SCHEMA)
     wanted = {s["snapshot_id"]: s["rows_received"] for s in payload["snapshots"]}
-    rows = lake.table("bronze").read().filter(F.col("source_snapshot_id").isin(*wanted)).groupBy("source_snapshot_id").count().collect()
+    rows = table.read([*wanted]).groupBy("source_snapshot_id").count().collect()
     got = {r["source_snapshot_id"]: r["count"] for r in rows}
-    short = [s for s, n in wanted.items() if n is not None and got.get(s, 0) != n]
+    short = [s for s, n in wanted.items() if not got.get(s) or (n is not None and got[s] != n)]
     if short:
         raise RuntimeError(f"snapshots not taken in whole: {', '.join(short)}")
     return payload
@@ -80,7 +102,7 @@ def transform_silver(lake: Lakehouse, run_id: str, payload: dict) -> dict:
     lookups, metrics = silver.trip_lookups(*lake.dimensions()), []
     for snapshot in payload["snapshots"]:
         month = snapshot["source_month"]
-        batch = lake.table("bronze").read().filter(F.col("source_snapshot_id") == snapshot["snapshot_id"]).withColumns({"pipeline_run_id": F.lit(run_id), "batch_id": F.lit(f"{run_id}:{month}")})
+        batch = bronze_table(lake).read([snapshot["snapshot_id"]]).withColumns({"pipeline_run_id": F.lit(run_id), "batch_id": F.lit(f"{run_id}:{month}")})
         checked_at = work_folder(lake.spark)
         silver.classify(batch, lookups).write.parquet(checked_at)  # read three times
         checked = lake.spark.read.parquet(checked_at)
@@ -97,7 +119,7 @@ def aggregate_gold(lake: Lakehouse, payload: dict) -> dict:
     """Rebuilds the marts of the touched months and reconciles them with silver."""
     dims, clean, gold = lake.dimensions(), lake.table("silver/trips_clean"), []
     for month in payload["months"]:
-        fact = clean.read().filter(F.col("source_month") == month)
+        fact = clean.read([month])
         marts.write_month(marts.build_month(fact, month, *dims), f"{lake.folder}/gold", month)
         written = {m.name: _mart(lake, m.name, month) for m in marts.MARTS}
         marts.reconciled(fact, written, month)
@@ -108,16 +130,21 @@ def aggregate_gold(lake: Lakehouse, payload: dict) -> dict:
 
 
 def _mart(lake: Lakehouse, name: str, month: str) -> DataFrame:
-    return lake.table(f"gold/{name}").read().filter(F.col("pickup_month") == month)
+    return lake.table(f"gold/{name}", "pickup_month").read([month])
 
 
 def export(lake: Lakehouse, run_id: str, payload: dict) -> dict:
-    """Exports the touched months, publishes them and reads them back."""
+    """Exports the touched months, hands them over, publishes them and reads them back."""
     exports = [publish.export(_mart(lake, m["mart"], m["month"]), f"{lake.folder}/exports", m["mart"], m["month"], run_id, overwrite=True) for m in payload["gold_metrics"]]
     given = publish.handoff(run_id, exports, payload["gold_metrics"], [m.name for m in marts.MARTS])
+    files, place = Files(lake.spark), f"{lake.folder}/handoffs/{run_id}.json"
+    if not files.exists(place):
+        files.create_json(place, given)
+    elif files.read_json(place)["metrics"] != given["metrics"]:
+        raise ValueError(f"run {run_id} has handed over something else")
     publish.publish(lake.spark, given, f"{lake.folder}/serving")
-    publish.reconcile(lake.spark, given, f"{lake.folder}/serving")
-    return payload | {"serving_handoff": {"exports": exports}, "serving_status": given["status"], "serving_metrics": payload["gold_metrics"]}
+    served = publish.reconcile(lake.spark, given, f"{lake.folder}/serving")
+    return payload | {"serving_handoff": {"uri": place, "exports": exports}, "serving_status": given["status"], "serving_metrics": served}
 
 
 def check(lake: Lakehouse, run: state.RunState, payload: dict) -> dict:
@@ -127,24 +154,27 @@ def check(lake: Lakehouse, run: state.RunState, payload: dict) -> dict:
     return payload
 
 
-def daily(lake: Lakehouse, fetch: Callable[[str], landing.Response], url_of: Callable[[str], str]) -> dict:
-    """Runs all tasks; a run that failed is taken up by running it again under the same id."""
+def daily(lake: Lakehouse, fetch: Callable[[str], landing.Response] | None = None, url_of: Callable[[str], str] = str, *, wait: Callable[[float], None] = time.sleep) -> dict:
+    """Runs all tasks; a run that failed is taken up by running it again under the same id.
+
+    fetch: by the URL's scheme, where none is given.  url_of: where a month's file is, for months without a URI of their own.
+    """
     config = lake.config
     run_id = config["pipeline_run_id"]
     run = state.RunState(lake.spark, f"{lake.folder}/reference/pipeline_run_state", run_id)
     limits = config["monitoring"]
     actions = {
-        "source_landing": lambda p: source_landing(lake, run, fetch, url_of),
+        "source_landing": lambda p: source_landing(lake, run, fetch or landing.by_scheme(lake.spark), url_of, wait),
         "reference_preflight": lambda p: lake.dimensions() and p,
         "bronze_ingest": lambda p: bronze_ingest(lake, p),
         "transform_silver": lambda p: transform_silver(lake, run_id, p),
-        "dq_gate": lambda p: quality.gate(p, config["quarantine_threshold"], limits["min_snapshot_rows"]),
+        "dq_gate": lambda p: quality.gate(lake.spark, p, config["quarantine_threshold"], limits["min_snapshot_rows"]),
         "aggregate_gold": lambda p: aggregate_gold(lake, p),
         "export_serving": lambda p: export(lake, run_id, p),
         "monitor": lambda p: check(lake, run, p),
     }
-    done, upstream = {}, None
+    done, upstream, journal = {}, None, lake.table("reference/pipeline_run_log")
     for task in state.TASKS:
-        done = state.run_task(run, task, upstream, actions[task], environment=config["environment"], backfill=bool(config.get("months")))
+        done = state.run_task(run, task, upstream, actions[task], environment=config["environment"], backfill=bool(config.get("months")), journal=journal)
         upstream = task
     return done

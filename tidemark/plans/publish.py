@@ -1,16 +1,15 @@
-"""Publication of marts: exports, handoff, staged verification, one pointer that makes it visible, and a receipt."""
+"""Publication of marts: exports, handoff, staged verification, and one small file that makes it visible and is its receipt."""
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.tables import Table
+from tidemark.operators.tables import ATTEMPTS, Table
+from tidemark.sources.files import Files, Taken
 
 #: What the serving side calls Spark's types.
 SERVING_TYPES = {
@@ -34,6 +33,14 @@ def export(frame: DataFrame, folder: str, mart: str, month: str, version: str, o
     return {"mart": mart, "month": month, "uri": uri}
 
 
+def export_months(frame: DataFrame, folder: str, mart: str, month: str, version: str) -> list[dict]:
+    """The same for all months of a mart, in one write."""
+    place = f"{folder}/{version}/{mart}"
+    frame.withColumn("month", F.col(month).cast("string")).write.partitionBy("month").parquet(place)
+    names = [n for n in Files(frame.sparkSession).names(place) if n.startswith("month=")]
+    return [{"mart": mart, "month": n.removeprefix("month="), "uri": f"{place}/{n}"} for n in names]
+
+
 def month_metrics(frame: DataFrame, mart: str, month: str = "pickup_month") -> DataFrame:
     """(mart, month, n_rows, trips, revenue) of each month of a mart."""
     revenue = F.sum("total_revenue") if "total_revenue" in frame.columns else F.lit(None)
@@ -59,72 +66,103 @@ def handoff(run_id: str, exports: Sequence[Mapping], metrics: Sequence[Mapping],
     return {"pipeline_run_id": run_id, "status": "READY_FOR_SERVING", "exports": list(exports), "metrics": list(metrics)}
 
 
-def write_once(document: Mapping, path: str) -> None:
-    """Writes JSON to a place that must be free."""
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "x") as file:
-        json.dump(document, file, sort_keys=True, default=str)
+_MONTH = "__month"
+
+
+def publications(spark: SparkSession, folder: str) -> list[str]:
+    return [f"{folder}/publications/{n}" for n in Files(spark).names(f"{folder}/publications") if n.endswith(".json") and not n.startswith(".")]
+
+
+def pointer(spark: SparkSession, folder: str) -> dict | None:
+    """The publication in force: its number, run, version of each mart's table, and metrics."""
+    found = publications(spark, folder)
+    return Files(spark).read_json(found[-1]) if found else None
+
+
+def receipt(spark: SparkSession, folder: str, run_id: str) -> dict | None:
+    """The publication of a run."""
+    return next((d for p in reversed(publications(spark, folder)) if (d := Files(spark).read_json(p))["pipeline_run_id"] == run_id), None)
+
 
+def _bare(uri: str) -> str:
+    """A folder without its scheme, as different spellings of one place have it in common."""
+    return "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", uri).strip("/")
 
-def publish(spark: SparkSession, given: Mapping, folder: str) -> dict:
-    """Replaces the months of a handoff in the serving tables.
 
-    Every export is staged and its rows and trips are held against the handoff first.  Tables are then written side by side
-    and a pointer file, last, makes them the current ones, so that a failure leaves the former publication in force.  A
-    receipt that exists makes a second publication of the same run a no-op.
+def _staged(spark: SparkSession, months: Mapping[str, str]) -> DataFrame:
+    """The exports of a mart, by month, as one frame with the month that each row was exported for."""
+    frame = spark.read.parquet(*months.values())
+    place = F.regexp_replace(F.regexp_replace(F.col("_metadata.file_path"), "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/"), "/[^/]*$", "")
+    named = F.create_map(*(F.lit(x) for month, uri in months.items() for x in (_bare(uri), month)))
+    return frame.withColumn(_MONTH, F.element_at(named, place))
+
+
+def _verified(spark: SparkSession, given: Mapping) -> dict[str, DataFrame]:
+    """The exports of a handoff by mart, held against what was announced."""
+    places: dict[str, dict[str, str]] = {}
+    for e in given["exports"]:
+        if e["month"] in places.setdefault(e["mart"], {}):
+            raise ValueError(f"{e['mart']}: {e['month']} is given twice")
+        places[e["mart"]][e["month"]] = e["uri"]
+    staged = {mart: _staged(spark, months) for mart, months in places.items()}
+    for mart, frame in staged.items():
+        strays = F.count_if(F.col("pickup_month").cast("string") != F.col(_MONTH)) if "pickup_month" in frame.columns else F.lit(0)
+        rows = frame.groupBy(_MONTH).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"), strays.alias("strays")).collect()  # one for each month
+        got = dict.fromkeys(places[mart], (0, 0)) | {r[_MONTH]: (r["n"], r["trips"]) for r in rows}
+        announced = {m["month"]: (m["rows"], m["trips"]) for m in given["metrics"] if m["mart"] == mart}
+        if stray := [r[_MONTH] for r in rows if r["strays"]]:
+            raise ValueError(f"{mart}: rows of other months in {', '.join(stray)}")
+        if got != announced:
+            raise ValueError(f"{mart}: exports have {got}, {announced} were announced")
+    return staged
+
+
+def publish(spark: SparkSession, given: Mapping, folder: str, *, initial: bool = False) -> dict:
+    """Replaces the months of a handoff in the serving tables; a first load (``initial``) replaces the tables.
+
+    Exports are verified, and written as new versions of the marts' tables: only the months that are given.  One file, made
+    last and never changed, then says which versions are in force and for which run: it is pointer and receipt at once, so a
+    run that broke off anywhere before it has published nothing, and one that has it is published.  Versions build on those
+    in force, not on what an unfinished publication has left.
     """
-    receipt = f"{folder}/receipts/{given['pipeline_run_id']}.json"
-    if os.path.exists(receipt):
-        with open(receipt) as file:
-            return json.load(file)
-    staged = {(e["mart"], e["month"]): spark.read.parquet(e["uri"]) for e in given["exports"]}
-    for m in given["metrics"]:
-        got = staged[m["mart"], m["month"]].agg(F.count("*").alias("rows"), F.coalesce(F.sum("trip_count"), F.lit(0)).alias("trips")).first()
-        if (got["rows"], got["trips"]) != (m["rows"], m["trips"]):
-            raise ValueError(f"{m['mart']} of {m['month']}: {got['rows']} rows, {got['trips']} trips; {m['rows']}, {m['trips']} were announced")
-    current, version = pointer(folder), f"v-{uuid.uuid4().hex}"
-    for mart in sorted({name for name, _ in staged}):
-        months = {month: frame for (name, month), frame in staged.items() if name == mart}
-        table = Table(spark, f"{folder}/{version}/{mart}", "__month")
-        frames = [frame.withColumn("__month", F.lit(month)) for month, frame in sorted(months.items())]
-        if current and (old := Table(spark, f"{folder}/{current}/{mart}")).exists():
-            frames.append(old.read().withColumn("__month", F.col("__month").cast("string")).filter(~F.col("__month").isin(*months)))
-        whole = frames[0]
-        for frame in frames[1:]:
-            whole = whole.unionByName(frame)
-        table.overwrite(whole)
-    done = {"pipeline_run_id": given["pipeline_run_id"], "version": version, "metrics": list(given["metrics"])}
-    write_once(done, receipt)
-    staged_pointer = f"{folder}/CURRENT.{uuid.uuid4().hex}"
-    with open(staged_pointer, "w") as file:
-        file.write(version)
-    os.replace(staged_pointer, f"{folder}/CURRENT")
-    return done
-
-
-def pointer(folder: str) -> str | None:
-    """The version in force."""
-    try:
-        with open(f"{folder}/CURRENT") as file:
-            return file.read()
-    except FileNotFoundError:
-        return None
+    if done := receipt(spark, folder, given["pipeline_run_id"]):
+        return done
+    staged = _verified(spark, given)
+    for _ in range(ATTEMPTS):
+        now = pointer(spark, folder) or {"number": 0, "versions": {}}
+        versions = {} if initial else dict(now["versions"])
+        for mart, frame in sorted(staged.items()):
+            base, months = 0 if initial else now["versions"].get(mart, 0), sorted(m["month"] for m in given["metrics"] if m["mart"] == mart)
+            versions[mart] = Table(spark, f"{folder}/{mart}", _MONTH).replace_partitions(frame, months, base)
+        done = {"number": now["number"] + 1, "pipeline_run_id": given["pipeline_run_id"], "versions": versions, "metrics": list(given["metrics"])}
+        try:
+            Files(spark).create_json(f"{folder}/publications/{done['number']:010d}.json", done)
+        except Taken:
+            continue  # another run has published in between
+        return done
+    raise Taken(f"{folder}: overtaken {ATTEMPTS} times")
 
 
 def serving(spark: SparkSession, folder: str, mart: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{pointer(folder)}/{mart}").drop("__month")
+    return _served(spark, folder, mart).drop(_MONTH)
+
+
+def _served(spark: SparkSession, folder: str, mart: str, months: Sequence[str] | None = None) -> DataFrame:
+    return Table(spark, f"{folder}/{mart}", _MONTH).read(months, pointer(spark, folder)["versions"][mart])
 
 
-def reconcile(spark: SparkSession, given: Mapping, folder: str) -> None:
-    """Raises unless serving shows what a handoff announced and has one receipt for its run."""
-    receipts = [name for name in os.listdir(f"{folder}/receipts") if name == f"{given['pipeline_run_id']}.json"]
-    if len(receipts) != 1:
-        raise ValueError(f"{len(receipts)} receipts of run {given['pipeline_run_id']}")
+def reconcile(spark: SparkSession, given: Mapping, folder: str) -> list[dict]:
+    """What serving shows of a handoff's months (mart, month, rows, trips); raises if it is not what was announced, or if the
+    run is not published exactly once."""
+    runs = [Files(spark).read_json(p)["pipeline_run_id"] for p in publications(spark, folder)]
+    if runs.count(given["pipeline_run_id"]) != 1:
+        raise ValueError(f"{runs.count(given['pipeline_run_id'])} receipts of run {given['pipeline_run_id']}")
+    served = []
     for mart in sorted({m["mart"] for m in given["metrics"]}):
         announced = {m["month"]: (m["rows"], m["trips"]) for m in given["metrics"] if m["mart"] == mart}
-        table = spark.read.parquet(f"{folder}/{pointer(folder)}/{mart}")
-        month = F.col("__month").cast("string")
-        found = table.filter(month.isin(*announced)).groupBy(month.alias("month")).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"))
-        served = {r["month"]: (r["n"], r["trips"]) for r in found.collect()}  # as many rows as the handoff has months
-        if served != {m: v for m, v in announced.items() if v[0]}:
-            raise ValueError(f"{mart}: serving has {served}, {announced} were announced")
+        found = _served(spark, folder, mart, [*announced]).groupBy(_MONTH).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"))
+        got = dict.fromkeys(announced, (0, 0)) | {r[_MONTH]: (r["n"], r["trips"]) for r in found.collect()}  # a row for each month of the handoff
+        if got != announced:
+            raise ValueError(f"{mart}: serving has {got}, {announced} were announced")
+        served += [{"mart": mart, "month": month, "rows": n, "trips": trips} for month, (n, trips) in sorted(got.items())]
+    return served

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tidemark.operators.tables import Table
 
 SCHEMA = "pipeline_run_id string, task_name string, status string, payload string, updated_at timestamp"
+SCHEMA_KEYS = ("pipeline_run_id", "task_name")
 LOG_SCHEMA = (
     "pipeline_run_id string, task_name string, batch_id string, source_snapshot_id string, rows_in bigint, rows_out bigint, "
     "rows_deduplicated bigint, rows_quarantined bigint, status string, started_at timestamp, ended_at timestamp"
 )
-STATUSES = ("RUNNING", "SUCCESS", "NO_DATA", "FAILED")
 #: The tasks of a run, in order, and those whose months must be those of the run's snapshots.
 TASKS = ["source_landing", "reference_preflight", "bronze_ingest", "transform_silver", "dq_gate", "aggregate_gold", "export_serving", "monitor"]
 MONTH_TASKS = {"transform_silver", "dq_gate", "aggregate_gold", "export_serving"}
@@ -25,19 +25,35 @@ REPLAY = "snapshot_already_processed"
 LONGEST_ERROR = 4000
 
 
-def validate(status: str, payload: dict) -> None:
-    """What a payload must hold for its status."""
-    if status not in STATUSES:
+def _is_replay(payload: Mapping) -> bool:
+    return payload.get("reason") == REPLAY
+
+
+#: What must hold of the payload of each status.
+CONTRACTS: dict[str, Sequence[tuple[str, Callable[[Mapping], bool]]]] = {
+    "RUNNING": (),
+    "FAILED": (),
+    "SUCCESS": (("a success names its snapshots", lambda p: bool(p.get("snapshots"))),),
+    "NO_DATA": (
+        ("only a replay has snapshots without data", lambda p: _is_replay(p) or not p.get("snapshots")),
+        ("a replay reads no rows", lambda p: not _is_replay(p) or sum(m.get("rows_in", 0) for m in p.get("metrics") or []) == 0),
+    ),
+}
+#: Statuses whose payload the next task may take up.
+COMPLETE = ("SUCCESS", "NO_DATA")
+
+
+def validate(status: str, payload: Mapping) -> None:
+    """Raises ValueError with all that a payload lacks for its status."""
+    if status not in CONTRACTS:
         raise ValueError(f"unknown status {status}")
-    snapshots, metrics = payload.get("snapshots") or [], payload.get("metrics") or []
-    if status == "SUCCESS" and not snapshots:
-        raise ValueError("a success names its snapshots")
-    if status == "NO_DATA":
-        replay = payload.get("reason") == REPLAY
-        if snapshots and not replay:
-            raise ValueError("snapshots were not processed")
-        if replay and any(m.get("rows_in", 0) for m in metrics):
-            raise ValueError("a replay reads no rows")
+    if broken := [said for said, holds in CONTRACTS[status] if not holds(payload)]:
+        raise ValueError(f"{status}: {'; '.join(broken)}")
+
+
+def months_agree(payload: Mapping) -> bool:
+    """Each month is that of one snapshot."""
+    return sorted(payload.get("months") or []) == sorted({s["source_month"] for s in payload["snapshots"]}) and len(payload["months"]) == len(payload["snapshots"])
 
 
 # -- what a state log says, as frames ---------------------------------------------------------------------------------
@@ -115,35 +131,45 @@ def run_metrics(log: DataFrame) -> DataFrame:
 
 
 class RunState:
-    """The state table of a pipeline, seen by one run."""
+    """The state of a pipeline, seen by one run: a table to which statuses are only added; the last of a task counts.
+
+    Adding needs no look at what others add, so runs that overlap lose nothing.
+    """
+
+    #: Folders of the table before it is rewritten as one.
+    MANY = 200
 
     def __init__(self, spark: SparkSession, folder: str, run_id: str):
         self.spark, self.run_id, self.table = spark, run_id, Table(spark, folder)
 
     def log(self) -> DataFrame:
-        return self.table.read() if self.table.exists() else self.spark.createDataFrame([], SCHEMA)
+        """The last status of each task of each run."""
+        return latest_per(self.table.read(), ["pipeline_run_id", "task_name"], "updated_at") if self.table.exists() else self.spark.createDataFrame([], SCHEMA)
 
-    def write(self, task: str, status: str, payload: dict) -> None:
+    def write(self, task: str, status: str, payload: Mapping) -> None:
         validate(status, payload)
-        row = (self.run_id, task, status, json.dumps(payload, sort_keys=True), dt.datetime.now())
-        self.table.upsert(self.spark.createDataFrame([row], SCHEMA), ["pipeline_run_id", "task_name"])
-
-    def read(self, task: str, required: bool = True) -> dict | None:
+        row = self.spark.createDataFrame([(self.run_id, task, status, json.dumps(payload, sort_keys=True), dt.datetime.now(dt.UTC))], SCHEMA)
+        now = self.table.version()
+        if now and sum(map(len, now.folders.values())) >= self.MANY:
+            self.table.upsert(self.log().unionByName(row).coalesce(1), [*SCHEMA_KEYS, "updated_at"])
+        else:
+            self.table.append(row)
+
+    def find(self, task: str) -> dict | None:
+        """The payload of a task of this run, with its status."""
         rows = self.log().filter((F.col("pipeline_run_id") == self.run_id) & (F.col("task_name") == task)).limit(2).collect()
-        if not rows and not required:
-            return None
-        if len(rows) != 1:
-            raise RuntimeError(f"{len(rows)} states of {task} in run {self.run_id}")
-        found = json.loads(rows[0]["payload"]) | {"status": rows[0]["status"]}
-        if not required:
-            return found
-        if found["status"] not in ("SUCCESS", "NO_DATA"):
-            raise RuntimeError(f"{task} is {found['status']}")
+        if len(rows) > 1:
+            raise RuntimeError(f"two states of {task} in run {self.run_id}")
+        return json.loads(rows[0]["payload"]) | {"status": rows[0]["status"]} if rows else None
+
+    def completed(self, task: str) -> dict:
+        """The same, of a task that must be done and in order."""
+        found = self.find(task)
+        if found is None or found["status"] not in COMPLETE:
+            raise RuntimeError(f"{task} of run {self.run_id} is {found['status'] if found else 'not there'}")
         validate(found["status"], found)
-        if found["status"] == "SUCCESS" and task in MONTH_TASKS:
-            months = sorted(s["source_month"] for s in found["snapshots"])
-            if len({*months}) != len(months) or sorted(found.get("months") or []) != months:
-                raise RuntimeError(f"{task}: months and snapshots differ")
+        if task in MONTH_TASKS and found["status"] == "SUCCESS" and not months_agree(found):
+            raise RuntimeError(f"{task}: months and snapshots differ")
         return found
 
     def ensure_not_superseded(self) -> None:
@@ -151,28 +177,53 @@ class RunState:
             raise RuntimeError(f"run {self.run_id} is superseded by a later landing")
 
 
-def run_task(state: RunState, task: str, upstream: str | None, action: Callable[[dict], dict], *, environment: str = "dev", backfill: bool = False) -> dict:
-    """Runs one task between its upstream's payload and its own durable row."""
-    payload, began = (state.read(upstream) if upstream else {}), time.monotonic()
+class Task:
+    """One task of a run, as a context: it takes up what its upstream left, and whatever happens inside becomes its status.
 
-    def costed(result: dict) -> dict:
-        context = {"environment": environment, "task": task, "duration_ms": round(1000 * (time.monotonic() - began)), "backfill": backfill}
-        return result | {"cost_context": context}
+    given: the upstream's payload.  idle: there is nothing to do, as the upstream had no data.  finish(): the task's own payload.
+    """
 
-    if payload.get("status") == "NO_DATA":
-        done = costed(payload)
-        state.write(task, "NO_DATA", done)
-        return done
-    if upstream:
-        state.ensure_not_superseded()
-    state.write(task, "RUNNING", payload)
-    try:
-        done = costed(action(payload))
-        state.write(task, done.get("status", "SUCCESS"), done)
-    except Exception as error:
-        state.write(task, "FAILED", costed(payload | {"error": str(error)[:LONGEST_ERROR]}))
-        raise
-    return done
+    def __init__(self, run: RunState, name: str, upstream: str | None, *, environment: str = "dev", backfill: bool = False, journal: Table | None = None):
+        self.run, self.name, self.upstream, self.journal = run, name, upstream, journal
+        self.context = {"environment": environment, "task": name, "backfill": backfill}
+        self.given: dict = {}
+        self.payload: dict = {}
+
+    def __enter__(self) -> Task:
+        self.began, self.clock = dt.datetime.now(dt.UTC), time.monotonic()
+        self.given = self.payload = self.run.completed(self.upstream) if self.upstream else {}
+        self.idle = self.given.get("status") == "NO_DATA"
+        if not self.idle:
+            if self.upstream:
+                self.run.ensure_not_superseded()
+            self.run.write(self.name, "RUNNING", self.given)
+        return self
+
+    def finish(self, payload: Mapping) -> None:
+        self.payload = dict(payload)
+
+    def __exit__(self, kind, error, trace) -> None:
+        status = "FAILED" if error else "NO_DATA" if self.idle else self.payload.get("status", "SUCCESS")
+        told = {"error": str(error)[:LONGEST_ERROR]} if error else {}
+        self.payload = (self.given if error else self.payload) | told | {"cost_context": self.context | {"duration_ms": round(1000 * (time.monotonic() - self.clock))}}
+        self.run.write(self.name, status, self.payload)
+        if self.journal is not None:
+            log_run(self.journal, journal_row(self, status))
+
+
+def run_task(run: RunState, name: str, upstream: str | None, action: Callable[[dict], dict], **settings) -> dict:
+    """A task that is one function of its upstream's payload."""
+    with Task(run, name, upstream, **settings) as task:
+        if not task.idle:
+            task.finish(action(task.given))
+    return task.payload
+
+
+def journal_row(task: Task, status: str) -> tuple:
+    """What the run log says of a task: how many rows its payload tells of."""
+    counts = {c: sum(m.get(c, 0) for m in task.payload.get("metrics") or []) for c in ("rows_in", "rows_out", "rows_deduplicated", "rows_quarantined")}
+    snapshots = ",".join(s["snapshot_id"] for s in task.payload.get("snapshots") or [])
+    return (task.run.run_id, task.name, f"{task.run.run_id}:{task.name}", snapshots, *counts.values(), status, task.began, dt.datetime.now(dt.UTC))
 
 
 def log_run(table: Table, row: Sequence) -> None:
@@ -211,7 +262,7 @@ def write_manifest(table: Table, run_id: str, snapshots: Sequence[dict], dataset
 
     rows = [
         (run_id, s["source_month"], s["snapshot_id"], s["uri"], s["checksum"], s["rows_received"], s["bytes_received"], s["source_url"], s["source_version"],
-         object_key(system, dataset, s["snapshot_id"], s["uri"], s["checksum"]), dt.datetime.now())
+         object_key(system, dataset, s["snapshot_id"], s["uri"], s["checksum"]), dt.datetime.now(dt.UTC))
         for s in snapshots
     ]
     if rows:

@@ -1,18 +1,27 @@
-"""Landing of immutable, checksum-addressed snapshots."""
+"""Landing of immutable, checksum-addressed snapshots, on any file system that Spark reads.
+
+Content goes through in chunks: what is fetched is written beside its place and hashed on the way, its footer is read where it
+lies, and a rename that overwrites nothing lands it.  A run that breaks off leaves nothing at the place.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import io
-import os
 import re
-from collections.abc import Callable, Iterable
-from dataclasses import asdict, dataclass
+import time
+import urllib.error
+import urllib.parse
+import urllib.request
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import asdict, dataclass, field
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import SparkSession
 
-import pyarrow.parquet as pq
+from tidemark.sources.files import CHUNK, Files, Taken
 
-CHUNK = 1 << 20
 REQUIRED_COLUMNS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID"]
 RETRIES, BACKOFF, RETRY_STATUSES = 4, 1.0, (429, 500, 502, 503, 504)
 _LANDED = re.compile(r"snapshot=([0-9a-f]{64})(?:/|$)")
@@ -33,53 +42,80 @@ class Snapshot:
         return asdict(self)
 
 
-def checksum(chunks: Iterable[bytes]) -> tuple[str, int]:
-    """SHA-256 and size of what is read in chunks."""
-    digest, size = hashlib.sha256(), 0
-    for chunk in chunks:
-        digest.update(chunk)
-        size += len(chunk)
-    return digest.hexdigest(), size
+class Conflict(ValueError):
+    """Other content is already at an immutable place."""
 
 
-def file_checksum(path: str) -> tuple[str, int]:
-    with open(path, "rb") as file:
-        return checksum(iter(lambda: file.read(CHUNK), b""))
+@dataclass
+class Tally:
+    """SHA-256 and size of the chunks that go through."""
 
+    digest: object = field(default_factory=hashlib.sha256)
+    size: int = 0
 
-class Conflict(ValueError):
-    """Other content is already at an immutable place."""
+    def through(self, chunks: Iterable[bytes]) -> Iterator[bytes]:
+        for chunk in chunks:
+            self.digest.update(chunk)
+            self.size += len(chunk)
+            yield chunk
 
+    @property
+    def checksum(self) -> str:
+        return self.digest.hexdigest()
 
-def land(content: bytes, path: str, expected: str | None = None) -> str:
-    """Creates a file that is never changed: ``landed``, or ``already_landed`` if the same bytes are there."""
-    if not content:
-        raise ValueError("nothing to land")
-    found = hashlib.sha256(content).hexdigest()
-    if expected and expected != found:
-        raise ValueError(f"checksum {found}, not {expected}")
-    os.makedirs(os.path.dirname(path), exist_ok=True)
+
+def _settled(files: Files, staged: str, path: str, checksum: str) -> str:
     try:
-        handle = os.open(path, os.O_WRONLY | os.O_CREAT | os.O_EXCL, 0o644)
-    except FileExistsError:
-        if file_checksum(path)[0] == found:
+        files.settle(staged, path)
+    except Taken:
+        if files.checksum(path) == checksum:
             return "already_landed"
         raise Conflict(path) from None
-    with os.fdopen(handle, "wb") as file:
-        file.write(content)
     return "landed"
 
 
+def land(spark: SparkSession, chunks: Iterable[bytes], path: str, expected: str | None = None) -> str:
+    """Creates a file that is never changed: ``landed``, or ``already_landed`` if the same bytes are there."""
+    files, tally = Files(spark), Tally()
+    staged = files.stage(path, tally.through(chunks))
+    if not tally.size or expected not in (None, tally.checksum):
+        files.delete(staged)
+        raise ValueError(f"checksum {tally.checksum}, not {expected}" if tally.size else "nothing to land")
+    return _settled(files, staged, path, tally.checksum)
+
+
 @dataclass(frozen=True)
 class Response:
-    """What a fetcher gives: HTTP status, declared length if any, content."""
+    """What a fetcher gives: HTTP status, declared length if any, content in chunks."""
 
     status: int
     length: int | None
-    content: bytes
+    chunks: Iterable[bytes] = ()
 
 
-def fetched(fetch: Callable[[str], Response], url: str, *, wait: Callable[[float], None] = lambda seconds: None) -> Response | None:
+def http(url: str, timeout: float = 60) -> Response:
+    """Fetches a URL; the content is read as it is asked for."""
+    try:
+        answer = urllib.request.urlopen(url, timeout=timeout)  # noqa: S310
+    except urllib.error.HTTPError as error:
+        return Response(error.code, None)
+    length = answer.headers.get("Content-Length")
+    return Response(answer.status, int(length) if length else None, iter(lambda: answer.read(CHUNK), b""))
+
+
+def stored(spark: SparkSession) -> Callable[[str], Response]:
+    """A fetcher of what lies on file systems that Spark reads, file:// among them."""
+    files = Files(spark)
+    return lambda uri: Response(200, None, files.chunks(uri)) if files.exists(uri) else Response(404, None)
+
+
+def by_scheme(spark: SparkSession) -> Callable[[str], Response]:
+    """The fetcher that a URL's scheme asks for."""
+    other = stored(spark)
+    return lambda url: (http if urllib.parse.urlsplit(url).scheme in ("http", "https") else other)(url)
+
+
+def fetched(fetch: Callable[[str], Response], url: str, *, wait: Callable[[float], None] = time.sleep) -> Response | None:
     """The response, after retries with growing waits; None where there is nothing; other statuses raise."""
     for attempt in range(RETRIES + 1):
         response = fetch(url)
@@ -90,32 +126,49 @@ def fetched(fetch: Callable[[str], Response], url: str, *, wait: Callable[[float
         return None
     if response.status != 200:
         raise OSError(f"{url}: status {response.status}")
-    if response.length is not None and response.length != len(response.content):
-        raise OSError(f"{url}: {len(response.content)} of {response.length} bytes")
     return response
 
 
-def parquet_rows(content: bytes) -> int:
+def parquet_rows(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet file that has the required columns; anything else raises."""
-    footer = pq.ParquetFile(io.BytesIO(content))
-    missing = [c for c in REQUIRED_COLUMNS if c not in footer.schema_arrow.names]
-    if missing:
+    try:
+        frame = spark.read.parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        raise ValueError(f"not a Parquet file: {path}") from error
+    if missing := [c for c in REQUIRED_COLUMNS if c not in frame.columns]:
         raise ValueError(f"columns missing: {', '.join(missing)}")
-    if not footer.metadata.num_rows:
+    if not (rows := frame.count()):
         raise ValueError("the file has no rows")
-    return footer.metadata.num_rows
+    return rows
 
 
-def fetch_snapshot(month: str, url: str, folder: str, fetch: Callable[[str], Response]) -> Snapshot | None:
+def fetch_snapshot(spark: SparkSession, month: str, url: str, folder: str, fetch: Callable[[str], Response], *, wait: Callable[[float], None] = time.sleep) -> Snapshot | None:
     """Lands a month's file below its checksum; None where it is not there yet."""
-    response = fetched(fetch, url)
+    response = fetched(fetch, url, wait=wait)
     if response is None:
         return None
-    rows = parquet_rows(response.content)
-    digest, size = checksum([response.content])
-    path = f"{folder}/source_month={month}/snapshot={digest}/data.parquet"
-    land(response.content, path, digest)
-    return Snapshot(month, digest, path, digest, rows, size, url)
+    files, tally = Files(spark), Tally()
+    staged = files.stage(f"{folder}/staging/source_month={month}/data.parquet", tally.through(response.chunks))
+    try:
+        if response.length not in (None, tally.size):
+            raise OSError(f"{url}: {tally.size} of {response.length} bytes")
+        visible = f"{folder}/staging/source_month={month}/checked-{tally.checksum}.parquet"  # readers pass over hidden files
+        if files.exists(visible):
+            files.delete(visible)  # left by a run that broke off
+        files.settle(staged, visible)
+        staged = visible
+        rows = parquet_rows(spark, staged)
+    except BaseException:
+        files.delete(staged)
+        raise
+    path = f"{folder}/landed/source_month={month}/snapshot={tally.checksum}/data.parquet"
+    _settled(files, staged, path, tally.checksum)
+    return Snapshot(month, tally.checksum, path, tally.checksum, rows, tally.size, url)
+
+
+def is_landed(uri: str) -> bool:
+    """Whether a place tells the checksum of what is there."""
+    return bool(_LANDED.search(uri))
 
 
 def landed_snapshot(month: str, uri: str) -> Snapshot:
@@ -146,6 +199,11 @@ def discover_latest(candidates: Iterable[str], status_of: Callable[[str], int])
     return None
 
 
+def resumed(snapshots: Iterable[Mapping], uris: Mapping[str, str]) -> dict[str, Snapshot]:
+    """Snapshots that an earlier attempt of a run has landed from the very URIs that are asked for, by month."""
+    return {s["source_month"][:7]: Snapshot(**(dict(s) | {"source_month": s["source_month"][:7]})) for s in snapshots if uris.get(s["source_month"][:7]) in (s["source_url"], s["uri"])}
+
+
 def plan_landing(expected: list[str], found: dict[str, Snapshot | None], published: dict[str, str], dirty: set[str], backfill: bool = False) -> dict:
     """Which snapshots a run processes.
 

@@ -11,10 +11,10 @@ from pyspark.sql.types import StructType
 RESCUED = "_rescued_data"
 
 
-def read_rescued(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+def read_rescued(spark: SparkSession, paths: list[str], schema: StructType, file: str | None = None) -> DataFrame:
     """The files under one schema, with RESCUED: columns that are not declared and values that cannot be cast.
 
-    Only footers are read to learn the schemas; files with the same one are one scan.
+    file: a column to add, with the path of the file that a row is from.  Only footers are read to learn the schemas; files with the same one are one scan.
     """
     alike: dict[str, list[str]] = defaultdict(list)
     kinds: dict[str, StructType] = {}
@@ -22,16 +22,16 @@ def read_rescued(spark: SparkSession, paths: list[str], schema: StructType) -> D
         found = spark.read.parquet(path).schema
         alike[found.json()].append(path)
         kinds[found.json()] = found
-    frames = [_fitted(spark.read.schema(kinds[k]).parquet(*files), schema) for k, files in sorted(alike.items())]
+    frames = [_fitted(spark.read.schema(kinds[k]).parquet(*files), schema, file) for k, files in sorted(alike.items())]
     if not frames:
-        return spark.createDataFrame([], schema).withColumn(RESCUED, F.lit(None).cast("string"))
+        return spark.createDataFrame([], schema).withColumns({name: F.lit(None).cast("string") for name in (RESCUED, file) if name})
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
     return out
 
 
-def _fitted(df: DataFrame, schema: StructType) -> DataFrame:
+def _fitted(df: DataFrame, schema: StructType, file: str | None) -> DataFrame:
     declared, native = {f.name: f.dataType for f in schema}, {f.name: f.dataType for f in df.schema}
     columns, rescued = [], []
     for name, kind in declared.items():
@@ -45,7 +45,6 @@ def _fitted(df: DataFrame, schema: StructType) -> DataFrame:
             columns.append(F.when(~lost, fitted).alias(name))
             rescued.append(F.when(lost, F.col(name)).alias(name))
     rescued += [F.col(name) for name in native if name not in declared]
-    if not rescued:
-        return df.select(*columns, F.lit(None).cast("string").alias(RESCUED))
-    found = F.to_json(F.struct(*rescued))
-    return df.select(*columns, F.when(found != "{}", found).alias(RESCUED))
+    found = F.to_json(F.struct(*rescued)) if rescued else F.lit(None).cast("string")
+    origin = [F.col("_metadata.file_path").alias(file)] if file else []
+    return df.select(*columns, F.when(found != "{}", found).alias(RESCUED), *origin)
