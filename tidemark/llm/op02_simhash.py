@@ -354,55 +354,87 @@ def _whole_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
 
 def _shared_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (key, node, size, place), sorted by key, whose key another row has too."""
+    """The rows (key, node, size, place), sorted by key, whose key another row has too; n: how many have it."""
     for columns in _whole_keys(batches):
         same = columns[0][1:] == columns[0][:-1]
         rows = np.flatnonzero(np.append(same, False) | np.concatenate(([False], same)))
-        yield pa.RecordBatch.from_arrays([pa.array(c[rows]) for c in columns], names=["key", "node", "size", "place"])
+        starts = np.flatnonzero(np.concatenate(([True], ~same)))
+        counts = np.diff(np.append(starts, len(columns[0])))
+        yield pa.RecordBatch.from_arrays([*(pa.array(c[rows]) for c in columns), pa.array(np.repeat(counts, counts)[rows].astype(np.int32))], names=["key", "node", "size", "place", "n"])
 
 
-def _prefix_pairs(similarity: float, whole: bool):
-    """Pairs of rows (key, size, node, place, component), sorted by key and size, of different components, that can be as
-    similar as that by their sizes and by what stands behind a first common shingle.
+def _can(similarity: float, size, place, component, i, j):
+    """Which rows i and j, of one key, can be as similar as that by their sizes and by what stands behind a first common shingle."""
+    left = np.minimum(size[i] - place[i], size[j] - place[j])
+    needs = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
+    return (component[i] != component[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= needs)
 
-    Not whole: only each row with the first of its key and with its neighbour, which connects most of a large group."""
 
-    def can(size, place, component, i, j):
-        left = np.minimum(size[i] - place[i], size[j] - place[j])
-        needs = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
-        return (component[i] != component[j]) & (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & (left >= needs)
+def _told(node: np.ndarray, i, j) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["a", "b"])
+
+
+def _neighbours(similarity: float):
+    """Of rows (key, size, node, place, component), sorted by key and size: each with the first of its key and with its
+    neighbour, which connects most of a large group."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(i, j):
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], names=["a", "b"])
+        for key, size, node, place, component in _whole_keys(batches):
+            size, place, i = size.astype(np.int64), place.astype(np.int64), np.arange(len(key))
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            first = np.repeat(starts, np.diff(np.append(starts, len(key))))
+            for j in (first, np.maximum(first, i - 1)):
+                ok = _can(similarity, size, place, component, i, j)
+                yield _told(node, i[ok], j[ok])
+
+    return run
+
+
+def _pairs_of_few(similarity: float):
+    """All pairs of rows (key, size, node, place, component), sorted by key and size, of keys with up to SMALL rows."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, size, node, place, component in _whole_keys(batches):
             size, place = size.astype(np.int64), place.astype(np.int64)
-            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            counts = np.diff(np.append(starts, len(key)))
-            first, small = np.repeat(starts, counts), np.repeat(counts <= SMALL, counts)
-            if not whole:
-                i = np.arange(len(key))
-                for j in (first, np.maximum(first, i - 1)):
-                    ok = can(size, place, component, i, j)
-                    yield told(i[ok], j[ok])
-                continue
             for step in range(1, min(SMALL, len(key))):
-                i = np.flatnonzero(small[:-step] & (key[:-step] == key[step:]))
-                i = i[can(size, place, component, i, i + step)]
-                yield told(i, i + step)
-            for s, n in zip(starts[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
-                if (component[s : s + n] == component[s]).all():
-                    continue
-                for i in range(s, s + n - 1):
-                    j = np.arange(i + 1, s + np.searchsorted(size[s : s + n], size[i] / similarity + 1e-6, "right"))
-                    j = j[can(size, place, component, np.full(len(j), i), j)]
+                i = np.flatnonzero(key[:-step] == key[step:])
+                i = i[_can(similarity, size, place, component, i, i + step)]
+                yield _told(node, i, i + step)
+
+    return run
+
+
+def _pairs_of_many(similarity: float):
+    """All pairs that sketches let through, of rows (cell, size, node, place, component, block, crossed, sketch), sorted by cell
+    and size.  In a cell that is crossed, rows of one block are no pairs: they meet in a cell of their own."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, size, node, place, component, block, crossed, sketches in _whole_keys(batches):
+            counts = np.frombuffer(b"".join(sketches.tolist()), np.uint8).reshape(-1, 256)
+            size, place, full = size.astype(np.int64), place.astype(np.int64), (counts == 255).any(axis=1)
+            ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell))
+            for s, e in zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+                for i in range(s, e - 1):
+                    j = np.arange(i + 1, s + np.searchsorted(size[s:e], size[i] / similarity + 1e-6, "right"))
+                    j = j[_can(similarity, size, place, component, np.full(len(j), i), j) & ~(crossed[j] & (block[j] == block[i]))]
+                    needs = similarity / (1 + similarity) * (size[i] + size[j]) - 1e-6
+                    j = j[full[i] | full[j] | (np.minimum(counts[j], counts[i]).sum(axis=1, dtype=np.int64) >= needs)] if len(j) else j
                     if len(j):
-                        yield told(np.full(len(j), i), j)
+                        yield _told(node, np.full(len(j), i), j)
 
     return run
 
 
+def _cells(rows: DataFrame, most: int) -> DataFrame:
+    """Rows (key, n, node, ...) with the cells in which they meet others of their key: a key of more than ``most`` rows is dealt
+    into blocks, and each two blocks, or one with itself, meet in a cell of their own."""
+    blocks = F.ceil(F.col("n") / most).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    return met.withColumn("cell", cell).withColumn("crossed", F.col("block") != F.col("other")).drop("blocks", "other")
+
+
 def _shingle_sets(words_a_shingle: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -414,14 +446,14 @@ def _shingle_sets(words_a_shingle: int):
     return run
 
 
-def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: int = 5, width: int = 2, max_distance: int = 24) -> DataFrame:
+def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: int = 5, width: int = 2, max_distance: int = 24, block_rows: int = 4096) -> DataFrame:
     """(doc_id, component_id) for every doc_id of docs (doc_id, text): documents whose sets of shingles have at least that
     Jaccard similarity are linked.
 
     Texts with the same words in the same order are one class.  A first round takes candidates from fingerprints of the
     distinct words.  Then come pairs that share a shingle of their prefixes and are not connected by then: first neighbours,
-    which connect most of what is left of a large group, and last all of them.  Each candidate pair is decided by the
-    shingles of both texts.
+    which connect most of what is left of a large group, and last all of them, in cells of ``block_rows`` rows at most.  Each
+    candidate pair is decided by the shingles of both texts.
     """
     ship(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
@@ -433,7 +465,7 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: in
     copies = keep(named.filter("not names_one").select("doc_id"), "copies")
     own = without(prints.select("doc_id", "prefix", "size"), F.col("doc_id"), copies)
     places = own.select(F.col("doc_id").alias("node"), "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
-    shared = keep(places.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long, size int, place int"), "shared")
+    shared = keep(places.repartition("key").sortWithinPartitions("key").mapInArrow(_shared_keys, "key long, node long, size int, place int, n int"), "shared")
 
     def alike(pairs: DataFrame) -> DataFrame:
         spark = pairs.sparkSession
@@ -453,9 +485,25 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, words_a_shingle: in
         return found
 
     found = alike(links(classes, Ring.of(width, 5, max_distance), spare=True))
-    for whole in (False, True):
-        apart = shared.join(components(found), "node", "left").select("key", "size", "node", "place", F.coalesce("component", "node").alias("component"))
-        pairs = apart.repartition("key").sortWithinPartitions("key", "size", "node").mapInArrow(_prefix_pairs(similarity, whole), "a long, b long")
-        found = found.union(alike(pairs.distinct()))
+    pair = "a long, b long"
+
+    def apart() -> DataFrame:
+        """The rows of shared keys that have rows of several components by now."""
+        rows = shared.join(components(found), "node", "left").select("key", "size", "node", "place", F.coalesce("component", "node").alias("component"), "n")
+        several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+        return keep(rows.join(several, "key", "left_semi"), "apart")
+
+    def met(rows: DataFrame, key: str, pairs) -> DataFrame:
+        return rows.repartition(key).sortWithinPartitions(key, "size", "node").mapInArrow(pairs, pair)
+
+    columns = ("size", "node", "place", "component")
+    found = found.union(alike(met(apart().select("key", *columns), "key", _neighbours(similarity)).distinct()))
+    rows = apart()
+    few = met(rows.filter(F.col("n") <= SMALL).select("key", *columns), "key", _pairs_of_few(similarity))
+    crowd = rows.filter(F.col("n") > SMALL)
+    seen = keep(crowd.select(F.col("node").alias("doc_id")).distinct(), "crowd")
+    sketched = crowd.join(among(prints.select("doc_id", "sketch"), F.col("doc_id"), seen).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "sketch"), "node")
+    many = met(_cells(sketched, block_rows).select("cell", *columns, "block", "crossed", "sketch"), "cell", _pairs_of_many(similarity))
+    found = found.union(alike(few.union(many).distinct()))
     linked = classes.join(components(found), "node", "left").select("sequence", F.coalesce("component", "node").alias("component_id"))
     return prints.select("doc_id", "sequence").join(linked, "sequence").select("doc_id", "component_id")
