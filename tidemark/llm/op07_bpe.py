@@ -49,7 +49,7 @@ BETWEEN, WHOLE = b"\xff", b"\xfe"
 #: Rows of the distinct-word table that are given at a time.
 ROWS = 20_000
 _WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-BLOCKS = "block long, docs array<struct<doc_id: long, n: long>>, places binary, words array<binary>"
+BLOCKS = "block long, docs array<struct<doc_id: long, n: long>>, places binary, ranks binary, words array<binary>"
 ENCODED = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
@@ -105,6 +105,14 @@ def _id_kind(path: str) -> str:
     return "<u2" if quiet(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
 
 
+#: What the type of an element takes off an id, so that short ones hold all of 65,536.
+BASE = {"short": 1 << 15, "int": 0}
+
+
+def _element(path: str) -> str:
+    return "short" if _id_kind(path) == "<u2" else "int"
+
+
 def _blocks(path: str, block_chars: int, parts: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, number = _Splitter(path), TaskContext.get().partitionId() << 31
@@ -122,9 +130,13 @@ def _blocks(path: str, block_chars: int, parts: int):
             rank[order] = np.arange(len(words), dtype=np.uint32)
             cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
             lists = [_packed(words[i] for i in order[a:b].tolist()) if b > a else None for a, b in zip(cuts, cuts[1:], strict=False)]
-            at = rank[np.concatenate([np.zeros(0, np.uint32), *places])]
-            columns = [[number], [docs], [_planes(at)], [lists]]
-            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _BLOCK_TYPES, strict=True)], names=["block", "docs", "places", "words"])
+            # documents name words by how often the block has them, which makes most numbers small
+            at = np.concatenate([np.zeros(0, np.uint32), *places])
+            often = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
+            frequency = np.empty(len(words), np.uint32)
+            frequency[often] = np.arange(len(words), dtype=np.uint32)
+            columns = [[number], [docs], [_planes(frequency[at])], [_planes(rank[often])], [lists]]
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _BLOCK_TYPES, strict=True)], names=["block", "docs", "places", "ranks", "words"])
             number, chars = number + 1, 0
             seen.clear()
             docs.clear()
@@ -149,7 +161,7 @@ def _blocks(path: str, block_chars: int, parts: int):
     return run
 
 
-_BLOCK_TYPES = [pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())])), pa.binary(), pa.list_(pa.binary())]
+_BLOCK_TYPES = [pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("n", pa.int64())])), pa.binary(), pa.binary(), pa.list_(pa.binary())]
 
 
 def encoder(path: str) -> Callable[[bytes], list[int]]:
@@ -167,24 +179,24 @@ def encoder(path: str) -> Callable[[bytes], list[int]]:
 
 
 def _distinct_words(path: str):
-    """Reads lists (part, words); gives (part, word, ids) for each word of this task's parts once."""
+    """Reads lists (block, part, words); gives (part, word, ids) for each word of this task's parts once, ids less BASE."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen = encoder(path), set()
+        encode, seen, kind = encoder(path), set(), _element(path)
+        base = BASE[kind]
         for batch in batches:
-            for part, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                listed = _unpacked(words.as_py())
-                fresh = [word for word in listed if word not in seen]
+            for part, words in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                fresh = sorted({*_unpacked(words.as_py())} - seen)  # neighbours have much in common, which compresses
                 seen.update(fresh)
                 for at in range(0, len(fresh), ROWS):
                     some = fresh[at : at + ROWS]
-                    columns = [pa.array([part] * len(some), pa.int32()), pa.array(some, pa.binary()), pa.array(map(encode, some), pa.list_(pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["part", "word", "ids"])
+                    ids = pa.array(([i - base for i in encode(word)] for word in some), pa.list_({"short": pa.int16(), "int": pa.int32()}[kind]))
+                    yield pa.RecordBatch.from_arrays([pa.array([part] * len(some), pa.int32()), pa.array(some, pa.binary()), ids], names=["part", "word", "ids"])
 
     return run
 
 
-def _answered(kind: str):
+def _answered(kind: str, base: int):
     """The lists of a part (block, words) as ids: how many words, how many ids each has, and the ids, compressed; and the
     places in the list of words that decode to something else, with that."""
 
@@ -192,7 +204,7 @@ def _answered(kind: str):
         row = {word: k for k, word in enumerate(table.column("word").to_pylist())}
         ids = table.column("ids").combine_chunks()
         ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
-        starts, flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy().astype(kind)
+        starts, flat = ids.offsets.to_numpy().astype(np.int64), (ids.values.to_numpy().astype(np.int64) + base).astype(kind)
         lengths, others = np.diff(starts), table.column("other").to_pylist()
         differing = {k for k, other in enumerate(others) if other is not None}
         out, odd = [], []
@@ -212,8 +224,8 @@ def _answered(kind: str):
 def _documents(kind: str, digests: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, places, words, answers in zip(*(batch.column(i) for i in range(4)), strict=True):
-                at = _from_planes(places.as_py())
+            for docs, places, ranks, words, answers in zip(*(batch.column(i) for i in range(5)), strict=True):
+                at = _from_planes(ranks.as_py())[_from_planes(places.as_py())]
                 lengths, ids, pieces = [np.zeros(0, np.int64)], [np.zeros(0, "<u4")], []
                 for x in answers.as_py() or ():
                     raw, first = zstandard.decompress(x["ids"]), len(pieces)
@@ -260,16 +272,16 @@ def vocabulary(path: str) -> pa.Table:
     return pa.table({"id": pa.array(pieces, pa.int32()), "piece": pa.array(pieces.values(), pa.binary())})
 
 
-def decoded(table: DataFrame, pieces: DataFrame) -> DataFrame:
+def decoded(table: DataFrame, pieces: DataFrame, base: int) -> DataFrame:
     """(part, word, ids, other) of a table (part, word, ids): other is what the ids decode to, null where that is the word."""
-    spelt = table.select("part", "word", "ids", F.posexplode("ids").alias("at", "id")).join(F.broadcast(pieces), "id", "left")
+    spelt = table.select("part", "word", "ids", F.posexplode("ids").alias("at", "less")).withColumn("id", F.col("less").cast("int") + base).join(F.broadcast(pieces), "id", "left")
     gathered = spelt.groupBy("part", "word").agg(F.first("ids").alias("ids"), F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
     text = F.aggregate("pieces", F.unhex(F.lit("")), lambda whole, x: F.concat(whole, F.coalesce(x["piece"], F.unhex(F.lit("")))))
     own = F.when(F.hex(F.substring("word", 1, 1)) == WHOLE.hex().upper(), F.expr("substring(word, 2)")).otherwise(F.col("word"))
     return gathered.withColumn("text", text).select("part", "word", "ids", F.when(F.col("text") != own, F.col("text")).alias("other"))
 
 
-def round_trip(docs: DataFrame, path: str, *, block_chars: int = 32_000_000, digests: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, *, block_chars: int = 24_000_000, digests: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of docs (doc_id, text): ids are little-endian unsigned 32-bit integers.
 
     digests: ids and decoded are their SHA-256 in lowercase hex instead, made where the values are.
@@ -281,13 +293,15 @@ def round_trip(docs: DataFrame, path: str, *, block_chars: int = 32_000_000, dig
     made = source.mapInArrow(_blocks(path, block_chars, parts), BLOCKS)
     made.write.bucketBy(parts, "block").option("path", where).option("compression", "none").saveAsTable(name)
     blocks = spark.table(name)
+    # one shuffle for both that read the lists: they ask for the same columns
     lists = blocks.select("block", F.posexplode("words").alias("part", "words")).filter("words is not null").repartition(parts, "part")
-    table = lists.select("part", "words").mapInArrow(_distinct_words(path), "part int, word binary, ids array<int>").repartition(parts, "part")
-    known = decoded(table, spark.createDataFrame(vocabulary(path)))
-    answers = lists.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answered(kind), "block long, part int, ids binary, other array<struct<at: int, decoded: binary>>")
+    base = BASE[_element(path)]
+    table = lists.mapInArrow(_distinct_words(path), f"part int, word binary, ids array<{_element(path)}>").repartition(parts, "part")
+    known = decoded(table, spark.createDataFrame(vocabulary(path)), base)
+    answers = lists.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answered(kind, base), "block long, part int, ids binary, other array<struct<at: int, decoded: binary>>")
     gathered = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "ids", "other"))).alias("answers"))
     kinds = ENCODED.replace("ids binary", "ids string") if digests else ENCODED
-    result = blocks.select("block", "docs", "places", "words").join(gathered, "block", "left").select("docs", "places", "words", "answers").mapInArrow(_documents(kind, digests), kinds)
+    result = blocks.select("block", "docs", "places", "ranks", "words").join(gathered, "block", "left").select("docs", "places", "ranks", "words", "answers").mapInArrow(_documents(kind, digests), kinds)
     out, _ = keep_once(result, "encoded")
     spark.sql(f"DROP TABLE {name}")
     discard(spark, where)

@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
