@@ -157,7 +157,22 @@ def test_near_copies(spark, odd, empty):
     assert op02_simhash.near_copies(empty).count() == 0
 
 
-def test_near_copies_of_one_template(spark):
+def test_crowds_in_cells(spark):
+    """A key of many rows is dealt into cells, in which each pair of them meets once."""
+    rows = spark.range(300).select(F.lit(7).cast("long").alias("key"), F.lit(300).alias("n"), F.col("id").alias("node"))
+    for most in (1000, 100, 70):
+        met = Counter()
+        cells = defaultdict(list)
+        for r in op02_simhash._cells(rows, most).collect():
+            cells[r["cell"]].append(r)
+        for own in cells.values():
+            met.update((a["node"], b["node"]) for a in own for b in own if a["node"] < b["node"] and not (b["crossed"] and a["block"] == b["block"]))
+            assert len(own) <= 2.6 * most
+        assert len(met) == 300 * 299 // 2 and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("block_rows", [4096, 500])
+def test_near_copies_of_one_template(spark, block_rows):
     """Revisions of pages that all have the template in common are found, though the pages are no copies of each other."""
     draw = np.random.default_rng(5)
     template = [f"t{k}" for k in range(180)]
@@ -166,7 +181,7 @@ def test_near_copies_of_one_template(spark):
     revised = {i: [*page[:150], *(f"r{i}x{k}" for k in range(6)), *page[150:]] for i, page in enumerate(pages) if i % 20 == 0}
     rows_ = [(i, " ".join(p)) for i, p in enumerate(pages)] + [(10_000 + i, " ".join(p)) for i, p in revised.items()]
     frame = spark.createDataFrame([rows_[k] for k in draw.permutation(len(rows_))], "doc_id long, text string")
-    found = dict(map(tuple, op02_simhash.near_copies(frame).collect()))
+    found = dict(map(tuple, op02_simhash.near_copies(frame, block_rows=block_rows).collect()))
     assert found == {i: i % 10_000 for i, _ in rows_}
 
 
@@ -350,6 +365,46 @@ def test_licenses(spark, odd, empty):
     assert op06_licenses.scan(odd).count() == 0 and op06_licenses.scan(empty).count() == 0 and op06_licenses.scan(odd, []).count() == 0
 
 
+def brute_licenses(rows_, templates):
+    """Every window of every text against every template, on sets of shingles."""
+    import regex
+
+    def words_of(text):
+        return [w for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w]
+
+    def shingles(words):
+        return [" ".join(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    best = {}
+    for doc_id, text in rows_:
+        words = words_of(text)
+        own = shingles(words)
+        for name, notice in templates:
+            wanted = set(shingles(words_of(notice)))
+            size = len(wanted)
+            pace = max(1, size // 4)
+            for start in range(0, len(own), pace):
+                begin = max(0, start - pace // 2)
+                share = len(wanted & set(own[begin : start + size + pace // 2])) / size
+                if share >= 0.8 and (-share, begin) < best.get((doc_id, name), (0, 0)):
+                    best[doc_id, name] = (-share, begin)
+    return sorted(((i, name, -lacks, begin) for (i, name), (lacks, begin) in best.items()), key=repr)
+
+
+def test_licenses_of_odd_rows(spark):
+    """Null and repeated ids, ties, a very long text of many notices, and whole licences with changed words."""
+    draw = np.random.default_rng(6)
+    notices = [t for t in op06_licenses.TEMPLATES if len(t[1].split()) >= 6]
+    long_text = " ".join(f"{' '.join(f'w{x}' for x in draw.integers(0, 900, 40))} {notices[k % len(notices)][1]}" for k in range(400))
+    mit = dict((len(n), n) for name, n in notices if name == "MIT")
+    whole = max(mit.items())[1].split()
+    changed = [w if k not in (40, 100) else "other" for k, w in enumerate(whole)]
+    one = notices[0][1]
+    rows_ = [(None, f"x {one}"), (1, f"a b {one} c {one}"), (1, f"a b {one} c {one}"), (2, long_text), (3, " ".join(changed)), (4, " ".join(["before"] * 7 + whole[:60])), (None, None), (5, "")]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string").withColumns({"hits": F.lit("x"), "size": F.lit(2), "key": F.lit(3)})
+    assert rows(op06_licenses.scan(frame, notices)) == brute_licenses(rows_, notices)
+
+
 def test_short_license_templates(spark):
     templates = [("rights", "All rights reserved."), ("MIT", "Released under the MIT License."), ("CC0", "CC0")]
     texts_ = [(1, "x y. ALL RIGHTS  reserved! z"), (2, "all rights"), (3, "All rights reserved"), (4, "all x rights reserved"), (5, None), (6, "cc0, released under the MIT license"), (7, "all all rights reserved, all rights reserved")]
@@ -391,13 +446,14 @@ def test_words_encode_as_the_library_does(text):
 def test_a_word_of_many_blocks_is_encoded_once(spark, monkeypatch):
     """The table has each word once, and what a word decodes to comes from the join with the vocabulary."""
     words = [b" the", b"the", b" don't", op07_bpe.WHOLE + " größe".encode(), b"<|endoftext|>"]
-    lists = [(0, op07_bpe._packed(words[:3])), (0, op07_bpe._packed(words[1:])), (0, op07_bpe._packed(words))]
-    table = spark.createDataFrame(lists, "part int, words binary").coalesce(1).mapInArrow(op07_bpe._distinct_words(BYTES), "part int, word binary, ids array<int>")
+    lists = [(k, 0, op07_bpe._packed(some)) for k, some in enumerate((words[:3], words[1:], words))]
+    table = spark.createDataFrame(lists, "block long, part int, words binary").coalesce(1).mapInArrow(op07_bpe._distinct_words(BYTES), "part int, word binary, ids array<short>")
+    base = op07_bpe.BASE["short"]
     assert sorted(bytes(r["word"]) for r in table.collect()) == sorted(words)
     pieces = spark.createDataFrame(op07_bpe.vocabulary(BYTES))
-    assert all(r["other"] is None for r in op07_bpe.decoded(table, pieces).collect())
+    assert all(r["other"] is None for r in op07_bpe.decoded(table, pieces, base).collect())
     changed = pieces.withColumn("piece", F.when(F.col("piece") == F.encode(F.lit(" the"), "UTF-8"), F.encode(F.lit("X"), "UTF-8")).otherwise(F.col("piece")))
-    assert {bytes(r["word"]): r["other"] and bytes(r["other"]) for r in op07_bpe.decoded(table, changed).collect()} == {w: b"X" if w == b" the" else None for w in words}
+    assert {bytes(r["word"]): r["other"] and bytes(r["other"]) for r in op07_bpe.decoded(table, changed, base).collect()} == {w: b"X" if w == b" the" else None for w in words}
 
 
 # -- 8 ----------------------------------------------------------------------------------------------------------------

@@ -8,7 +8,8 @@ a word's bytes so gives its number of pieces, without building one.
 Pieces at the start of a word begin with a space in the vocabulary; all others continue a word.  Words are what stands
 between ASCII white space.  A word that cannot be matched to its end counts as one unknown token.
 
-Each Python worker builds the automaton once and remembers the counts of at most ``REMEMBERED`` words.
+Each Python worker builds the automaton once and remembers the counts of words that take at most ``REMEMBERED`` bytes; a word
+longer than ``LONG`` is counted each time it comes.
 
 Cases: a null or empty text has no words and no tokens.  Null doc_ids and repeated rows are kept; an empty table gives no
 rows; other columns are ignored, whatever their names.
@@ -28,7 +29,8 @@ from tidemark.llm.scratch import ship
 
 ROOT, NOWHERE = 0, -1
 UNKNOWN = -1
-REMEMBERED = 500_000
+#: Bytes; a word takes OVERHEAD besides its own.
+REMEMBERED, LONG, OVERHEAD = 64_000_000, 1000, 100
 _made: dict[str, PieceCounts] = {}
 
 
@@ -98,12 +100,16 @@ class PieceCounts(dict):
 
     def __init__(self, automaton: Automaton):
         super().__init__()
-        self.automaton = automaton
+        self.automaton, self.held = automaton, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        n = self[word] = self.automaton.count(b" " + word)
+        n = self.automaton.count(b" " + word)
+        if len(word) <= LONG:
+            if self.held > REMEMBERED:
+                self.clear()
+                self.held = 0
+            self[word] = n
+            self.held += OVERHEAD + len(word)
         return n
 
 

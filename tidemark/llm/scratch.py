@@ -106,7 +106,7 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 _shipped: set[str] = set()
-BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def ship(spark: SparkSession) -> SparkSession:
