@@ -112,9 +112,9 @@ def test_simhash(table, empty):
     assert op02_simhash.near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("max_distance", [0, 1, 2, 4, 6])
-def test_links_are_complete(spark, max_distance):
-    """Random fingerprints around a few centres, so that buckets are small and large."""
+@pytest.mark.parametrize(("max_distance", "bucket_rows"), [(0, 20_000), (1, 20_000), (2, 20_000), (4, 20_000), (6, 20_000), (4, 30), (2, 7)])
+def test_links_are_complete(spark, max_distance, bucket_rows):
+    """Random fingerprints around a few centres, so that buckets are small, large, and dealt into blocks."""
     draw = np.random.default_rng(max_distance)
     centres = draw.integers(0, 2**63, 6, dtype=np.uint64)
     values = {int(c) for c in centres}
@@ -124,7 +124,7 @@ def test_links_are_complete(spark, max_distance):
     values = sorted(values)
     frame = spark.createDataFrame([(k, v - 2**64 if v >> 63 else v) for k, v in enumerate(values)], "node long, fp0 long")
     ring = op02_simhash.Ring.of(1, max(3, max_distance + 1), max_distance)
-    edges = [tuple(r) for r in op02_simhash.links(frame, ring).collect()]
+    edges = [tuple(r) for r in op02_simhash.links(frame, ring, bucket_rows=bucket_rows).collect()]
     assert all((values[a] ^ values[b]).bit_count() <= max_distance for a, b in edges)
     want = [(a, b) for a in range(len(values)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= max_distance]
     assert classes(range(len(values)), edges) == classes(range(len(values)), want)

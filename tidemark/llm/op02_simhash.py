@@ -17,7 +17,8 @@ one order of all shingles, rare ones first, two sets that are similar enough sha
 share one and are not connected by then are decided by the exact similarity.
 
 Only distinct fingerprints take part, and a bucket gives edges that connect what it links, not all of its pairs; copies
-therefore cost nothing and a large group of near copies costs about its size.  No bucket is capped.
+therefore cost nothing and a large group of near copies costs about its size.  No bucket is capped: one of very many rows is
+dealt into blocks, and each block of its homes meets each block of its rows in a task of its own.
 
 Cases: a null or empty text has no feature and the fingerprint zero; it is linked like any other (near_copies: to those with
 the same words).  Repeated rows and ties keep one row each.  A row without doc_id links nothing; it gets the component of its
@@ -35,11 +36,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components
-from tidemark.llm.scratch import among, discard, keep, keep_once, ship, without
+from tidemark.llm.scratch import among, discard, keep, keep_once, likely, ship, without
 
 BITS = 64
 #: In a bucket's key, the place on the ring stands above so many bits; no two segments have more.
@@ -238,11 +239,56 @@ def _edges(ring: Ring, spare: bool):
     return run
 
 
-def links(classes: DataFrame, ring: Ring, *, spare: bool = False) -> DataFrame:
+def _home_keys(ring: Ring):
+    """The keys at home in which each fingerprint stands, one for each segment."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _keys(ring)(batches):
+            yield batch.select(["key"]).filter(batch.column(1))
+
+    return run
+
+
+def crowded(names: DataFrame, ring: Ring, bucket_rows: int) -> DataFrame:
+    """(crowd, blocks): the keys with many rows, and into how many blocks these are to be dealt.
+
+    A key's rows are those at home there and those at home in keys with one bit more, so the counts of homes tell of both.
+    """
+    homes = names.mapInArrow(_home_keys(ring), "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > bucket_rows)
+    m = len(ring.parts)
+    bits = F.element_at(F.array(*[F.lit(ring.parts[(i + 1) % m][2]) for i in range(m)]), (F.shiftright("key", RING_BITS) + 1).cast("int"))
+    lacking = F.transform(F.sequence(F.lit(0), bits - 1), lambda k: F.when(F.expr("1L").bitwiseAND(F.call_function("shiftright", F.col("key"), k)) == 1, F.col("key").bitwiseXOR(F.call_function("shiftleft", F.expr("1L"), k))))
+    reached = homes.select("n", F.explode(F.concat(F.array("key"), F.array_compact(lacking))).alias("crowd"))
+    return keep(reached.groupBy("crowd").agg(F.ceil(F.sum("n") / bucket_rows).cast("int").alias("blocks")), "crowded")
+
+
+def _dealt(rows: DataFrame, crowds: DataFrame) -> DataFrame:
+    """Rows (key, home, node, ...) of crowded keys, dealt into cells in place of keys: in a cell, the homes of one block meet all
+    rows of another, or of the same.  A cell's number keeps the segment of its key."""
+    met = rows.join(crowds, F.col("key") == F.col("crowd")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+    def cell(home: Column, other: Column) -> Column:
+        mixed = F.call_function("shiftrightunsigned", F.xxhash64("key", home, other), F.lit(64 - RING_BITS))
+        return F.call_function("shiftleft", F.shiftright("key", RING_BITS), F.lit(RING_BITS)).bitwiseOR(mixed)
+
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    looked_at = met.withColumn("at", every).withColumns({"cell": cell(F.col("at"), F.col("block")), "home": F.col("home") & (F.col("at") == F.col("block"))})
+    looking = met.filter("home").withColumn("at", every).filter("at <> block").withColumn("cell", cell(F.col("block"), F.col("at")))
+    columns = [F.col("cell").alias("key") if c == "key" else F.col(c) for c in rows.columns]
+    return looked_at.select(*columns).union(looking.select(*columns))
+
+
+def links(classes: DataFrame, ring: Ring, *, spare: bool = False, bucket_rows: int = 20_000) -> DataFrame:
     """Edges (a, b) between the classes (node, fp0, ...) of distinct fingerprints."""
     names = _columns(ring.width)
     kinds = ", ".join(["key long", "home boolean", "node long", *(f"{c} long" for c in names)])
-    keys = classes.select("node", *names).mapInArrow(_keys(ring), kinds)
+    prints = classes.select("node", *names)
+    keys, crowds = prints.mapInArrow(_keys(ring), kinds), crowded(prints, ring, bucket_rows)
+    if not crowds.isEmpty():
+        marked = likely(keys, F.col("key"), crowds.select("crowd"), "crowded")
+        doubtful = marked.filter("crowded").drop("crowded")
+        alone = marked.filter("not crowded").drop("crowded").union(doubtful.join(crowds, F.col("key") == F.col("crowd"), "left_anti"))
+        keys = alone.union(_dealt(doubtful, crowds))
     return keys.repartition("key").sortWithinPartitions("key", F.desc("home"), "node").mapInArrow(_edges(ring, spare), "a long, b long").distinct()
 
 

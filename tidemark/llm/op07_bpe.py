@@ -84,7 +84,7 @@ class _Splitter:
 
 def _packed(words: Iterable[bytes]) -> bytes:
     """Words as one compressed value."""
-    return zstandard.compress(BETWEEN.join(words), 3)
+    return zstandard.compress(BETWEEN.join(words), 9)
 
 
 def _unpacked(value: bytes) -> list[bytes]:
@@ -125,7 +125,8 @@ def _blocks(path: str, block_chars: int, parts: int):
             nonlocal number, chars
             words = [w if isinstance(w, bytes) else w.encode() for w in seen]
             part = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % parts
-            order = np.argsort(part, kind="stable")
+            spelt = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)  # neighbours compress each other
+            order = spelt[np.argsort(part[spelt], kind="stable")]
             rank = np.empty(len(words), np.uint32)
             rank[order] = np.arange(len(words), dtype=np.uint32)
             cuts = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
@@ -274,8 +275,8 @@ def vocabulary(path: str) -> pa.Table:
 
 def decoded(table: DataFrame, pieces: DataFrame, base: int) -> DataFrame:
     """(part, word, ids, other) of a table (part, word, ids): other is what the ids decode to, null where that is the word."""
-    spelt = table.select("part", "word", "ids", F.posexplode("ids").alias("at", "less")).withColumn("id", F.col("less").cast("int") + base).join(F.broadcast(pieces), "id", "left")
-    gathered = spelt.groupBy("part", "word").agg(F.first("ids").alias("ids"), F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
+    named = table.select("part", "word", "ids", F.posexplode("ids").alias("at", "less")).withColumn("id", F.col("less").cast("int") + base).join(F.broadcast(pieces), "id", "left")
+    gathered = named.groupBy("part", "word").agg(F.first("ids").alias("ids"), F.sort_array(F.collect_list(F.struct("at", "piece"))).alias("pieces"))
     text = F.aggregate("pieces", F.unhex(F.lit("")), lambda whole, x: F.concat(whole, F.coalesce(x["piece"], F.unhex(F.lit("")))))
     own = F.when(F.hex(F.substring("word", 1, 1)) == WHOLE.hex().upper(), F.expr("substring(word, 2)")).otherwise(F.col("word"))
     return gathered.withColumn("text", text).select("part", "word", "ids", F.when(F.col("text") != own, F.col("text")).alias("other"))
