@@ -199,6 +199,21 @@ def test_near_copies_cut_or_extended(spark):
     assert len(near) > 500 and {i for i in range(0, 1200, 2) if found[i + 1] == i} == near
 
 
+def test_near_copies_of_documents(spark):
+    """All pairs of a table of documents, by their sets of shingles."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ids, sets, owners = [], [], defaultdict(list)
+    for i, t in texts(table):
+        ids.append(i)
+        sets.append(shingle_set(t))
+        for s in sets[-1] or {""}:
+            owners[s].append(len(ids) - 1)
+    met = {(a, b) for own in owners.values() if len(own) > 1 for a in own for b in own if a < b}
+    near = [(ids[a], ids[b]) for a, b in met if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) > 30
+    assert dict(map(tuple, op02_simhash.near_copies(table).collect())) == classes(ids, near)
+
+
 def test_components(spark):
     draw = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in draw.integers(0, 300, (200, 2))] + [(1000 + k, 1001 + k) for k in range(40)] + [(5000, k) for k in range(5001, 5100)]
@@ -560,6 +575,16 @@ def test_media(spark):
     assert by_id[2]["shift"] == 0 and by_id[2]["error"] == pytest.approx(np.bitwise_count(a ^ b).sum() / 32 / len(a), abs=0.01)
 
 
+def test_media_of_long_recordings_and_ties(spark):
+    """An excerpt of a long recording is found where it was cut out; of two places that fit alike, the nearer one counts."""
+    long_one, verse = tune(11, 40), tune(12, 1)
+    twice = np.concatenate([verse, tune(13, 1)[:8008], verse])  # sevenths of a hop apart
+    recordings = [(0, pcm(long_one)), (1, pcm(long_one[200_000:212_000])), (2, pcm(twice)), (3, pcm(verse))]
+    found = {r["id"]: r for r in op09_media.align(spark.createDataFrame(recordings, "id long, audio binary"), F.col("id"), F.col("audio")).collect()}
+    assert found[1]["group_id"] == 0 and abs(found[1]["shift"] + 200_000) <= 4 and found[1]["best_error"] < 0.1
+    assert found[3]["group_id"] == 2 and found[3]["hub_id"] == 2 and found[3]["shift"] == 0
+
+
 def test_media_on_odd_rows(odd, empty):
     audio = F.encode("text", "UTF-8")
     found = op09_media.align(odd, F.col("doc_id"), audio).collect()

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.conftest import texts
@@ -39,7 +40,12 @@ def test_stages_on_odd_rows(spark, odd, empty):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             now = scratch.keep(stage(spark, now, DATA), "stage")
             assert now.columns == frame.columns
-        corpus_pipeline.STAGES[-1][1](spark, now, DATA).count()
+        tokenizer, want = Tokenizer.from_file(corpus_pipeline.WORD_VOCABULARY), []
+        for i, t in texts(now):
+            n = len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+            want += [(i, k, start, min(2048, n - start)) for k, start in enumerate(range(0, n, 2048))]
+        packed = corpus_pipeline.STAGES[-1][1](spark, now, DATA).collect()
+        assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"]) for r in packed), key=repr) == sorted(want, key=repr)
     stayed = corpus_pipeline.near_duplicates(spark, odd, DATA)
     assert sorted(r["doc_id"] for r in stayed.filter(F.col("doc_id").isNotNull()).collect()) == [-5, 1, 4, 8, 9, 10, 11, 12, 13]
     assert stayed.filter("doc_id is null").count() == 2
@@ -81,3 +87,21 @@ def test_a_full_bit_map_loses_nothing(spark, monkeypatch):
     keys = scratch.keep(spark.range(0, 200_000, 2).select(F.col("id").alias("k")), "keys")
     assert scratch.likely(frame, F.col("id"), keys, "maybe").filter("maybe and id % 2 = 0").count() == 100_000
     assert scratch.without(frame, F.col("id"), keys).agg(F.sum("id")).first()[0] == sum(range(1, 200_000, 2))
+
+
+def test_vocabularies_are_sent_to_the_executors(spark, tmp_path):
+    """A task opens the copy that came with it, and the driver its own."""
+    import pyarrow as pa
+
+    mine = tmp_path / "sent.txt"
+    mine.write_text("pieces")
+    for _ in range(2):
+        scratch.ship_file(spark, str(mine))
+
+    def seen(batches):
+        for _ in batches:
+            with open(place := scratch.here(str(mine))) as file:
+                yield pa.RecordBatch.from_arrays([pa.array([place]), pa.array([file.read()])], names=["place", "text"])
+
+    (found,) = spark.range(1).coalesce(1).mapInArrow(seen, "place string, text string").collect()
+    assert found["place"] != str(mine) == scratch.here(str(mine)) and found["text"] == "pieces"

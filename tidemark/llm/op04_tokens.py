@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import ship
+from tidemark.llm.scratch import here, ship, ship_file
 
 ROOT, NOWHERE = 0, -1
 UNKNOWN = -1
@@ -36,7 +36,7 @@ _made: dict[str, PieceCounts] = {}
 
 def vocabulary(path: str) -> list[bytes]:
     """The pieces of a file of ranks: a piece in base64 and its rank on each line."""
-    with open(path, "rb") as lines:
+    with open(here(path), "rb") as lines:
         return [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
 
 
@@ -133,6 +133,6 @@ def _counted(path: str):
 
 def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """(doc_id, n_words, n_tokens, n_unknown) for docs (doc_id, text)."""
-    ship(docs.sparkSession)
+    ship_file(ship(docs.sparkSession), vocabulary_path)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(_counted(vocabulary_path), "doc_id long, n_words long, n_tokens long, n_unknown long")

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import keep_once, discard, place, ship
+from tidemark.llm.scratch import discard, keep_once, place, ship, ship_file
 from tidemark.llm.word_tokens import LETTERS, ODD, lettered, quiet
 
 #: Fixed value: the pattern of the byte-level vocabulary.
@@ -288,6 +288,7 @@ def round_trip(docs: DataFrame, path: str, *, block_chars: int = 24_000_000, dig
     digests: ids and decoded are their SHA-256 in lowercase hex instead, made where the values are.
     """
     spark = ship(docs.sparkSession)
+    ship_file(spark, path)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     name, where = f"tidemark_blocks_{uuid.uuid4().hex}", place(spark, "blocks")
     parts, kind = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), _id_kind(path)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import keep, ship
+from tidemark.llm.scratch import keep, ship, ship_file
 from tidemark.llm.word_tokens import WordTokenizer
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, at long, fill long"
@@ -135,7 +135,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, *, slack: i
 
     slack: a bin with at most so many free places is nearly full.  fan_in: groups that a round merges into one.
     """
-    ship(docs.sparkSession)
+    ship_file(ship(docs.sparkSession), tokenizer_path)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = keep(source.mapInArrow(_pieces(tokenizer_path, capacity, block_pieces), PIECES), "pieces")
     moved = merged(pieces, capacity, slack=slack, fan_in=fan_in, block_pieces=block_pieces)

@@ -7,11 +7,13 @@ Every intermediate that is read more than once is written as Parquet below the f
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,3 +129,21 @@ def ship(spark: SparkSession) -> SparkSession:
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
     return spark
+
+
+_sent: set[tuple[str, str]] = set()
+
+
+def ship_file(spark: SparkSession, path: str) -> None:
+    """Sends a file of the driver to the executors, once a session: their machines need not have it at that path."""
+    if (mark := (spark.sparkContext.applicationId, path)) not in _sent:
+        spark.sparkContext.addFile(path)
+        _sent.add(mark)
+
+
+def here(path: str) -> str:
+    """Where a file that was sent is on this machine: in a task the copy that Spark has brought, else the path itself."""
+    if TaskContext.get() is None:
+        return path
+    copy = os.path.join(SparkFiles.getRootDirectory(), os.path.basename(path))
+    return copy if os.path.exists(copy) else path

@@ -12,6 +12,8 @@ import struct
 import regex
 from tokenizers import Tokenizer
 
+from tidemark.llm.scratch import here
+
 #: Outside this, lower(), split() and NFC are left to the library.
 ODD = re.compile(r"[^\t-\r -~\u0085 -įı-ňŊ-ž]|<\|")
 #: Fixed value: the word pattern of the lower-cased word vocabulary.
@@ -46,7 +48,7 @@ def packed_ids(ids: list[int]) -> bytes:
 
 def quiet(path: str) -> Tokenizer:
     """The library's tokenizer, without truncation and padding."""
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = Tokenizer.from_file(here(path))
     tokenizer.no_truncation()
     tokenizer.no_padding()
     return tokenizer
