@@ -46,6 +46,8 @@ from tidemark.llm.word_tokens import LETTERS, ODD, lettered, quiet
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: In a list of words: the byte between words, and the one before a piece that the library split off.  UTF-8 has neither.
 BETWEEN, WHOLE = b"\xff", b"\xfe"
+#: How hard what goes to disk is compressed.
+LEVEL = 9
 #: Rows of the distinct-word table that are given at a time.
 ROWS = 20_000
 _WORD = re.compile(r" ?\S+|\s+(?!\S)|\s+")
@@ -84,7 +86,7 @@ class _Splitter:
 
 def _packed(words: Iterable[bytes]) -> bytes:
     """Words as one compressed value."""
-    return zstandard.compress(BETWEEN.join(words), 9)
+    return zstandard.compress(BETWEEN.join(words), LEVEL)
 
 
 def _unpacked(value: bytes) -> list[bytes]:
@@ -93,7 +95,7 @@ def _unpacked(value: bytes) -> list[bytes]:
 
 def _planes(numbers: np.ndarray) -> bytes:
     """Numbers as planes of bytes, the lowest first, compressed; the high planes are nearly nothing."""
-    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), LEVEL)
 
 
 def _from_planes(value: bytes) -> np.ndarray:
@@ -214,7 +216,7 @@ def _answered(kind: str, base: int):
             n = lengths[rows]
             back = np.cumsum(n) - n
             chosen = flat[np.repeat(starts[rows] - back, n) + np.arange(int(n.sum()))]
-            out.append(zstandard.compress(np.uint32(len(rows)).tobytes() + n.astype("<u4").tobytes() + chosen.tobytes(), 3))
+            out.append(zstandard.compress(np.uint32(len(rows)).tobytes() + n.astype("<u4").tobytes() + chosen.tobytes(), LEVEL))
             odd.append([{"at": at, "decoded": others[k]} for at, k in enumerate(rows.tolist()) if k in differing] if differing else [])
         kinds = pa.list_(pa.struct([("at", pa.int32()), ("decoded", pa.binary())]))
         return pa.table({"block": lists.column("block"), "part": lists.column("part"), "ids": pa.array(out, pa.binary()), "other": pa.array(odd, kinds)})
