@@ -10,10 +10,14 @@ import public_tokenizers
 
 from tidemark.llm import op01_sharding, op02_simhash, op03_exact, op04_tokens, op05_quality, op06_licenses, op07_bpe, op08_packing, op09_media
 from tidemark.llm import op10_lines as line_dedup
+from tidemark.llm import op11_minhash as minhash
+from tidemark.llm import op12_alignment as alignment
+from tidemark.llm import op13_spelling as spelling
 
 BYTE_VOCABULARY, WORD_VOCABULARY = (public_tokenizers.path(f"{name}.json") for name in ("byte_bpe_50k", "word_bpe_49k"))
 
 PIECE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,11 +72,29 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words_a_shingle=5, similarity=0.85)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op9_media, op10_lines, pipeline)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sharding, op2_simhash, op3_exact, op4_tokens, op5_quality, op6_licenses, op7_bpe, op8_packing, op9_media, op10_lines, op11_minhash, op12_alignment, op13_spelling,
+        pipeline,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -100,3 +122,25 @@ FROM acted
 """
 
 ORACLE_SQL["op6_licenses"] = op06_licenses.reference_sql()
+
+#: Sets and their intersections, not signatures; what is reachable is found by ever smaller ids along links.
+ORACLE_SQL["op11_minhash"] = """
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' '))) END AS own
+    FROM worded
+),
+classes AS (SELECT own, min(doc_id) AS node FROM (SELECT doc_id, list_sort(own) AS own FROM sets WHERE len(own) > 0) GROUP BY own),
+told AS (SELECT node, len(own) AS n, unnest(own) AS shingle FROM classes),
+met AS (SELECT x.node AS a, y.node AS b, x.n AS n_a, y.n AS n_b, count(*) AS common FROM told x JOIN told y ON x.shingle = y.shingle AND x.node < y.node GROUP BY ALL),
+links AS (SELECT a, b FROM met WHERE 100 * common >= 85 * (n_a + n_b - common)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (SELECT node, node FROM classes UNION SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+named AS (SELECT list_sort(own) AS own, doc_id FROM sets)
+SELECT named.doc_id, len(named.own) AS n_shingles, coalesce(component_id, named.doc_id) AS component_id, named.doc_id = coalesce(component_id, named.doc_id) AS kept
+FROM named LEFT JOIN classes ON named.own = classes.own LEFT JOIN least USING (node)
+"""
