@@ -25,6 +25,8 @@ WHOLE, NONE = "", "__HIVE_DEFAULT_PARTITION__"
 #: Attempts of a writer that others overtake.
 ATTEMPTS = 10
 _BY = "__partition"
+#: The column of changes(): whether a row came or went.
+CHANGE = "__change"
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -120,18 +122,18 @@ class Table:
         written = self._written(frame)
         return self._commit(frame.schema, lambda old: {k: old.get(k, []) + written.get(k, []) for k in {*old, *written}}, stream)
 
-    def replace_partitions(self, frame: DataFrame, values: Sequence, base: int | None = None) -> int:
+    def replace_partitions(self, frame: DataFrame, values: Sequence, base: int | None = None, stream: tuple[str, int] | None = None) -> int:
         """The partitions of these values become the frame, be it empty; a row of another partition is an error.
 
-        base: the version whose other partitions stay, in place of the newest; 0 for none.
+        base: the version whose other partitions stay, in place of the newest; 0 for none.  stream: as for append().
         """
         if self.partition is None:
             raise ValueError("the table has no partitions")
-        texts = [str(v) for v in values]
-        if not frame.filter(~F.coalesce(F.col(self.partition).cast("string").isin(*texts), F.lit(False))).isEmpty():
+        texts = [NONE if v is None else str(v) for v in values]
+        if not frame.filter(~F.coalesce(F.col(self.partition).cast("string"), F.lit(NONE)).isin(*texts)).isEmpty():
             raise ValueError(f"rows outside {self.partition} = {', '.join(texts)}")
         written = self._written(frame)
-        return self._commit(frame.schema, lambda old: {k: v for k, v in old.items() if k not in texts} | written, base=base)
+        return self._commit(frame.schema, lambda old: {k: v for k, v in old.items() if k not in texts} | written, stream, base)
 
     def replace_partition(self, frame: DataFrame, value) -> int:
         return self.replace_partitions(frame, [value])
@@ -169,6 +171,40 @@ class Table:
         """Rewrites the table in ranges of the columns, so that the statistics of its row groups skip much."""
         return self.overwrite(self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns))
 
+    def rewrite(self, how: Callable[[DataFrame], DataFrame], values: Iterable | None = None) -> int | None:
+        """The same rows in other files: the table, or its partitions of some values, as ``how`` lays them out.
+
+        Only partitions that are there are rewritten; None where there are none.  A writer that comes in between wins, and the
+        layout is made anew from what it has left.
+        """
+        wanted = None if values is None else {NONE if v is None else str(v) for v in values}
+        for _ in range(ATTEMPTS):
+            if (now := self.version()) is None:
+                return None
+            old = {k: v for k, v in now.folders.items() if wanted is None or k in wanted}
+            if not old:
+                return None
+            schema = StructType.fromJson(json.loads(now.schema))
+            written = self._written(how(self.spark.read.schema(schema).parquet(*(f for own in old.values() for f in own))))
+            if self._next(now, schema, {k: v for k, v in now.folders.items() if k not in old} | written):
+                return now.number + 1
+        raise Taken(f"{self.path}: overtaken {ATTEMPTS} times")
+
+    def changes(self, old: int, new: int) -> DataFrame:
+        """What changed between two versions (0: before the first): the rows of folders that came, with CHANGE 1, and of those that
+        went, with CHANGE -1.  Folders that both have are not read.  A row that only moved to another file is there twice, with
+        either sign, so sums over CHANGE times a value are right."""
+        before, after = (({f for own in v.folders.values() for f in own} if (v := self.version(n)) else set()) for n in (old, new))
+        now = self.version(new)
+        if now is None:
+            raise FileNotFoundError(f"{self.path}, version {new}")
+        schema = StructType.fromJson(json.loads(now.schema))
+        out = self.spark.createDataFrame([], schema).withColumn(CHANGE, F.lit(1))
+        for folders, sign in ((after - before, 1), (before - after, -1)):
+            if folders:
+                out = out.union(self.spark.read.schema(schema).parquet(*sorted(folders)).withColumn(CHANGE, F.lit(sign)))
+        return out
+
     def vacuum(self, versions: int = 10) -> list[str]:
         """Deletes folders that none of the newest versions names, among them those of writes that broke off.  No write may be
         under way."""

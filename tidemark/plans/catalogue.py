@@ -782,3 +782,7 @@ def export_manifest(spark, sf_dir):
     found = spark.read.parquet(*places).select(uri.alias("place")).groupBy("place").agg(F.count("*").alias("n_rows"))
     told = spark.createDataFrame([(u[u.index("/v1/") :], *named) for u, named in places.items()], "place string, mart string, month string")
     return found.join(told, "place").select("mart", "month", "n_rows")
+
+
+# queries of a module of their own, which takes query() from here
+from tidemark.plans import catalogue_upkeep  # noqa: E402, F401
