@@ -55,7 +55,7 @@ def test_fetch(spark, tmp_path):
     content = parquet()
     whole = lambda: landing.Response(200, len(content), iter([content[:100], content[100:]]))
     waits, answers = [], iter([landing.Response(503, None), landing.Response(429, None), whole()])
-    assert landing.fetched(lambda url: next(answers), "u", wait=waits.append).status == 200 and waits == [1.0, 2.0]
+    assert landing.fetched(lambda url: next(answers), "u", lambda r: r.status, wait=waits.append) == 200 and waits == [1.0, 2.0]
 
     def snapshot(response):
         return landing.fetch_snapshot(spark, "2024-01", "u", str(tmp_path), lambda url: response, wait=waits.append)

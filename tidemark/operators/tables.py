@@ -130,9 +130,9 @@ class Table:
         if self.partition is None:
             raise ValueError("the table has no partitions")
         texts = [NONE if v is None else str(v) for v in values]
-        if not frame.filter(~F.coalesce(F.col(self.partition).cast("string"), F.lit(NONE)).isin(*texts)).isEmpty():
-            raise ValueError(f"rows outside {self.partition} = {', '.join(texts)}")
         written = self._written(frame)
+        if {*written} - {*texts}:  # told by the folders that were written, so by no pass of its own
+            raise ValueError(f"rows outside {self.partition} = {', '.join(texts)}")
         return self._commit(frame.schema, lambda old: {k: v for k, v in old.items() if k not in texts} | written, stream, base)
 
     def replace_partition(self, frame: DataFrame, value) -> int:
@@ -205,13 +205,14 @@ class Table:
                 out = out.union(self.spark.read.schema(schema).parquet(*sorted(folders)).withColumn(CHANGE, F.lit(sign)))
         return out
 
-    def vacuum(self, versions: int = 10) -> list[str]:
-        """Deletes folders that none of the newest versions names, among them those of writes that broke off.  No write may be
-        under way."""
+    def vacuum(self, versions: int = 10, hours: float = 0) -> list[str]:
+        """Deletes folders that none of the newest versions names, among them those of writes that broke off.
+
+        hours: only folders that are so old, longer than any write takes; with 0 no write may be under way."""
         files, now = self._files, self.version()
         kept = [v for n in range(max(1, now.number - versions + 1), now.number + 1) if (v := self.version(n))] if now else []
         named = {f[len(self.path) + len("/data/") :].split("/")[0] for v in kept for own in v.folders.values() for f in own}
-        gone = [name for name in files.names(f"{self.path}/data") if name not in named]
+        gone = [name for name in files.names(f"{self.path}/data") if name not in named and (not hours or files.age(f"{self.path}/data/{name}") >= 3600 * hours)]
         for name in gone:
             files.delete(f"{self.path}/data/{name}")
         return gone

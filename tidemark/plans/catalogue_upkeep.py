@@ -1,4 +1,4 @@
-"""More named queries: layouts, incremental rollups, sketches, skew, content digests.  The module catalogue registers them."""
+"""More named queries: layouts, incremental rollups, sketches, skew, content digests, event time.  The module catalogue registers them."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from tidemark.operators import clustering, digests, quantiles, skew
 from tidemark.operators.rollup import Rollup
 from tidemark.operators.tables import Table, work_folder
 from tidemark.plans.catalogue import _MONEY, _read, query
+from tidemark.streaming import events as stream
 
 # -- layouts ----------------------------------------------------------------------------------------------------------
 
@@ -161,3 +162,70 @@ def digest_months(spark, sf_dir):
     orders = _read(spark, sf_dir, "orders").withColumn("pickup_month", F.trunc("o_orderdate", "month"))
     copy = orders.filter("o_orderkey % 211 <> 0").withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.col("o_orderkey") % 211 == 1, 1).otherwise(0))
     return digests.unequal(digests.digests(orders, ["pickup_month"]), digests.digests(copy, ["pickup_month"]), ["pickup_month"])
+
+
+# -- event time -------------------------------------------------------------------------------------------------------
+
+_DAY_OF = "CAST(ts AS DATE)"
+
+
+def _delivered(spark: SparkSession, sf_dir: str, parts: list[str], folder: str, columns: list[str], late: bool = False) -> DataFrame:
+    """Events as a stream: a file for each condition, in that order, one file at a time."""
+    events = _read(spark, sf_dir, "events").select(*columns)
+    for condition in parts:
+        rows = events.filter(condition)
+        if late and condition == parts[-1]:  # of the first day, under other names, weeks later
+            rows = rows.unionByName(events.filter(f"{_DAY_OF} = DATE '2024-01-01'").withColumn("event_id", F.col("event_id") + 1_000_000_000_000))
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+_WEEKS = [f"{_DAY_OF} < DATE '2024-01-10'", f"{_DAY_OF} >= DATE '2024-01-10' AND {_DAY_OF} < DATE '2024-01-20'", f"{_DAY_OF} >= DATE '2024-01-20'"]
+
+
+@query("""
+WITH marked AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS starts FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM marked),
+whole AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS total FROM numbered GROUP BY user_id, session)
+SELECT * FROM whole WHERE session_end <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 2 DAY
+""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of users, as a stream of three files tells them: those whose end the watermark has passed."""
+    folder = work_folder(spark)
+    rows = _delivered(spark, sf_dir, _WEEKS, f"{folder}/raw", ["event_id", "ts", "user_id", "value"])
+    found = stream.sessions(rows, ["user_id"], "ts", "6 hours", "2 days", {"n": F.count("*"), "total": F.sum(F.col("value").cast(_MONEY)).cast("decimal(20,2)")})
+    stream.run_to_end(found, f"{folder}/out", f"{folder}/checkpoint")
+    told = spark.read.schema(found.schema).parquet(f"{folder}/out")
+    return told.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
+_AGAIN = [_WEEKS[0], _WEEKS[1].replace("01-10", "01-09", 1), _WEEKS[2].replace("01-20", "01-19", 1)]
+
+
+@query(f"""
+SELECT 'kept' AS kind, event_type, count(*) AS n FROM events GROUP BY 2 UNION ALL
+SELECT 'late', NULL, count(*) FROM events WHERE {_DAY_OF} = DATE '2024-01-01'
+""")
+def stream_once(spark, sf_dir):
+    """Each file but the first repeats the last day of the one before; the last one also has rows that are weeks late."""
+    folder = work_folder(spark)
+    rows = _delivered(spark, sf_dir, _AGAIN, f"{folder}/raw", ["event_id", "ts", "event_type"], late=True)
+    late = stream.run_to_end(stream.once(rows, ["event_id"], "ts", "2 days"), f"{folder}/out", f"{folder}/checkpoint")
+    kept = spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count("*").alias("n")).select(F.lit("kept").alias("kind"), "event_type", "n")
+    return kept.unionByName(spark.createDataFrame([("late", None, late)], kept.schema))
+
+
+@query("""
+SELECT v.user_id, v.event_id AS view_id, p.event_id AS purchase_id, v.ts AS first_at, p.ts AS then_at FROM events v JOIN events p ON v.user_id = p.user_id
+WHERE v.event_type = 'view' AND p.event_type = 'purchase' AND p.ts >= v.ts AND p.ts <= v.ts + INTERVAL 24 HOUR
+""")
+def stream_followed(spark, sf_dir):
+    """Purchases within a day of a view by the same user, joined as two streams."""
+    folder, columns = work_folder(spark), ["event_id", "ts", "user_id", "event_type"]
+    rows = _delivered(spark, sf_dir, _WEEKS, f"{folder}/raw", columns)
+    views = rows.filter("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("first_at"))
+    bought = rows.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("then_at"))
+    found = stream.followed(views, bought, ["user_id"], "24 HOURS", "2 days")
+    stream.run_to_end(found, f"{folder}/out", f"{folder}/checkpoint")
+    told = spark.read.schema(found.schema).parquet(f"{folder}/out")
+    return told.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_at", "then_at")})

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.months import expected_months
 from tidemark.functions.trips import BRONZE_SCHEMA
 from tidemark.operators import reference, silver
+from tidemark.operators.clustering import z_ordered
+from tidemark.operators.observed import hold_stored, watched
 from tidemark.operators.tables import Table, work_folder
 from tidemark.plans import marts, monitor, publish, quality, state
 from tidemark.sources import landing
@@ -72,7 +74,7 @@ def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str],
     for month in asked:
         if month not in found:
             given = landing.is_landed(uris[month])
-            found[month] = landing.landed_snapshot(month, uris[month]) if given else landing.fetch_snapshot(lake.spark, month, uris[month], lake.raw, fetch, wait=wait)
+            found[month] = landing.landed_snapshot(month, uris[month], _version(lake, uris[month])) if given else landing.fetch_snapshot(lake.spark, month, uris[month], lake.raw, fetch, wait=wait)
             if found[month]:
                 state.write_manifest(manifest, run.run_id, [found[month].payload() | {"source_month": _month(month)}])
     plan = landing.plan_landing(asked, found, published, dirty, backfill=bool(config.get("months")))
@@ -80,6 +82,11 @@ def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str],
     return plan
 
 
+def _version(lake: Lakehouse, uri: str) -> str:
+    """The version of what lies there, a file or a folder of them; nothing where it cannot be told."""
+    return landing.version_of(lake.spark, uri) if Files(lake.spark).exists(uri) else ""
+
+
 def bronze_table(lake: Lakehouse) -> Table:
     return lake.table("bronze", "source_snapshot_id")
 
@@ -98,19 +105,29 @@ def bronze_ingest(lake: Lakehouse, payload: dict) -> dict:
 
 
 def transform_silver(lake: Lakehouse, run_id: str, payload: dict) -> dict:
-    """Replaces each snapshot's month in the clean and the quarantine table."""
+    """Replaces each snapshot's month in the clean and the quarantine table.
+
+    Counts are taken while rows are written, and what is then stored is held against them.
+    """
     lookups, metrics = silver.trip_lookups(*lake.dimensions()), []
     for snapshot in payload["snapshots"]:
         month = snapshot["source_month"]
-        batch = bronze_table(lake).read([snapshot["snapshot_id"]]).withColumns({"pipeline_run_id": F.lit(run_id), "batch_id": F.lit(f"{run_id}:{month}")})
+        tags = {"pipeline_run_id": run_id, "batch_id": f"{run_id}:{month}", "_source_object_version": snapshot.get("source_version") or None}
+        batch = bronze_table(lake).read([snapshot["snapshot_id"]]).withColumns({name: F.lit(tag).cast("string") for name, tag in tags.items()})
         checked_at = work_folder(lake.spark)
-        silver.classify(batch, lookups).write.parquet(checked_at)  # read three times
-        checked = lake.spark.read.parquet(checked_at)
-        valid, others = silver.split(checked)
-        tables = (("silver/trips_clean", silver.clean(valid)), ("silver/trips_quarantine", others.withColumn("quarantined_at", F.current_timestamp())))
-        for name, frame in tables:
-            lake.table(name, "source_month").replace_partition(frame.withColumn("source_month", F.lit(month)), month)
-        counted = silver.metrics(checked).first().asDict()
+        classified, came = watched(silver.classify(batch, lookups), rows_in=F.count(F.lit(1)), raw_rows_quarantined=F.count("reason_code"))
+        classified.write.parquet(checked_at)  # read by both that follow
+        valid, others = silver.split(lake.spark.read.schema(classified.schema).parquet(checked_at))
+        counted = came()
+        targets = (("silver/trips_clean", "rows_out", silver.clean(valid)), ("silver/trips_quarantine", "rows_quarantined", others.withColumn("quarantined_at", F.current_timestamp())))
+        for name, count, frame in targets:
+            table = lake.table(name, "source_month")
+            written, told = watched(frame.withColumn("source_month", F.lit(month)))
+            table.replace_partition(written, month)
+            counted[count] = told()["rows"]
+            hold_stored(table.read([month]), "source_snapshot_id", {snapshot["snapshot_id"]: counted[count]})
+        Files(lake.spark).delete(checked_at)
+        counted["rows_deduplicated"] = counted["rows_in"] - counted["rows_out"] - counted["rows_quarantined"]
         metrics.append({"source_snapshot_id": snapshot["snapshot_id"], "source_month": month} | counted)
     return payload | {"metrics": metrics, "months": [s["source_month"] for s in payload["snapshots"]]}
 
@@ -154,6 +171,27 @@ def check(lake: Lakehouse, run: state.RunState, payload: dict) -> dict:
     return payload
 
 
+#: Rows of a file that maintenance makes, versions of a table that stay readable, and hours after which a folder that no version
+#: names is left by a write that broke off.
+ROWS_A_FILE, VERSIONS_KEPT, ABANDONED_HOURS = 5_000_000, 10, 72
+#: What is laid out how: the partitions of the run, by the columns that readers filter on.
+LAYOUTS = {"bronze": ["tpep_pickup_datetime"], "silver/trips_clean": ["pickup_at", "pickup_location_id"]}
+
+
+def maintain(lake: Lakehouse, payload: dict, *, rows_a_file: int = ROWS_A_FILE) -> dict[str, int]:
+    """Lays out what the run has written, in files of some size in the order of a Morton curve, and deletes what no version needs;
+    gives the files of each partition.  Tables keep their rows, so marts and rollups need not follow."""
+    made = {}
+    for name, by, values in (("bronze", "source_snapshot_id", [s["snapshot_id"] for s in payload["snapshots"]]), ("silver/trips_clean", "source_month", payload["months"])):
+        table = lake.table(name, by)
+        for value in values:
+            files = max(1, -(-table.read([value]).count() // rows_a_file))
+            if table.rewrite(lambda rows, files=files, name=name: z_ordered(rows, LAYOUTS[name], files), [value]):
+                made[f"{name}/{value}"] = files
+        table.vacuum(VERSIONS_KEPT, ABANDONED_HOURS)
+    return made
+
+
 def daily(lake: Lakehouse, fetch: Callable[[str], landing.Response] | None = None, url_of: Callable[[str], str] = str, *, wait: Callable[[float], None] = time.sleep) -> dict:
     """Runs all tasks; a run that failed is taken up by running it again under the same id.
 
@@ -177,4 +215,6 @@ def daily(lake: Lakehouse, fetch: Callable[[str], landing.Response] | None = Non
     for task in state.TASKS:
         done = state.run_task(run, task, upstream, actions[task], environment=config["environment"], backfill=bool(config.get("months")), journal=journal)
         upstream = task
+    if done.get("status", "SUCCESS") == "SUCCESS" and done.get("months"):
+        maintain(lake, done)
     return done

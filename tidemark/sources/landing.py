@@ -7,7 +7,9 @@ lies, and a rename that overwrites nothing lands it.  A run that breaks off leav
 from __future__ import annotations
 
 import datetime as dt
+import email.utils
 import hashlib
+import http.client
 import re
 import time
 import urllib.error
@@ -24,6 +26,10 @@ from tidemark.sources.files import CHUNK, Files, Taken
 
 REQUIRED_COLUMNS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID"]
 RETRIES, BACKOFF, RETRY_STATUSES = 4, 1.0, (429, 500, 502, 503, 504)
+#: Breaks of a connection, be it at its start or within the content.
+TRANSIENT = (urllib.error.URLError, TimeoutError, ConnectionError, http.client.HTTPException)
+#: The longest that a source may ask to be waited for, in seconds.
+LONGEST_WAIT = 600.0
 _LANDED = re.compile(r"snapshot=([0-9a-f]{64})(?:/|$)")
 
 
@@ -86,19 +92,35 @@ def land(spark: SparkSession, chunks: Iterable[bytes], path: str, expected: str
 
 @dataclass(frozen=True)
 class Response:
-    """What a fetcher gives: HTTP status, declared length if any, content in chunks."""
+    """What a fetcher gives: HTTP status, declared length if any, content in chunks, and how long the source asks to wait."""
 
     status: int
     length: int | None
     chunks: Iterable[bytes] = ()
+    retry_after: float | None = None
 
 
-def http(url: str, timeout: float = 60) -> Response:
+def asked_wait(value: str | None, now: dt.datetime | None = None) -> float | None:
+    """The seconds that a Retry-After header tells, which is a number or a date; None where it tells nothing."""
+    if not value:
+        return None
+    try:
+        return max(0.0, float(value))
+    except ValueError:
+        pass
+    try:
+        moment = email.utils.parsedate_to_datetime(value)
+    except ValueError:
+        return None
+    return max(0.0, (moment - (now or dt.datetime.now(dt.UTC))).total_seconds())
+
+
+def by_http(url: str, timeout: float = 60) -> Response:
     """Fetches a URL; the content is read as it is asked for."""
     try:
         answer = urllib.request.urlopen(url, timeout=timeout)  # noqa: S310
     except urllib.error.HTTPError as error:
-        return Response(error.code, None)
+        return Response(error.code, None, retry_after=asked_wait(error.headers.get("Retry-After")))
     length = answer.headers.get("Content-Length")
     return Response(answer.status, int(length) if length else None, iter(lambda: answer.read(CHUNK), b""))
 
@@ -112,21 +134,36 @@ def stored(spark: SparkSession) -> Callable[[str], Response]:
 def by_scheme(spark: SparkSession) -> Callable[[str], Response]:
     """The fetcher that a URL's scheme asks for."""
     other = stored(spark)
-    return lambda url: (http if urllib.parse.urlsplit(url).scheme in ("http", "https") else other)(url)
+    return lambda url: (by_http if urllib.parse.urlsplit(url).scheme in ("http", "https") else other)(url)
+
+
+class Short(ConnectionError):
+    """The content ended before its declared length."""
 
 
-def fetched(fetch: Callable[[str], Response], url: str, *, wait: Callable[[float], None] = time.sleep) -> Response | None:
-    """The response, after retries with growing waits; None where there is nothing; other statuses raise."""
+def fetched[T](fetch: Callable[[str], Response], url: str, take: Callable[[Response], T], *, wait: Callable[[float], None] = time.sleep) -> T | None:
+    """What ``take`` makes of a response with content; None where there is nothing; other statuses raise.
+
+    Statuses that ask for it, broken connections and time-outs, also within the content, are tried again after growing waits, or
+    as long as the source asks, LONGEST_WAIT at most.  ``take`` starts anew each time.
+    """
     for attempt in range(RETRIES + 1):
-        response = fetch(url)
-        if response.status not in RETRY_STATUSES or attempt == RETRIES:
-            break
-        wait(BACKOFF * 2**attempt)
-    if response.status == 404:
-        return None
-    if response.status != 200:
-        raise OSError(f"{url}: status {response.status}")
-    return response
+        asked, failure = None, None
+        try:
+            response = fetch(url)
+            if response.status == 200:
+                return take(response)
+            if response.status == 404:
+                return None
+            asked, failure = response.retry_after, OSError(f"{url}: status {response.status}")
+            if response.status not in RETRY_STATUSES:
+                raise failure
+        except TRANSIENT as error:
+            failure = error
+        if attempt == RETRIES:
+            raise failure
+        wait(min(LONGEST_WAIT, max(BACKOFF * 2**attempt, asked or 0.0)))
+    return None
 
 
 def parquet_rows(spark: SparkSession, path: str) -> int:
@@ -144,14 +181,20 @@ def parquet_rows(spark: SparkSession, path: str) -> int:
 
 def fetch_snapshot(spark: SparkSession, month: str, url: str, folder: str, fetch: Callable[[str], Response], *, wait: Callable[[float], None] = time.sleep) -> Snapshot | None:
     """Lands a month's file below its checksum; None where it is not there yet."""
-    response = fetched(fetch, url, wait=wait)
-    if response is None:
+    files = Files(spark)
+
+    def take(response: Response) -> tuple[str, Tally]:
+        tally = Tally()
+        aside = files.stage(f"{folder}/staging/source_month={month}/data.parquet", tally.through(response.chunks))
+        if response.length not in (None, tally.size):
+            files.delete(aside)
+            raise Short(f"{url}: {tally.size} of {response.length} bytes")
+        return aside, tally
+
+    if (taken := fetched(fetch, url, take, wait=wait)) is None:
         return None
-    files, tally = Files(spark), Tally()
-    staged = files.stage(f"{folder}/staging/source_month={month}/data.parquet", tally.through(response.chunks))
+    staged, tally = taken
     try:
-        if response.length not in (None, tally.size):
-            raise OSError(f"{url}: {tally.size} of {response.length} bytes")
         visible = f"{folder}/staging/source_month={month}/checked-{tally.checksum}.parquet"  # readers pass over hidden files
         if files.exists(visible):
             files.delete(visible)  # left by a run that broke off
@@ -163,7 +206,7 @@ def fetch_snapshot(spark: SparkSession, month: str, url: str, folder: str, fetch
         raise
     path = f"{folder}/landed/source_month={month}/snapshot={tally.checksum}/data.parquet"
     _settled(files, staged, path, tally.checksum)
-    return Snapshot(month, tally.checksum, path, tally.checksum, rows, tally.size, url)
+    return Snapshot(month, tally.checksum, path, tally.checksum, rows, tally.size, url, version_of(spark, path))
 
 
 def is_landed(uri: str) -> bool:
@@ -171,12 +214,17 @@ def is_landed(uri: str) -> bool:
     return bool(_LANDED.search(uri))
 
 
-def landed_snapshot(month: str, uri: str) -> Snapshot:
+def version_of(spark: SparkSession, path: str) -> str:
+    """A text that is greater for what was landed later: when the object was made, in milliseconds."""
+    return f"{Files(spark).modified(path):020d}"
+
+
+def landed_snapshot(month: str, uri: str, version: str = "") -> Snapshot:
     """A snapshot whose place already tells its checksum; how many rows it has is not known."""
     found = _LANDED.search(uri)
     if not found:
         raise ValueError(f"no checksum in {uri}")
-    return Snapshot(month, found[1], uri, found[1], None, 0, uri)
+    return Snapshot(month, found[1], uri, found[1], None, 0, uri, version)
 
 
 def candidate_months(today: dt.date, count: int) -> list[str]:

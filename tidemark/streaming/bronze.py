@@ -34,7 +34,7 @@ def with_lineage(df: DataFrame, file: Column | None = None) -> DataFrame:
 def located(df: DataFrame) -> DataFrame:
     """Adds what the path of a row's file says."""
     path = F.col("_source_file")
-    return df.withColumns({"source_snapshot_id": snapshot_in(path), "source_month": month_in(path), "_source_object_id": F.sha2(path, 256)})
+    return df.withColumns({"source_snapshot_id": snapshot_in(path), "source_month": month_in(path), "_source_object_id": F.sha2(path, 256), "_source_object_version": snapshot_in(path)})
 
 
 def read_stream(spark: SparkSession, folder: str, schema: StructType, glob: str = "*.parquet") -> DataFrame:
