@@ -327,3 +327,16 @@ def test_near_words_meet_in_a_part(word, data):
     while any(high - low > 1 for low, high in spans):
         spans = [s for low, high in spans for s in (((low + high + (low == 0 and high == len(word)) * (len(word) % 2)) // 2, high), (low, (low + high + (low == 0 and high == len(word)) * (len(word) % 2)) // 2)) if s[0] < s[1]]
         assert any(op13_spelling.part_key(word, len(word), *s) == op13_spelling.part_key(other, len(word), *s) for s in spans)
+
+
+def test_sketches_of_any_size():
+    """Small sets are held against each other exactly, larger ones by a sample that never denies what is that similar."""
+    draw, known = random.Random(5), op11_minhash._WordHashes()
+    for n in (5, 300, 3000, 20_000):
+        words = [f"{n}w{draw.random()}" for _ in range(n)]
+        same = round(n * 0.93)
+        sets = [op11_minhash.shingle_set(" ".join(t), 1, known) for t in (words, words[:same] + [f"{x}x" for x in words[same:]], words[: n // 2] + [f"{x}y" for x in words[n // 2 :]], words)]
+        own = op11_minhash.Sketches([op11_minhash.sketch(s) for s in sets], 0.85)
+        jaccard = [len({*sets[0].tolist()} & {*s.tolist()}) / len({*sets[0].tolist()} | {*s.tolist()}) for s in sets]
+        ok = own.passes(0, np.array([1, 2, 3]))
+        assert ok[2] and (ok[0] or jaccard[1] < 0.85) and (not ok[1] or n < 20) and max(map(len, map(op11_minhash.sketch, sets))) < 4 * 2 * op11_minhash.FINE

@@ -11,9 +11,11 @@ looks only at what the one before has not connected:
 1. each class with the least class of each of its bands;
 2. with the greatest, and with one that the band's own hash chooses;
 3. all pairs of a band that are still apart.  A band of very many rows is dealt into blocks, and each two blocks meet in a task
-   of their own, where signatures decide before a pair is told.
+   of their own.  There signatures decide first and then sketches, which hold all of a set of up to ``FINE`` shingles, and a
+   sample of a larger one; only pairs that pass both are told.
 
-So a group of any size costs about its size, if it is connected; look-alikes that are not linked cost signatures compared.
+So a group of any size costs about its size, if it is connected; look-alikes that are not linked cost signatures and sketches
+compared in place, and make no rows.
 
 Bands miss a link at the similarity asked for (0.85) once in (1 - 0.85 ** 6) ** -40, less than 1e-8; more similar ones less
 often.  Signatures drop a pair that is ``DOUBT`` standard deviations under it, 1e-9.  Nothing is capped.
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,10 @@ K, BITS, ROWS, BANDS = 512, 2, 6, 40
 DOUBT = 6
 #: Rows of a band of which all pairs are told in one place; more are dealt into blocks of so many.
 BLOCK_ROWS = 4096
+#: Shingles of a sketch; of larger sets it has a half, a fourth, ... of the shingles, chosen by the lowest bits of their hashes.
+FINE = 2048
+#: By how many shingles a sketch may err: it holds 32 bits of each hash.
+SLACK = 2
 #: Words whose hashes a worker remembers.
 REMEMBERED = 300_000
 #: Fixed by this seed: the hash functions x -> a * x + b modulo 2 ** 32, and the weights of a shingle's words.
@@ -129,6 +135,46 @@ def least_equal(similarity: float) -> int:
     return math.floor(K * share - DOUBT * math.sqrt(K * share * (1 - share)))
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A byte that tells how many of the lowest bits of a hash are zero in all that are kept, and 32 bits of each of these."""
+    level = max(0, math.ceil(math.log2(max(1, len(own)) / FINE)))
+    low = np.unique((own & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    return bytes([level]) + low[(low & np.uint32((1 << level) - 1)) == 0].astype("<u4").tobytes()
+
+
+class Sketches:
+    """The sketches of some rows; passes() tells which may be as similar as that."""
+
+    def __init__(self, values: Sequence[bytes], similarity: float):
+        self.similarity = similarity
+        self.level = np.array([v[0] for v in values], np.int64)
+        n = np.array([(len(v) - 1) // 4 for v in values], np.int64)
+        numbers = np.frombuffer(b"".join([v[1:] for v in values]), "<u4")
+        kinds, self.flat = np.unique(numbers, return_inverse=True)
+        self.ends = np.cumsum(n)
+        self.starts, self.marked = self.ends - n, np.zeros(len(kinds), bool)
+        #: By level, whether a hash is kept there, and how many of each row are.
+        self.kept = {t: (kinds & np.uint32((1 << t) - 1)) == 0 for t in range(int(self.level.max(initial=0)) + 1)}
+        over = {t: np.concatenate(([0], np.cumsum(kept[self.flat]))) for t, kept in self.kept.items()}
+        self.sizes = {t: x[self.ends] - x[self.starts] for t, x in over.items()}
+
+    def passes(self, i: int, j: np.ndarray) -> np.ndarray:
+        ok, own, levels = np.zeros(len(j), bool), self.flat[self.starts[i] : self.ends[i]], np.maximum(self.level[j], self.level[i])
+        for t in np.unique(levels).tolist():
+            at = np.flatnonzero(levels == t)
+            rows = j[at]
+            self.marked[own] = self.kept[t][own]
+            n = self.ends[rows] - self.starts[rows]
+            back = np.cumsum(n) - n
+            hits = np.concatenate(([0], np.cumsum(self.marked[self.flat[np.repeat(self.starts[rows] - back, n) + np.arange(int(n.sum()))]])))
+            self.marked[own] = False
+            common = hits[back + n] - hits[back]
+            union = self.sizes[t][rows] + self.sizes[t][i] - common
+            least = self.similarity * union - (SLACK if t == 0 else DOUBT * np.sqrt(self.similarity * (1 - self.similarity) * union))
+            ok[at] = common >= least
+        return ok
+
+
 def _words_of(values: Iterable[bytes]) -> np.ndarray:
     """Signatures as rows of 64-bit words whose parts don't straddle them."""
     return np.frombuffer(b"".join(values), ">u8").astype(np.uint64).reshape(-1, K * BITS // 64)
@@ -165,6 +211,16 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _sketched(words_a_shingle: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for batch in batches:
+            found = [sketch(shingle_set(text.as_py(), words_a_shingle, known)) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "sketch"])
+
+    return run
+
+
 def _sets(words_a_shingle: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
@@ -190,18 +246,19 @@ def _allowed(similarity: float):
 
 
 def _met(similarity: float):
-    """Reads rows (cell, node, component, block, crossed, signature) sorted by cell; gives the pairs (a, b) of unlike components
-    whose signatures allow that similarity.  In a cell that is crossed, rows of one block are no pairs: they meet elsewhere."""
+    """Reads rows (cell, node, component, block, crossed, signature, sketch) sorted by cell; gives the pairs (a, b) of unlike
+    components whose signatures and sketches allow that similarity.  In a cell that is crossed, rows of one block are no pairs: they meet elsewhere."""
     least = least_equal(similarity)
 
-    def pairs(cell, node, component, block, crossed, sign) -> Iterator[pa.RecordBatch]:
-        words = _words_of(sign)
+    def pairs(cell, node, component, block, crossed, sign, told) -> Iterator[pa.RecordBatch]:
+        words, sketches = _words_of(sign), Sketches(told, similarity)
         ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell))
         for i in range(len(cell) - 1):
             end = ends[np.searchsorted(ends, i, "right")]
             j = np.arange(i + 1, end)
             j = j[(component[j] != component[i]) & ~(crossed[j] & (block[j] == block[i]))]
             j = j[equal_parts(words[j], words[i]) >= least] if len(j) else j
+            j = j[sketches.passes(i, j)] if len(j) else j
             if len(j):
                 own = np.full(len(j), node[i])
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(own, node[j])), pa.array(np.maximum(own, node[j]))], names=["a", "b"])
@@ -225,7 +282,7 @@ def _met(similarity: float):
 
 
 def _columns(table: pa.Table) -> list:
-    return [table.column(i).to_pylist() if i == 5 else table.column(i).to_numpy() for i in range(6)]
+    return [table.column(i).to_pylist() if i >= 5 else table.column(i).to_numpy() for i in range(7)]
 
 
 def in_cells(rows: DataFrame, most: int) -> DataFrame:
@@ -288,8 +345,12 @@ def near_duplicates(docs: DataFrame, *, words_a_shingle: int = 5, similarity: fl
         return towards(rows.withColumn("hub", F.col(hub)).join(label, "hub").filter("component <> of_hub"), hub)
 
     found = found.union(linked(across("most").union(across("chosen"))))
-    cells = in_cells(apart(found).select("band", "n", "node", "component").join(own.select(F.col("doc_id").alias("node"), "signature"), "node"), block_rows)
-    dealt = cells.select("cell", "node", "component", "block", "crossed", "signature").repartition("cell").sortWithinPartitions("cell", "node")
+    rows = apart(found).select("band", "n", "node", "component")
+    met = keep(rows.select(F.col("node").alias("doc_id")).distinct(), "met")
+    sketches = among(source, F.col("doc_id"), met).mapInArrow(_sketched(words_a_shingle), "node long, sketch binary")
+    told = keep(own.select(F.col("doc_id").alias("node"), "signature").join(sketches, "node").dropDuplicates(["node"]), "sketches")
+    cells = in_cells(rows.join(told, "node"), block_rows)
+    dealt = cells.select("cell", "node", "component", "block", "crossed", "signature", "sketch").repartition("cell").sortWithinPartitions("cell", "node")
     found = found.union(linked(dealt.mapInArrow(_met(similarity), "a long, b long")))
     led = classes.join(components(found), "node", "left").select("digest", F.coalesce("component", "node").alias("of_class"))
     whole = prints.select("doc_id", "n_shingles", "digest").join(led, "digest", "left").withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("of_class")))
