@@ -1,7 +1,9 @@
 """Landing, pages, rescue reads, months, configuration, monitoring, and the whole way of a snapshot."""
 
 import datetime as dt
+import http.client
 import io
+import urllib.error
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -13,7 +15,7 @@ from tidemark.functions import months
 from tidemark.operators.tables import Table
 from tidemark.plans import config, monitor
 from tidemark.sources import landing, pages, rescue
-from tidemark.sources.files import Files
+from tidemark.sources.files import Files, Taken, Unsafe
 from tidemark.streaming import bronze
 
 
@@ -100,6 +102,99 @@ def test_fetchers(spark, tmp_path):
         server.shutdown()
 
 
+class Broken:
+    """Content whose connection breaks after some chunks, some times; then it is whole."""
+
+    def __init__(self, content, breaks):
+        self.content, self.breaks, self.asked = content, breaks, 0
+
+    def __call__(self, url):
+        self.asked += 1
+        if self.asked <= len(self.breaks) and isinstance(self.breaks[self.asked - 1], BaseException):
+            raise self.breaks[self.asked - 1]
+        return landing.Response(200, len(self.content), self._chunks(self.breaks[self.asked - 1] if self.asked <= len(self.breaks) else None))
+
+    def _chunks(self, how):
+        yield self.content[:50]
+        if how == "reset":
+            raise ConnectionResetError("within the content")
+        if how == "incomplete":
+            raise http.client.IncompleteRead(b"x")
+        if how != "short":
+            yield self.content[50:]
+
+
+def test_broken_connections_are_tried_again(spark, tmp_path):
+    content, waits = parquet(), []
+    source = Broken(content, [urllib.error.URLError("no route"), TimeoutError(), "reset", "short"])
+    found = landing.fetch_snapshot(spark, "2024-01", "u", str(tmp_path), source, wait=waits.append)
+    assert found.bytes_received == len(content) and waits == [1.0, 2.0, 4.0, 8.0] and found.source_version > "0" * 20
+    for breaks in (["incomplete"] * 9, [ConnectionRefusedError()] * 9):
+        with pytest.raises((http.client.HTTPException, ConnectionError)):
+            landing.fetch_snapshot(spark, "2024-02", "u", str(tmp_path), Broken(content, breaks), wait=waits.append)
+    assert Files(spark).names(f"{tmp_path}/staging/source_month=2024-02") == []
+    with pytest.raises(KeyError):  # what is no break of a connection is not tried again
+        landing.fetched(lambda url: (_ for _ in ()).throw(KeyError()), "u", lambda r: r, wait=waits.append)
+
+
+def test_retry_after():
+    assert landing.asked_wait("12") == 12 and landing.asked_wait(None) is None and landing.asked_wait("soon") is None and landing.asked_wait("-3") == 0
+    now = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    assert landing.asked_wait("Mon, 01 Jan 2024 00:01:30 GMT", now) == 90
+    waits, answers = [], iter([landing.Response(429, None, retry_after=30.0), landing.Response(503, None, retry_after=9999.0), landing.Response(503, None), landing.Response(200, None)])
+    assert landing.fetched(lambda url: next(answers), "u", lambda r: r.status, wait=waits.append) == 200 and waits == [30.0, landing.LONGEST_WAIT, 4.0]
+
+
+def test_a_server_that_drops_connections(spark, tmp_path):
+    """By HTTP: the first answer asks to wait, the second breaks off within the content, the third is whole."""
+    import http.server
+    import threading
+
+    content, asked, waits = parquet(), [], []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(1)
+            if len(asked) == 1:
+                self.send_response(503)
+                self.send_header("Retry-After", "7")
+                self.end_headers()
+                return
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(content)))
+            self.end_headers()
+            self.wfile.write(content if len(asked) > 2 else content[:100])
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        found = landing.fetch_snapshot(spark, "2024-01", f"http://127.0.0.1:{server.server_port}/x", str(tmp_path), landing.by_scheme(spark), wait=waits.append)
+    finally:
+        server.shutdown()
+    assert found.rows_received == 1 and waits == [7.0, 2.0] and len(asked) == 3
+
+
+def test_creation_on_condition(spark, tmp_path, monkeypatch):
+    """As on an object store: no rename; and a file system that can do neither is refused."""
+    files = Files(spark)
+    monkeypatch.setattr("tidemark.sources.files.RENAMED", {"hdfs"})
+    with pytest.raises(Unsafe):
+        files.create(f"{tmp_path}/a", b"1")
+    monkeypatch.setattr("tidemark.sources.files.CONDITIONAL", {"file"})
+    files.create(f"{tmp_path}/sub/b", b"first")
+    staged = files.stage(f"{tmp_path}/sub/b", [b"second"])
+    with pytest.raises(Taken):  # the other writer was past the look whether there is one
+        files.settle(staged, f"{tmp_path}/sub/b")
+    assert files.read(f"{tmp_path}/sub/b") == b"first" and files.names(f"{tmp_path}/sub") == ["b"]
+    table = Table(spark, f"{tmp_path}/t")
+    table.append(spark.range(3))
+    table.append(spark.range(2))
+    assert table.read().count() == 5 and landing.land(spark, [b"z"], f"{tmp_path}/z") == "landed" and landing.land(spark, [b"z"], f"{tmp_path}/z") == "already_landed"
+
+
 def test_discovery_and_plan():
     candidates = landing.candidate_months(dt.date(2024, 2, 10), 3)
     assert candidates == ["2024-01", "2023-12", "2023-11"]
