@@ -339,3 +339,36 @@ def test_entry_contract(spark):
 
     assert entry.entry(spark).columns
     assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
+def test_schemas_of_many_files(spark, tmp_path, monkeypatch):
+    """Hundreds of files take a merge or two each change of types, not one each; rows are rescued as if each were read alone."""
+    declared = T.StructType([T.StructField("x", T.LongType()), T.StructField("y", T.StringType())])
+    for day, columns in enumerate([{"x": [1], "y": ["a"]}, {"x": [2]}, {"x": [3], "z": [7]}, {"x": ["4"], "y": ["b"]}, {"x": ["five"], "w": [1.5]}, {"x": [6], "z": ["q"]}]):
+        for part in range(30):
+            (tmp_path / f"d{day}").mkdir(exist_ok=True)
+            pq.write_table(pa.table(columns), tmp_path / f"d{day}/part-{part:03}.parquet")
+    paths = [str(p) for p in tmp_path.rglob("*.parquet")]
+    merges, real = [], rescue.merged_schemas
+    monkeypatch.setattr(rescue, "merged_schemas", lambda *a: merges.append(real(*a)) or merges[-1])
+    found = rescue.read_rescued(spark, paths, declared, "_file")
+    assert len(merges[0]) <= 16 and sorted(f for _, files in merges[0] for f in files) == sorted(paths)
+    got = {(r["x"], r["y"], r["_rescued_data"]): r["n"] for r in found.groupBy("x", "y", "_rescued_data").agg(F.count("*").alias("n")).collect()}
+    assert got == dict.fromkeys([(1, "a", None), (2, None, None), (3, None, '{"z":7}'), (4, "b", None), (None, None, '{"x":"five","w":1.5}'), (6, None, '{"z":"q"}')], 30)
+    assert rescue.merged_schemas(spark, []) == []
+    (tmp_path / "d0/broken.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)footer|parquet"):
+        real(spark, [*paths, str(tmp_path / "d0/broken.parquet")])
+
+
+def test_the_driver_merges_few_schemas(spark, tmp_path, monkeypatch):
+    """Of 1,000 files that all differ by a column, the driver asks for one schema."""
+    for k in range(1000):
+        pq.write_table(pa.table({"x": [k], f"extra{k % 50}": [k]}), tmp_path / f"{k:04}.parquet")
+    asked = []
+    reader = type(spark.read)
+    real = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *paths, **o: asked.append(len(paths)) or real(self, *paths, **o))
+    found = rescue.read_rescued(spark, [str(p) for p in tmp_path.iterdir()], T.StructType([T.StructField("x", T.LongType())]))
+    assert asked == [1000, 1000]
+    assert found.count() == 1000 and found.filter(F.col("_rescued_data") == F.concat(F.lit('{"extra'), F.col("x") % 50, F.lit('":'), F.col("x"), F.lit("}"))).count() == 1000
