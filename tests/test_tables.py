@@ -285,3 +285,25 @@ def test_compare_runs():
     for change in ({}, {"run_id": "b", "tasks": {}}, {"run_id": "b", "metrics": []}, {"run_id": "b", "tasks": dict.fromkeys(state.TASKS, "FAILED")}):
         with pytest.raises(ValueError):
             state.compare_runs(run, run | change)
+
+
+def test_payloads_are_variants(spark, tmp_path):
+    """Stored as VARIANT or as text, a log says the same; text that is no JSON says nothing."""
+    moment = dt.datetime(2024, 1, 1)
+    payloads = [
+        '{"snapshots":[{"source_month":"2024-01-01","snapshot_id":"a","uri":"u"},{"source_month":"2024-02-01","snapshot_id":"b"}],"error":"x \\"y\\"","cost_context":{"duration_ms":12,"environment":"dev","backfill":false}}',
+        "{}", "not json", '{"snapshots":null,"metrics":[{"rows_in":1}]}', None, '{"snapshots":[]}',
+    ]
+    text = spark.createDataFrame([(f"r{k}", "monitor", "SUCCESS", p, moment) for k, p in enumerate(payloads)], state.SCHEMA)
+    stored = Table(spark, f"{tmp_path}/log")
+    stored.append(text.withColumn("payload", F.try_parse_json("payload")))
+    for log in (text, stored.read()):
+        told = {r["pipeline_run_id"]: r.asDict() for r in state.run_metrics(log).collect()}
+        assert (told["r0"]["error"], told["r0"]["task_duration_ms"], told["r0"]["environment"], told["r0"]["is_backfill"]) == ('x "y"', "12", "dev", "false")
+        assert told["r0"]["source_snapshots"].startswith('[{"') and told["r3"]["silver_metrics"] == '[{"rows_in":1}]'
+        assert all(told[f"r{k}"]["error"] is None and told[f"r{k}"]["source_snapshots"] is None for k in (1, 2, 4))
+        assert sorted((r["pipeline_run_id"], r["source_month"], r["snapshot_id"], r["uri"]) for r in state.snapshots_of(log).collect()) == [("r0", "2024-01-01", "a", "u"), ("r0", "2024-02-01", "b", None)]
+        assert state.latest_per(log.union(log), state.SCHEMA_KEYS, "updated_at").count() == len(payloads)
+        assert {r["snapshot_id"] for r in state.published(log).collect()} == {"a", "b"}
+    plan = state.run_metrics(stored.read())._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and "parse_json" not in plan

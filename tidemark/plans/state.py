@@ -1,4 +1,8 @@
-"""Durable run state: one row for each run and task, with a JSON payload that crosses from task to task."""
+"""Durable run state: one row for each run and task, with a payload that crosses from task to task.
+
+A payload is JSON that is parsed once, when it is written, and stored as a VARIANT; what reads a field takes its typed path.
+Logs whose payload is still text are parsed once where they are read; text that is no JSON has no fields and no snapshots.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +13,12 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from tidemark.operators.tables import Table
 
 SCHEMA = "pipeline_run_id string, task_name string, status string, payload string, updated_at timestamp"
+STORED = SCHEMA.replace("payload string", "payload variant")
 SCHEMA_KEYS = ("pipeline_run_id", "task_name")
 LOG_SCHEMA = (
     "pipeline_run_id string, task_name string, batch_id string, source_snapshot_id string, rows_in bigint, rows_out bigint, "
@@ -60,18 +66,25 @@ def months_agree(payload: Mapping) -> bool:
 
 
 def latest_per(log: DataFrame, keys: Sequence[str], moment: str) -> DataFrame:
-    """The latest row of each key; later payloads win ties."""
+    """The latest row of each key; later payloads win ties, by their text."""
     rest = [c for c in log.columns if c not in keys]
-    newest = log.groupBy(*keys).agg(F.max(F.struct(moment, *(c for c in rest if c != moment))).alias("__row"))
+    kinds = {f.name: f.dataType for f in log.schema}
+    order = F.struct(moment, *(F.to_json(c).alias(c) if isinstance(kinds[c], VariantType) else F.col(c) for c in rest if c != moment))
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
     return newest.select(*keys, *(F.col(f"__row.{c}").alias(c) for c in rest))
 
 
 _SNAPSHOTS = "array<struct<source_month: string, snapshot_id: string, uri: string>>"
 
 
+def payload_of(log: DataFrame) -> Column:
+    """A log's payload as a VARIANT, be it stored as one or as text."""
+    return F.col("payload") if isinstance(log.schema["payload"].dataType, VariantType) else F.try_parse_json("payload")
+
+
 def snapshots_of(log: DataFrame) -> DataFrame:
     """Each snapshot of each row's payload."""
-    listed = F.from_json(F.get_json_object("payload", "$.snapshots"), _SNAPSHOTS)
+    listed = F.try_variant_get(payload_of(log), "$.snapshots", _SNAPSHOTS)
     return log.withColumn("__s", F.explode(listed)).select("pipeline_run_id", "task_name", "status", "updated_at", "__s.*")
 
 
@@ -124,7 +137,9 @@ def run_metrics(log: DataFrame) -> DataFrame:
         "error": "error", "source_snapshots": "snapshots", "silver_metrics": "metrics", "gold_metrics": "gold_metrics", "serving_metrics": "serving_metrics",
         "unavailable_months": "unavailable_months", "task_duration_ms": "cost_context.duration_ms", "environment": "cost_context.environment", "is_backfill": "cost_context.backfill",
     }
-    return log.select("pipeline_run_id", "task_name", "status", "updated_at", *(F.get_json_object("payload", f"$.{path}").alias(name) for name, path in paths.items())).orderBy(F.col("updated_at").desc())
+    named = log.select("pipeline_run_id", "task_name", "status", "updated_at", payload_of(log).alias("__payload"))
+    fields = [F.try_variant_get("__payload", f"$.{path}", "string").alias(name) for name, path in paths.items()]
+    return named.select("pipeline_run_id", "task_name", "status", "updated_at", *fields).orderBy(F.col("updated_at").desc())
 
 
 # -- the store and the tasks that use it ------------------------------------------------------------------------------
@@ -144,11 +159,11 @@ class RunState:
 
     def log(self) -> DataFrame:
         """The last status of each task of each run."""
-        return latest_per(self.table.read(), ["pipeline_run_id", "task_name"], "updated_at") if self.table.exists() else self.spark.createDataFrame([], SCHEMA)
+        return latest_per(self.table.read(), ["pipeline_run_id", "task_name"], "updated_at") if self.table.exists() else self.spark.createDataFrame([], STORED)
 
     def write(self, task: str, status: str, payload: Mapping) -> None:
         validate(status, payload)
-        row = self.spark.createDataFrame([(self.run_id, task, status, json.dumps(payload, sort_keys=True), dt.datetime.now(dt.UTC))], SCHEMA)
+        row = self.spark.createDataFrame([(self.run_id, task, status, json.dumps(payload, sort_keys=True), dt.datetime.now(dt.UTC))], SCHEMA).withColumn("payload", F.parse_json("payload"))
         now = self.table.version()
         if now and sum(map(len, now.folders.values())) >= self.MANY:
             self.table.upsert(self.log().unionByName(row).coalesce(1), [*SCHEMA_KEYS, "updated_at"])
@@ -157,7 +172,7 @@ class RunState:
 
     def find(self, task: str) -> dict | None:
         """The payload of a task of this run, with its status."""
-        rows = self.log().filter((F.col("pipeline_run_id") == self.run_id) & (F.col("task_name") == task)).limit(2).collect()
+        rows = self.log().filter((F.col("pipeline_run_id") == self.run_id) & (F.col("task_name") == task)).select("status", F.to_json("payload").alias("payload")).limit(2).collect()
         if len(rows) > 1:
             raise RuntimeError(f"two states of {task} in run {self.run_id}")
         return json.loads(rows[0]["payload"]) | {"status": rows[0]["status"]} if rows else None
