@@ -3,7 +3,9 @@
 import datetime as dt
 import http.client
 import io
+import json
 import urllib.error
+import urllib.parse
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import months
 from tidemark.operators.tables import Table
 from tidemark.plans import config, monitor
-from tidemark.sources import landing, pages, rescue
+from tidemark.sources import landing, paged, pages, rescue
 from tidemark.sources.files import Files, Taken, Unsafe
 from tidemark.streaming import bronze
 
@@ -372,3 +374,104 @@ def test_the_driver_merges_few_schemas(spark, tmp_path, monkeypatch):
     found = rescue.read_rescued(spark, [str(p) for p in tmp_path.iterdir()], T.StructType([T.StructField("x", T.LongType())]))
     assert asked == [1000, 1000]
     assert found.count() == 1000 and found.filter(F.col("_rescued_data") == F.concat(F.lit('{"extra'), F.col("x") % 50, F.lit('":'), F.col("x"), F.lit("}"))).count() == 1000
+
+
+class Pages:
+    """An HTTP source whose cursors are numbers in disguise; every page fails once, and some break off."""
+
+    def __init__(self, events, size, repeated=()):
+        import http.server
+        import threading
+
+        self.events, self.size, self.asked, self.there = events, size, [], len(events)
+        order = [n for n in range(-(-len(events) // size)) for _ in range(2 if n in repeated else 1)]
+        outer = self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self):
+                query = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(self.path).query, keep_blank_values=True))
+                pages = [n for n in order if n * size < outer.there]
+                if "newest" in query:
+                    return self.answer({"cursor": f"c{len(pages)}"})
+                at = int(query["cursor"][1:] or 0)
+                outer.asked.append(at)
+                if outer.asked.count(at) == 1:
+                    if at % 3 == 0:
+                        self.send_error(503)
+                        return None
+                    if at % 3 == 1:
+                        self.send_response(200)
+                        self.send_header("Content-Length", "500")
+                        self.end_headers()
+                        self.wfile.write(b'{"events": [')
+                        return None
+                if at >= len(pages):
+                    return self.answer({"snapshot_id": "s", "page": at, "events": [], "next": None})
+                found = events[pages[at] * size : min(outer.there, (pages[at] + 1) * size)]
+                return self.answer({"snapshot_id": "s", "page": pages[at], "events": found[::-1] if pages[at] % 2 else found, "next": f"c{at + 1}"})
+
+            def answer(self, document):
+                body = json.dumps(document).encode()
+                self.send_response(200)
+                self.send_header("Content-Length", str(len(body)))
+                self.end_headers()
+                self.wfile.write(body)
+
+            def log_message(self, *args):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}/events"
+
+
+def test_paged_source(spark, tmp_path):
+    """A batch, a batch by several tasks, and a stream that is stopped and started again as the source grows: the same events."""
+    events = [{"event_id": f"e{k}", "value": k} for k in range(95)]
+    source = Pages(events, 10, repeated=(2, 7))
+    try:
+        paged.register(spark)
+        read = lambda **more: spark.read.format(paged.NAME).options(url=source.url, wait="0.01", **more).load()
+        batch = read().collect()
+        assert len(batch) == 115 and sorted({r["event_id"] for r in batch}) == sorted(e["event_id"] for e in events)
+        once = lambda frame: sorted((r["event_id"], r["event"]) for r in pages.first_seen(frame, ["event_id"], "page", "position").collect())
+        want = once(read())
+        assert want == sorted((e["event_id"], json.dumps(e, sort_keys=True)) for e in events)
+        several = read(starts="c4,c9")
+        assert several.rdd.getNumPartitions() == 3 and once(several) == want
+
+        def run():
+            stream = spark.readStream.format(paged.NAME).options(url=source.url, wait="0.01").load()
+            stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+            return spark.read.parquet(f"{tmp_path}/out")
+
+        source.there = 40
+        assert run().count() == 50
+        seen = len(source.asked)
+        assert run().count() == 50 and len(source.asked) == seen  # nothing new, nothing asked for
+        source.there = 80
+        run()
+        assert min(source.asked[seen:]) >= 5  # goes on where it ended
+        source.there = 95
+        assert once(run()) == want
+        with pytest.raises(Exception, match="url"):
+            spark.read.format(paged.NAME).load().count()
+    finally:
+        source.server.shutdown()
+
+
+def test_paged_source_gives_up(spark):
+    options = {"url": "http://127.0.0.1:9/none", "retries": "1", "wait": "0.001", "timeout": "1"}
+    with pytest.raises(OSError):
+        paged.asked(options["url"], options, cursor="")
+    loop = iter([{"page": 0, "events": [{"event_id": "a"}], "next": "x"}, {"page": 1, "events": [], "next": "x"}])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(paged, "asked", lambda *a, **k: next(loop))
+        with pytest.raises(ValueError, match="leads back"):
+            list(paged.walked(options, paged.Stretch("", None)))
+        patch.setattr(paged, "asked", lambda *a, **k: {"page": 0, "events": [{"event_id": ""}], "next": None})
+        with pytest.raises(ValueError, match="no event_id"):
+            list(paged.walked(options, paged.Stretch("", None)))
+        patch.setattr(paged, "asked", lambda *a, **k: {"page": 0, "events": [], "next": None})
+        with pytest.raises(ValueError, match="no page leads"):
+            list(paged.walked(options, paged.Stretch("", "z")))
