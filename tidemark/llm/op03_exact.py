@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.scratch import keep, likely
 
 KEY_BITS = 64
+#: By how many doublings the keys are counted ahead.
+AHEAD = 6
 
 
 def prefix(key: Column, depth: Column | int) -> Column:
@@ -44,10 +46,19 @@ def directory(keys: DataFrame, capacity: int) -> tuple[DataFrame, int]:
     """
     depth = max(0, math.ceil(math.log2(max(keys.count(), 1) / capacity)))
     while True:
-        histogram = keep(keys.groupBy(prefix(F.col("h"), depth).alias("address")).agg(F.count("*").alias("n")), "histogram")
-        if depth == KEY_BITS - 1 or histogram.filter(F.col("n") > capacity).isEmpty():
+        # keys are counted some bits deeper, once; what a directory of fewer bits has is folded from that
+        deep = min(depth + AHEAD, KEY_BITS - 1)
+        counted = keep(keys.groupBy(prefix(F.col("h"), deep).alias("address")).agg(F.count("*").alias("n")), "histogram")
+        while True:
+            histogram = counted.groupBy(F.expr(f"shiftright(address, {deep - depth})").alias("address")).agg(F.sum("n").alias("n"))
+            fits = histogram.filter(F.col("n") > capacity).isEmpty()
+            if fits or depth == deep:
+                break
+            depth += 1  # doubling
+        if fits or depth == KEY_BITS - 1:
             break
-        depth += 1  # doubling
+        depth += 1
+    histogram = keep(histogram, "histogram")
     levels = histogram.select("address", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("level"))
     levels = levels.withColumn("bucket", F.expr(f"shiftleft(shiftright(address, {depth} - level), {depth} - level)"))
     sizes = levels.groupBy("level", "bucket").agg(F.sum("n").alias("size"))
