@@ -19,7 +19,7 @@ ODD = re.compile(r"[^\t-\r -~\u0085 -įı-ňŊ-ž]|<\|")
 #: Fixed value: the word pattern of the lower-cased word vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words that a worker remembers; those of the generation before are looked up once more before they are forgotten.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _made: dict[str, WordTokenizer] = {}
 
 
