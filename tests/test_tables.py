@@ -307,3 +307,11 @@ def test_payloads_are_variants(spark, tmp_path):
         assert {r["snapshot_id"] for r in state.published(log).collect()} == {"a", "b"}
     plan = state.run_metrics(stored.read())._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan and "parse_json" not in plan
+
+
+def test_a_partitioned_write_makes_few_files(spark, tmp_path):
+    """Rows of many tasks that belong to a few partitions are gathered first."""
+    table = Table(spark, f"{tmp_path}/t", "p")
+    table.overwrite(spark.range(4000).repartition(16).select("id", (F.col("id") % 5).cast("string").alias("p")))
+    files = [f for f in table.read().inputFiles() if f.endswith(".parquet")]
+    assert len(files) <= 10 and table.read().count() == 4000 and table.read(["3"]).count() == 800

@@ -113,13 +113,18 @@ class Table:
 
     # -- writes
 
+    def _gathered(self, frame: DataFrame) -> DataFrame:
+        """The frame with the rows of a partition together, in stretches of the size that Spark is told to make, so that a write
+        makes few files and no task has a whole large partition."""
+        return frame if self.partition is None else frame.withColumn(_BY, F.col(self.partition).cast("string")).hint("rebalance", _BY).drop(_BY)
+
     def overwrite(self, frame: DataFrame) -> int:
-        written = self._written(frame)
+        written = self._written(self._gathered(frame))
         return self._commit(frame.schema, lambda old: written)
 
     def append(self, frame: DataFrame, stream: tuple[str, int] | None = None) -> int:
         """Adds rows.  stream: name and number of a batch, which goes in once however often it is given."""
-        written = self._written(frame)
+        written = self._written(self._gathered(frame))
         return self._commit(frame.schema, lambda old: {k: old.get(k, []) + written.get(k, []) for k in {*old, *written}}, stream)
 
     def replace_partitions(self, frame: DataFrame, values: Sequence, base: int | None = None, stream: tuple[str, int] | None = None) -> int:
@@ -130,7 +135,7 @@ class Table:
         if self.partition is None:
             raise ValueError("the table has no partitions")
         texts = [NONE if v is None else str(v) for v in values]
-        written = self._written(frame)
+        written = self._written(self._gathered(frame))
         if {*written} - {*texts}:  # told by the folders that were written, so by no pass of its own
             raise ValueError(f"rows outside {self.partition} = {', '.join(texts)}")
         return self._commit(frame.schema, lambda old: {k: v for k, v in old.items() if k not in texts} | written, stream, base)
@@ -167,9 +172,9 @@ class Table:
                 return
         raise Taken(f"{self.path}: overtaken {ATTEMPTS} times")
 
-    def clustered(self, columns: Sequence[str], files: int) -> int:
+    def clustered(self, columns: Sequence[str], files: int) -> int | None:
         """Rewrites the table in ranges of the columns, so that the statistics of its row groups skip much."""
-        return self.overwrite(self.read().repartitionByRange(files, *columns).sortWithinPartitions(*columns))
+        return self.rewrite(lambda rows: rows.repartitionByRange(files, *columns).sortWithinPartitions(*columns))
 
     def rewrite(self, how: Callable[[DataFrame], DataFrame], values: Iterable | None = None) -> int | None:
         """The same rows in other files: the table, or its partitions of some values, as ``how`` lays them out.

@@ -409,14 +409,18 @@ def dim_zone_sentinel(spark, sf_dir):
 
 
 @query("""
-SELECT * FROM (VALUES (1, 'Standard', false), (2, 'JFK', true), (3, 'Newark', true), (4, 'Nassau or Westchester', false), (5, 'Negotiated fare', false), (6, 'Group ride', false))
-AS v(rate_code_id, rate_code_name, is_flat_fare)
+SELECT v.*, count(l_linenumber) AS n_trips, true AS stamped
+FROM (VALUES (1, 'Standard', false), (2, 'JFK', true), (3, 'Newark', true), (4, 'Nassau or Westchester', false), (5, 'Negotiated fare', false), (6, 'Group ride', false)) AS v(rate_code_id, rate_code_name, is_flat_fare)
+LEFT JOIN lineitem ON l_linenumber = rate_code_id GROUP BY ALL
 """)
 def rate_code_seed(spark, sf_dir):
+    """The seed, loaded twice, with the trips that have each code."""
     table = Table(spark, f"{work_folder(spark)}/rate_code")
     table.overwrite(reference.rate_codes(spark))
     table.overwrite(reference.stamped(table.read(), reference.load_time(2024, 1, 1)))
-    return table.read().drop("_loaded_at")
+    trips = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("rate_code_id")).agg(F.count("*").alias("n_trips"))
+    found = table.read().withColumn("stamped", F.col("_loaded_at") == reference.load_time(2024, 1, 1)).drop("_loaded_at").join(trips, "rate_code_id", "left")
+    return found.withColumn("n_trips", F.coalesce("n_trips", F.lit(0).cast("long")))
 
 
 @query("""
@@ -686,25 +690,27 @@ def freshness_status(spark, sf_dir):
     return state.freshness(_log(spark, sf_dir), F.lit("2024-02-03").cast("timestamp_ntz"))
 
 
-@query(f"""{_SNAPSHOT_DUCK}, newest AS (SELECT max(CAST(source_month AS DATE)) AS m, count(*) FILTER (source_month IN ('2024-12-01', '2025-01-01')) AS due FROM published),
+_DELIVERIES = "SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS source_month, count(*) AS rows_received FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1"
+
+
+@query(f"""{_SNAPSHOT_DUCK}, deliveries AS ({_DELIVERIES}), months AS (SELECT source_month FROM published UNION SELECT source_month FROM deliveries),
+newest AS (SELECT max(CAST(source_month AS DATE)) AS m, count(*) FILTER (source_month IN ('2024-12-01', '2025-01-01')) AS due FROM months),
 recent AS (SELECT * FROM log WHERE task_name = 'source_landing' AND status IN ('SUCCESS', 'NO_DATA') ORDER BY updated_at DESC LIMIT 20),
-streak AS (SELECT count(*) FILTER (breaks = 0) AS n FROM (SELECT sum(CASE WHEN status <> 'NO_DATA' THEN 1 ELSE 0 END) OVER (ORDER BY updated_at DESC ROWS UNBOUNDED PRECEDING) AS breaks FROM recent))
-SELECT 'NO_DATA' AS kind, '2025-04-15' AS scope, sha256('dev|NO_DATA|2025-04-15') AS fingerprint FROM streak WHERE n >= 1 UNION ALL
-SELECT 'SOURCE_MISSING', '2025-04-15', sha256('dev|SOURCE_MISSING|2025-04-15') FROM newest WHERE m IS NULL UNION ALL
-SELECT 'SOURCE_FRESHNESS', CAST(m AS VARCHAR), sha256('dev|SOURCE_FRESHNESS|' || CAST(m AS VARCHAR)) FROM newest WHERE DATE '2025-04-15' - m > 100 UNION ALL
-SELECT 'SOURCE_COMPLETENESS', '2025-04-15', sha256('dev|SOURCE_COMPLETENESS|2025-04-15') FROM newest WHERE m IS NOT NULL AND due < 2 UNION ALL
-SELECT 'SOURCE_ROWS', '2025-02-01', sha256('dev|SOURCE_ROWS|2025-02-01')""")
+streak AS (SELECT count(*) FILTER (breaks = 0) AS n FROM (SELECT sum(CASE WHEN status <> 'NO_DATA' THEN 1 ELSE 0 END) OVER (ORDER BY updated_at DESC ROWS UNBOUNDED PRECEDING) AS breaks FROM recent)),
+found AS (
+    SELECT 'NO_DATA' AS kind, '2025-04-15' AS scope FROM streak WHERE n >= 1 UNION ALL
+    SELECT 'SOURCE_MISSING', '2025-04-15' FROM newest WHERE m IS NULL UNION ALL
+    SELECT 'SOURCE_FRESHNESS', CAST(m AS VARCHAR) FROM newest WHERE DATE '2025-04-15' - m > 100 UNION ALL
+    SELECT 'SOURCE_COMPLETENESS', '2025-04-15' FROM newest WHERE m IS NOT NULL AND due < 2 UNION ALL
+    SELECT 'SOURCE_ROWS', source_month FROM deliveries WHERE rows_received < 180)
+SELECT kind, scope, sha256('dev|' || kind || '|' || scope) AS fingerprint FROM found""")
 def monitor_checks(spark, sf_dir):
-    """The breaches of a run without data, with a small snapshot, after what the log says of earlier ones."""
+    """The breaches of a run without data, after what the log says of earlier ones; the months of orders are its deliveries."""
     log = _log(spark, sf_dir)
     setting = config.DEFAULTS | {"environment": "dev", "processing_date": "2025-04-15", "late_arrival_months": 3}
-    setting["monitoring"] = setting["monitoring"] | {"max_no_data_runs": 1}
-    published = frozenset(r["source_month"] for r in state.published(log).collect())  # a row for each month
-    payload = {"status": "NO_DATA", "snapshots": [{"source_month": "2025-02-01", "rows_received": 1}]}
-    streak = state.no_data_streak(log, 20).first()["streak"]
-    seen = monitor.Facts(payload | {"snapshots": []}, setting, published, streak)
-    found = monitor.breaches(seen) + [b for b in monitor.breaches(monitor.Facts(payload, setting, published, streak)) if b.kind == "SOURCE_ROWS"]
-    return spark.createDataFrame([(b.kind, b.scope, b.fingerprint) for b in found], "kind string, scope string, fingerprint string")
+    setting["monitoring"] = setting["monitoring"] | {"max_no_data_runs": 1, "min_snapshot_rows": 180}
+    deliveries = _read(spark, sf_dir, "orders").filter("o_orderdate IS NOT NULL").groupBy(month_of(F.col("o_orderdate")).cast("string").alias("source_month")).agg(F.count("*").alias("rows_received"))
+    return monitor.source_breaches(state.published(log), deliveries, state.no_data_streak(log, 20), setting)
 
 
 @query("""
