@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import months
 from tidemark.operators.tables import Table
-from tidemark.plans import config, monitor
+from tidemark.plans import config, daily, monitor
 from tidemark.sources import landing, paged, pages, rescue
 from tidemark.sources.files import Files, Taken, Unsafe
 from tidemark.streaming import bronze
@@ -475,3 +475,15 @@ def test_paged_source_gives_up(spark):
         patch.setattr(paged, "asked", lambda *a, **k: {"page": 0, "events": [], "next": None})
         with pytest.raises(ValueError, match="no page leads"):
             list(paged.walked(options, paged.Stretch("", "z")))
+
+
+def test_a_run_finds_its_month():
+    there = {"2023-11": 200, "2023-12": 200, "2024-01": 404}
+    setting = {"processing_date": "2024-02-10", "discover_months": 3}
+    fetch = lambda url: landing.Response(there.get(url.removeprefix("u/"), 404), None)
+    assert daily.newest_month(setting, fetch, lambda m: f"u/{m}") == ["2023-12"] and daily.newest_month({}, fetch, str) == []
+    with pytest.raises(ValueError):
+        daily.newest_month(setting, lambda url: landing.Response(404, None), str)
+    assert config.runtime([*ARGS, "--discover-months", "3", "--initial-load", "true"])["initial_load"]
+    with pytest.raises(ValueError):
+        config.runtime([*ARGS, "--discover-months", "3", "--start-month", "2024-01", "--end-month", "2024-02"])

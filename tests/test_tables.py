@@ -315,3 +315,23 @@ def test_a_partitioned_write_makes_few_files(spark, tmp_path):
     table.overwrite(spark.range(4000).repartition(16).select("id", (F.col("id") % 5).cast("string").alias("p")))
     files = [f for f in table.read().inputFiles() if f.endswith(".parquet")]
     assert len(files) <= 10 and table.read().count() == 4000 and table.read(["3"]).count() == 800
+
+
+def test_receipts_read_what_was_published_since(spark, tmp_path, monkeypatch):
+    """A run's receipt is looked for among the publications that were made since it first tried, not among all."""
+    mart = spark.createDataFrame([(dt.date(2024, 1, 1), 5, decimal.Decimal("1.00"))], "pickup_month date, trip_count long, total_revenue decimal(20,2)")
+
+    def given(run):
+        export = publish.export(mart, f"{tmp_path}/exports", "m", "2024-01-01", run)
+        return publish.handoff(run, [export], [{"mart": "m", "month": "2024-01-01", "rows": 1, "trips": 5}], ["m"])
+
+    folder = f"{tmp_path}/serving"
+    for k in range(4):
+        publish.publish(spark, given(f"r{k}"), folder)
+    read, real = [], Files.read_json
+    monkeypatch.setattr(Files, "read_json", lambda self, path: read.append(path) or real(self, path))
+    assert publish.receipt(spark, folder, "none") is None and read == []
+    assert publish.receipt(spark, folder, "r3")["number"] == 4 and sum("/publications/" in p for p in read) == 1
+    assert publish.receipt(spark, folder, "r0")["number"] == 1
+    again = {"pipeline_run_id": "r2", "exports": [], "metrics": []}
+    assert publish.publish(spark, again, folder)["number"] == 3 and len(publish.publications(spark, folder)) == 4

@@ -56,6 +56,17 @@ def _month(text: str) -> str:
 SNAPSHOT_FIELDS = ["source_month", "snapshot_id", "uri", "checksum", "rows_received", "bytes_received", "source_url", "source_version"]
 
 
+def newest_month(config: Mapping, fetch: Callable[[str], landing.Response], url_of: Callable[[str], str]) -> list[str]:
+    """For a run that is to find out by itself (``discover_months``: how far back): the newest month that its source has."""
+    if not (count := config.get("discover_months")):
+        return []
+    months = landing.candidate_months(dt.date.fromisoformat(config["processing_date"]), count)
+    found = landing.discover_latest(months, lambda month: fetch(url_of(month)).status)  # contents are not read
+    if found is None:
+        raise ValueError(f"none of {months[-1]} to {months[0]} is there")
+    return [found]
+
+
 def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str], landing.Response], url_of: Callable[[str], str], wait: Callable[[float], None]) -> dict:
     """Lands the months that are due and plans what the run has to process.
 
@@ -63,7 +74,7 @@ def source_landing(lake: Lakehouse, run: state.RunState, fetch: Callable[[str],
     configuration gives URIs for come from there; a URI that tells a checksum is landed already.
     """
     config = lake.config
-    asked = config.get("months") or [m.strftime("%Y-%m") for m in expected_months(dt.date.fromisoformat(config["processing_date"]), config["publication_lag_months"], config["late_arrival_months"])]
+    asked = config.get("months") or newest_month(config, fetch, url_of) or [m.strftime("%Y-%m") for m in expected_months(dt.date.fromisoformat(config["processing_date"]), config["publication_lag_months"], config["late_arrival_months"])]
     log = run.log()
     published = {r["source_month"][:7]: r["snapshot_id"] for r in state.published(log).collect()}  # a row for each month
     dirty = {r["source_month"][:7] for r in state.dirty_months(log).collect()}
@@ -159,7 +170,7 @@ def export(lake: Lakehouse, run_id: str, payload: dict) -> dict:
         files.create_json(place, given)
     elif files.read_json(place)["metrics"] != given["metrics"]:
         raise ValueError(f"run {run_id} has handed over something else")
-    publish.publish(lake.spark, given, f"{lake.folder}/serving")
+    publish.publish(lake.spark, given, f"{lake.folder}/serving", initial=bool(lake.config.get("initial_load")))
     served = publish.reconcile(lake.spark, given, f"{lake.folder}/serving")
     return payload | {"serving_handoff": {"uri": place, "exports": exports}, "serving_status": given["status"], "serving_metrics": served}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Mapping, Sequence
 
@@ -79,9 +80,31 @@ def pointer(spark: SparkSession, folder: str) -> dict | None:
     return Files(spark).read_json(found[-1]) if found else None
 
 
+def _claimed(spark: SparkSession, folder: str, run_id: str, now: Mapping | None = None) -> int | None:
+    """The publication that was in force when a run first tried to publish, which its own ones are after; None if it never did.
+
+    now: the publication in force, for a run that tries; its first try is on record from then on."""
+    files, place = Files(spark), f"{folder}/claims/{hashlib.sha256(run_id.encode()).hexdigest()}.json"
+    if now is not None and not files.exists(place):
+        try:
+            files.create_json(place, {"pipeline_run_id": run_id, "after": now["number"]})
+        except Taken:
+            pass  # another attempt of the run has just done so
+    return files.read_json(place)["after"] if files.exists(place) else None
+
+
+def receipts(spark: SparkSession, folder: str, run_id: str) -> list[dict]:
+    """The publications of a run; only those are read that were made since it first tried."""
+    if (after := _claimed(spark, folder, run_id)) is None:
+        return []
+    since = [p for p in publications(spark, folder) if int(p.rsplit("/", 1)[1].split(".")[0]) > after]
+    return [d for p in since if (d := Files(spark).read_json(p))["pipeline_run_id"] == run_id]
+
+
 def receipt(spark: SparkSession, folder: str, run_id: str) -> dict | None:
     """The publication of a run."""
-    return next((d for p in reversed(publications(spark, folder)) if (d := Files(spark).read_json(p))["pipeline_run_id"] == run_id), None)
+    found = receipts(spark, folder, run_id)
+    return found[-1] if found else None
 
 
 def _bare(uri: str) -> str:
@@ -127,6 +150,7 @@ def publish(spark: SparkSession, given: Mapping, folder: str, *, initial: bool =
     """
     if done := receipt(spark, folder, given["pipeline_run_id"]):
         return done
+    _claimed(spark, folder, given["pipeline_run_id"], pointer(spark, folder) or {"number": 0})
     staged = _verified(spark, given)
     for _ in range(ATTEMPTS):
         now = pointer(spark, folder) or {"number": 0, "versions": {}}
@@ -154,9 +178,8 @@ def _served(spark: SparkSession, folder: str, mart: str, months: Sequence[str] |
 def reconcile(spark: SparkSession, given: Mapping, folder: str) -> list[dict]:
     """What serving shows of a handoff's months (mart, month, rows, trips); raises if it is not what was announced, or if the
     run is not published exactly once."""
-    runs = [Files(spark).read_json(p)["pipeline_run_id"] for p in publications(spark, folder)]
-    if runs.count(given["pipeline_run_id"]) != 1:
-        raise ValueError(f"{runs.count(given['pipeline_run_id'])} receipts of run {given['pipeline_run_id']}")
+    if len(found := receipts(spark, folder, given["pipeline_run_id"])) != 1:
+        raise ValueError(f"{len(found)} receipts of run {given['pipeline_run_id']}")
     served = []
     for mart in sorted({m["mart"] for m in given["metrics"]}):
         announced = {m["month"]: (m["rows"], m["trips"]) for m in given["metrics"] if m["mart"] == mart}
