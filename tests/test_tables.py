@@ -335,3 +335,17 @@ def test_receipts_read_what_was_published_since(spark, tmp_path, monkeypatch):
     assert publish.receipt(spark, folder, "r0")["number"] == 1
     again = {"pipeline_run_id": "r2", "exports": [], "metrics": []}
     assert publish.publish(spark, again, folder)["number"] == 3 and len(publish.publications(spark, folder)) == 4
+
+
+def test_serving_has_the_rows_of_the_exports(spark, tmp_path):
+    """The same number of rows and trips is not enough."""
+    def mart(*revenues):
+        return spark.createDataFrame([(dt.date(2024, 1, 1), 5, decimal.Decimal(r)) for r in revenues], "pickup_month date, trip_count long, total_revenue decimal(20,2)")
+
+    export = publish.export(mart("1.00", "2.00"), f"{tmp_path}/exports", "m", "2024-01-01", "r")
+    given = publish.handoff("r", [export], [{"mart": "m", "month": "2024-01-01", "rows": 2, "trips": 10}], ["m"])
+    publish.publish(spark, given, f"{tmp_path}/serving")
+    assert publish.reconcile(spark, given, f"{tmp_path}/serving")[0]["trips"] == 10
+    publish.export(mart("1.00", "3.00"), f"{tmp_path}/exports", "m", "2024-01-01", "r", overwrite=True)
+    with pytest.raises(ValueError, match="other rows"):
+        publish.reconcile(spark, given, f"{tmp_path}/serving")

@@ -210,6 +210,10 @@ def test_counts_are_taken_while_writing(spark, tmp_path):
     empty, none = watched(spark.range(10).filter("id > 99"))
     empty.write.parquet(f"{tmp_path}/b")
     assert none() == {"rows": 0}
+    late = spark.range(10).join(spark.range(5).filter("id > 99"), "id").groupBy("id").count()  # found to be empty while it runs
+    shuffled, none = watched(late.repartition("id"), n=F.count(F.lit(1)), total=F.sum("count"))
+    shuffled.write.parquet(f"{tmp_path}/c")
+    assert none() == {"n": 0, "total": 0}
 
 
 def test_a_write_that_loses_rows_is_noticed(spark, tmp_path, monkeypatch):

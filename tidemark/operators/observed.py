@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 def watched(frame: DataFrame, **counts: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
     """The frame, and what its counts were in the first action on it; that action must read all of it.
 
-    counts: aggregates by name; without any, the number of rows.  A frame that the optimiser knows to be empty tells zeros.
+    counts: aggregates by name; without any, the number of rows.  A frame that the optimiser finds to be empty tells zeros.
     """
     observation = Observation(f"tidemark-{uuid.uuid4().hex}")
     named = counts or {"rows": F.count(F.lit(1))}
     seen = frame.observe(observation, *(e.alias(name) for name, e in named.items()))
-    return seen, lambda: {name: (observation.get or {}).get(name) or 0 for name in named}
+
+    def told() -> dict[str, int]:
+        # where a frame turns out to be empty, the optimiser drops what observes it, and there is no row of counts
+        found = observation._jo.getRow()
+        return dict.fromkeys(named, 0) if found.schema() is None else {name: value or 0 for name, value in observation.get.items()}
+
+    return seen, told
 
 
 class Unlike(RuntimeError):

@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.digests import digests, unequal
 from tidemark.operators.tables import ATTEMPTS, Table
 from tidemark.sources.files import Files, Taken
 
@@ -176,16 +177,23 @@ def _served(spark: SparkSession, folder: str, mart: str, months: Sequence[str] |
 
 
 def reconcile(spark: SparkSession, given: Mapping, folder: str) -> list[dict]:
-    """What serving shows of a handoff's months (mart, month, rows, trips); raises if it is not what was announced, or if the
-    run is not published exactly once."""
+    """What serving shows of a handoff's months (mart, month, rows, trips); raises if it is not what was announced, if its rows are
+    not those of the exports, by digests, or if the run is not published exactly once."""
     if len(found := receipts(spark, folder, given["pipeline_run_id"])) != 1:
         raise ValueError(f"{len(found)} receipts of run {given['pipeline_run_id']}")
     served = []
     for mart in sorted({m["mart"] for m in given["metrics"]}):
         announced = {m["month"]: (m["rows"], m["trips"]) for m in given["metrics"] if m["mart"] == mart}
-        found = _served(spark, folder, mart, [*announced]).groupBy(_MONTH).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"))
+        shown = _served(spark, folder, mart, [*announced])
+        found = shown.groupBy(_MONTH).agg(F.count("*").alias("n"), F.sum("trip_count").alias("trips"))
         got = dict.fromkeys(announced, (0, 0)) | {r[_MONTH]: (r["n"], r["trips"]) for r in found.collect()}  # a row for each month of the handoff
         if got != announced:
             raise ValueError(f"{mart}: serving has {got}, {announced} were announced")
+        if exported := {e["month"]: e["uri"] for e in given["exports"] if e["mart"] == mart}:
+            staged = _staged(spark, exported)
+            columns = [c for c in staged.columns if c != _MONTH]
+            unlike = unequal(*(digests(frame, [_MONTH], columns) for frame in (staged, shown)), [_MONTH]).collect()  # a row for each month at most
+            if unlike:
+                raise ValueError(f"{mart}: serving has other rows than the exports of {', '.join(sorted(r[_MONTH] for r in unlike))}")
         served += [{"mart": mart, "month": month, "rows": n, "trips": trips} for month, (n, trips) in sorted(got.items())]
     return served
