@@ -92,7 +92,7 @@ def test_minhash_of_families_around_the_threshold(spark):
     random.Random(1).shuffle(rows)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_minhash(rows)
-    assert len({r[2] for r in want}) < len(want) - 150
+    assert len({r[2] for r in want}) < len(want) - 100  # much is linked, and much is not
     for block_rows in (4096, 16):
         assert minhashed(frame, block_rows=block_rows) == want
 
