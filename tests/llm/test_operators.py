@@ -616,15 +616,15 @@ def test_media_finds_what_brute_force_finds(spark, docs):
     assert all(want[i] == want[c] for i, c in found.items())
 
 
-def test_a_mark_that_all_recordings_share_has_one_hub(spark):
-    """A recording's candidates are as many as its marks at most, however many recordings share them."""
+def test_a_mark_that_all_recordings_share_has_two_hubs(spark):
+    """A recording's candidates are twice as many as its marks at most, however many recordings share them."""
     base = tune(1, 0.3)
     for many in (40, 160):
         recordings = [(k, pcm(base + np.random.default_rng(k).normal(0, 0.01, len(base)))) for k in range(many)]
         prints = op09_media.fingerprints(spark.createDataFrame(recordings, "id long, audio binary"), F.col("id"), F.col("audio"))
         links = op09_media.alignments(prints, 0.1).collect()
         assert {r["id"] for r in links} == set(range(1, many))
-        assert len(links) <= 10 * many
+        assert len(links) <= 20 * many  # ten with each of the two hubs
 
 
 def test_grids_differ_by_every_seventh_of_a_hop():
