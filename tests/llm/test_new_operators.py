@@ -16,7 +16,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import texts
-from tidemark.llm import op11_minhash, op12_alignment, op13_spelling
+from tidemark.llm import op11_minhash, op12_alignment, op13_spelling, queries
 
 BYTES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
@@ -201,6 +201,27 @@ def test_alignment_of_odd_texts(spark, libraries, monkeypatch):
     assert aligned(frame) == brute_alignment(libraries, rows)
 
 
+def test_the_query_tells_groups_as_its_contract_says(spark, libraries, tmp_path):
+    """a1,a2|b1;a3|b2,b3: a bar between the two tokenizers' ids, a semicolon between groups."""
+    a, b, a_bytes = libraries
+    rows = [(1, "unbelievable tokenizers, aligned"), (2, "a▁b"), (3, None), *enumerate(ODD_TEXTS, 4)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["groups_sha256"] for r in queries.QUERIES["op12_alignment"](spark, str(tmp_path)).collect()}
+    for doc_id, text in rows:
+        told, x, y = [], [], []
+        one, two = (a.encode(f" {text}", add_special_tokens=False).ids, b.encode(text)) if text else ([], [])
+        sizes = [len(a_bytes(i)) for i in one], [1 if b.is_byte(i) else len(b.id_to_piece(i).replace("▁", " ").encode()) for i in two]
+        ends = [[*itertools.accumulate(own)] for own in sizes]
+        for end in sorted({*ends[0], *ends[1]}):
+            x += [i for i, e in zip(one, ends[0], strict=True) if e == end]
+            y += [i for i, e in zip(two, ends[1], strict=True) if e == end]
+            if end in ends[0] and end in ends[1]:
+                told.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
+                x, y = [], []
+        without = not text or "▁" in text
+        assert got[doc_id] == ("" if without else hashlib.sha256(";".join(told).encode()).hexdigest())
+
+
 @pytest.mark.parametrize("long_group", [op12_alignment.LONG_GROUP, 1])
 def test_units_are_aligned_as_their_text(libraries, monkeypatch, long_group):
     """Also where all groups are taken for long ones, and where nothing is encoded together."""

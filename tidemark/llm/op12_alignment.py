@@ -52,6 +52,8 @@ PAIR_BITS = 32
 LONG_GROUP, AT_A_TIME = 65_536, 500_000
 SPACE = "▁"
 LEVEL = 6
+#: A character each: what stands between the ids of the two tokenizers in a group's text, and what between groups.
+SEPARATORS = (";", "|")
 
 
 def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
@@ -91,7 +93,8 @@ def fast_encoder(tokenizer: Tokenizer) -> tiktoken.Encoding | None:
 class Aligner:
     """Aligns units of a space and a text; None for one that a tokenizer does not give back."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, separators: tuple[str, str] = SEPARATORS):
+        self.between = separators[1]
         self.a, self.b = quiet(a_path), SentencePieceProcessor(model_file=here(b_path))
         self.fast, self.model = fast_encoder(self.a), self.a.model
         sizes = {i: len(piece) for piece, i in self.a.get_vocab(with_added_tokens=False).items()}
@@ -104,7 +107,7 @@ class Aligner:
         self.a_sizes[list(sizes)] = list(sizes.values())
         numbers = list(map(str, range(most)))
         #: Ids as text with what follows them: another of the group, the other tokenizer's, or the next group.
-        self.comma, self.semicolon, self.bar = (np.array([x + end for x in numbers], object) for end in ",;|")
+        self.another, self.other, self.next = (np.array([x + end for x in numbers], object) for end in (",", *separators))
         #: Whether no piece reaches across the beginning of a unit.
         self.cuts = not any(SPACE in p.lstrip(SPACE) or re.search(r"[ \n\t]", p) for p in pieces)
         self.alone = self.b.piece_to_id(SPACE)
@@ -196,7 +199,7 @@ class Aligner:
         size_b = np.searchsorted(of_b, first, "right") - start_b
         # texts: tokens in the order of their groups, each with what follows it
         last_a, last_b = np.append(of_a[1:] != of_a[:-1], True), np.append(of_b[1:] != of_b[:-1], True)
-        texts = np.concatenate([np.where(last_a, self.semicolon[a_ids], self.comma[a_ids]), np.where(last_b, self.bar[b_ids], self.comma[b_ids])])
+        texts = np.concatenate([np.where(last_a, self.other[a_ids], self.another[a_ids]), np.where(last_b, self.next[b_ids], self.another[b_ids])])
         in_order = texts[np.argsort(group, kind="stable")].tolist()
         # links: each token of a with each of b in its group; of long groups, distinct ids and how often
         end_a, end_b, start = np.cumsum(n_a), np.cumsum(n_b), np.searchsorted(first, np.cumsum(n_a) - n_a)
@@ -275,7 +278,7 @@ class _Block:
             own = [told[k] for k in at]
             if None in own:
                 at, own = [], []
-            self.docs.append((doc_id, hashlib.sha256("|".join(own).encode()).hexdigest() if own else ""))
+            self.docs.append((doc_id, hashlib.sha256(self.aligner.between.join(own).encode()).hexdigest() if own else ""))
             self.places.append(np.array(at, np.int64))
 
     def row(self, number: int) -> pa.RecordBatch:
@@ -308,9 +311,9 @@ class _Block:
         return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), lists[0], *planes, *lists[1:]], names=_BLOCK_NAMES)
 
 
-def _blocks(a_path: str, b_path: str, block_chars: int):
+def _blocks(a_path: str, b_path: str, block_chars: int, separators: tuple[str, str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, number = Aligner(a_path, b_path), TaskContext.get().partitionId() << 31
+        aligner, number = Aligner(a_path, b_path, separators), TaskContext.get().partitionId() << 31
         block, rows, chars = _Block(aligner), [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -355,13 +358,13 @@ def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([own[c] for c in names], names=names)
 
 
-def blocks_of(docs: DataFrame, a_path: str, b_path: str, block_chars: int) -> DataFrame:
+def blocks_of(docs: DataFrame, a_path: str, b_path: str, block_chars: int, separators: tuple[str, str] = SEPARATORS) -> DataFrame:
     """A row for each block of documents, kept: documents, units, links, and distinct pairs with how many documents hold each."""
     spark = ship(docs.sparkSession)
     for path in (a_path, b_path):
         ship_file(spark, path)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return keep(source.mapInArrow(_blocks(a_path, b_path, block_chars), BLOCKS), "aligned")
+    return keep(source.mapInArrow(_blocks(a_path, b_path, block_chars, separators), BLOCKS), "aligned")
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -373,12 +376,13 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     return named.join(highest, "a").select("a", "b", "pairs", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, *, block_chars: int = 8_000_000) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, *, block_chars: int = 8_000_000, separators: tuple[str, str] = SEPARATORS) -> DataFrame:
     """A row for each row of docs (doc_id, text), with the columns of ALIGNED: how many tokens, groups and links it has, over how
     many links the a-id's most frequent partner is linked, the sum of all links' counts, and a digest of the groups.
 
-    a_path: a byte-level vocabulary of the tokenizers library.  b_path: a model of sentencepiece that prefixes a space."""
-    blocks = blocks_of(docs, a_path, b_path, block_chars)
+    a_path: a byte-level vocabulary of the tokenizers library.  b_path: a model of sentencepiece that prefixes a space.
+    separators: those of the groups' text, of which the digest is made."""
+    blocks = blocks_of(docs, a_path, b_path, block_chars, separators)
     counts = keep(pair_counts(blocks).select("pairs", "count", "best"), "counts")
     own = blocks.select("block", F.posexplode("pairs").alias("at", "pairs")).join(counts, "pairs")
     told = F.sort_array(F.collect_list(F.struct("at", "count", F.col("best").cast("long").alias("best")))).alias("told")
