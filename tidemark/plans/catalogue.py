@@ -79,9 +79,12 @@ def fare_integrity(spark, sf_dir):
     month = _read(spark, sf_dir, "lineitem").filter(between_dates(F.col("l_shipdate"), "1996-01-01", "1996-02-01"))
     trips = month.join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     per_mile = F.when((F.col("p_size") < 40) & (F.col("l_quantity") > 0), F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0)))
-    return trips.groupBy(F.col("l_shipdate").cast("date").alias("pickup_date"), (F.col("p_size") >= 40).alias("is_flat_fare")).agg(
-        F.count("*").alias("trip_count"), F.round(F.avg(per_mile), 6).alias("avg_fare_per_mile"), F.percentile_approx(per_mile, 0.95).alias("fare_per_mile_p95")
-    )
+    keys = ["pickup_date", "is_flat_fare"]
+    fares = trips.select(F.col("l_shipdate").cast("date").alias("pickup_date"), (F.col("p_size") >= 40).alias("is_flat_fare"), per_mile.alias("per_mile"))
+    counted = fares.groupBy(*keys).agg(F.count("*").alias("trip_count"), F.round(F.avg("per_mile"), 6).alias("avg_fare_per_mile"))
+    p95 = exact_quantile(fares, keys, F.col("per_mile"), 0.95, "fare_per_mile_p95").withColumnsRenamed({k: f"own_{k}" for k in keys})
+    same = F.col("pickup_date").eqNullSafe(F.col("own_pickup_date")) & F.col("is_flat_fare").eqNullSafe(F.col("own_is_flat_fare"))
+    return counted.join(p95, same, "left").drop("own_pickup_date", "own_is_flat_fare")
 
 
 @query("""
